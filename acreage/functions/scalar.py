@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from acreage.constants import BOROUGH_CODES, BOROUGH_SPELLINGS
 
 _EDGE_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INFINITY = r"(?i)^[+-]?inf(inity)?$"
+_NUMBER = (
+    r"(?U)^[\s\x1c-\x1f]*([+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf(?:inity)?)))[\s\x1c-\x1f]*$"
+)
 
 
 def strip(c: Column) -> Column:
@@ -80,9 +81,8 @@ def coerce_number(c: Column, dtype: T.DataType | None = None) -> Column:
     """Text with thousands separators to a double; anything else becomes null."""
     if dtype is not None and isinstance(dtype, T.NumericType):
         return nan_to_null(c.cast("double"))
-    text = strip(F.replace(c.cast("string"), F.lit(","), F.lit("")))
-    infinite = F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
-    return F.when(text.rlike(_NUMBER), text.try_cast("double")).when(text.rlike(_INFINITY), infinite)
+    text = F.replace(c.cast("string"), F.lit(","), F.lit(""))
+    return F.regexp_extract(text, _NUMBER, 1).try_cast("double")
 
 
 def nan_to_null(c: Column) -> Column:

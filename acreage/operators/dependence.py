@@ -37,7 +37,7 @@ def _ranked_pairs(df: DataFrame, features: list[str], target: str) -> DataFrame:
         F.struct(F.concat(F.lit(f"{side}:"), F.col("feature")).alias("variable"), F.col(side).alias("value"))
         for side in ("x", "y")
     ]))
-    ranks = stage(value_ranks(long.select(sides.alias("_s")).select("_s.*"), "variable", "value"), "ranks")
+    ranks = value_ranks(long.select(sides.alias("_s")).select("_s.*"), "variable", "value").persist()
 
     bins = F.greatest(F.lit(2), F.least(F.lit(10), F.floor(F.sqrt(F.col("total") / 5)))).cast("long")
     for side in ("x", "y"):
@@ -87,7 +87,8 @@ def dependence_scores(
     Ranks use the rows where both sides are present. Rows are counted per distinct pair and ranks
     per distinct value, so a hot value is a single row when the two are joined.
     """
-    pairs = stage(_ranked_pairs(df, features, target), "ranked-pairs")
+    df = stage(df.select(*features, target), "dependence")
+    pairs = _ranked_pairs(df, features, target).persist()
     scores = (
         _spearman(pairs).join(_normalised_information(pairs), "feature")
         .join(pearson(df, features, target), "feature")

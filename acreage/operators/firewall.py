@@ -27,26 +27,29 @@ class SalesColumns:
 UNDERSCORED = SalesColumns(*[name.replace(" ", "_") for name in vars(SalesColumns()).values()])
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    return X.coerce_number(F.col(f"`{name}`"), df.schema[name].dataType)
+def _parsed(df: DataFrame, names: SalesColumns) -> DataFrame:
+    """Add the raw columns as numbers, each parsed once for rules and features."""
 
+    def number(name: str) -> Column:
+        return X.coerce_number(F.col(f"`{name}`"), df.schema[name].dataType)
 
-def _category(names: SalesColumns) -> Column:
-    return F.coalesce(X.strip(F.col(f"`{names.category}`")), F.lit("nan"))
+    numbers = {f"_{k}": number(v) for k, v in vars(names).items() if k != "category"}
+    category = F.coalesce(X.strip(F.col(f"`{names.category}`")), F.lit("nan"))
+    return df.withColumns({**numbers, "_category": category})
 
 
-def drop_reason(df: DataFrame, names: SalesColumns = SalesColumns()) -> Column:
-    """Name of the first rule that rejects a row, null when it is kept.
+def _drop_reason() -> Column:
+    """Name of the first rule that rejects a parsed row, null when it is kept.
 
     A comparison with a missing number rejects nothing; a missing class is not residential.
     """
-    price, gross, year = (_number(df, n) for n in (names.price, names.gross, names.year))
+    price = F.col("_price")
     rules = [
         ("sale_price_non_positive", price <= 0),
         ("sale_price_out_of_range", (price < 10_000) | (price > 100_000_000)),
-        ("missing_gross_sqft", gross == 0),
-        ("missing_year_built", year == 0),
-        ("non_residential_class", ~_category(names).startswith("R")),
+        ("missing_gross_sqft", F.col("_gross") == 0),
+        ("missing_year_built", F.col("_year") == 0),
+        ("non_residential_class", ~F.col("_category").startswith("R")),
     ]
     reason = F.when(F.lit(False), F.lit(None))
     for name, rejected in rules:
@@ -55,7 +58,9 @@ def drop_reason(df: DataFrame, names: SalesColumns = SalesColumns()) -> Column:
 
 
 def run_drop_engine(df: DataFrame, names: SalesColumns = SalesColumns()) -> DataFrame:
-    return df.withColumn("drop_reason", drop_reason(df, names))
+    """Add `drop_reason`, the first rule that rejects a row."""
+    return _parsed(df, names).withColumn("drop_reason", _drop_reason()).select(*[
+        F.col(f"`{c}`") for c in df.columns], "drop_reason")
 
 
 def drop_reason_counts(dropped: DataFrame) -> DataFrame:
@@ -79,21 +84,21 @@ def mapping_report(dropped: DataFrame) -> DataFrame:
     )
 
 
-def map_features(df: DataFrame, keep: list[str], names: SalesColumns = SalesColumns()) -> DataFrame:
+def _mapped(parsed: DataFrame, keep: list[str]) -> DataFrame:
     """The six model features and the log target, row by row, beside the columns in `keep`."""
 
     def whole(name: str) -> Column:
-        return F.when(~X.is_infinite(_number(df, name)), _number(df, name)).cast("long")
+        return F.col(name).try_cast("long")
 
-    return df.select(
+    return parsed.select(
         *keep,
-        X.borough_from_code(whole(names.borough)).alias("borough_name"),
-        whole(names.land).alias("land_sqft"),
-        whole(names.gross).alias("property_sqft"),
-        F.substring(_category(names), 1, 2).alias("property_type"),
-        whole(names.year).alias("year_built"),
-        whole(names.zipcode).alias("zip_code"),
-        F.log1p(_number(df, names.price)).alias("TARGET"),
+        X.borough_from_code(whole("_borough")).alias("borough_name"),
+        whole("_land").alias("land_sqft"),
+        whole("_gross").alias("property_sqft"),
+        F.substring("_category", 1, 2).alias("property_type"),
+        whole("_year").alias("year_built"),
+        whole("_zipcode").alias("zip_code"),
+        F.log1p("_price").alias("TARGET"),
     )
 
 
@@ -102,6 +107,5 @@ def apply_schema_map(
 ) -> tuple[DataFrame, DataFrame]:
     """Mapped rows with their target, and the report; both read one scan of `raw`."""
     trimmed = raw.toDF(*[c.strip() for c in raw.columns])
-    dropped = run_drop_engine(trimmed, names)
-    kept = dropped.filter(F.col("drop_reason").isNull())
-    return map_features(kept, keep, names), mapping_report(dropped)
+    parsed = _parsed(trimmed, names).withColumn("drop_reason", _drop_reason())
+    return _mapped(parsed.filter(F.col("drop_reason").isNull()), keep), mapping_report(parsed)

@@ -32,23 +32,26 @@ def sweep_class(
 ) -> DataFrame:
     """Confusion counts of every candidate for one class: `(candidate, y_true, y_pred, n)`.
 
-    Raising the threshold of `cls` can only take rows away from it, so a row is described by the
-    class it falls back to and by how many candidates keep it. Rows are counted per such pattern
-    in one pass; only these few counts are expanded over the candidates.
+    `candidates` ascend. Raising the threshold of `cls` can only take rows away from it, so a row
+    is described by the class it falls back to and by how many candidates keep it, found by
+    bisection. Rows are counted per such pattern in one pass; only these few counts are expanded
+    over the candidates.
     """
     scores = list(enumerate(_scaled(probabilities, thresholds)))
     other, best = _first_largest([s for s in scores if s[0] != cls])
-    p = F.get(F.col(probabilities), F.lit(cls))
-    kept = reduce(lambda a, b: a + b, [
-        ((p / F.lit(max(t, FLOOR)) > F.col("_best"))
-         | ((p / F.lit(max(t, FLOOR)) == F.col("_best")) & (F.lit(cls) < F.col("_other")))).cast("int")
-        for t in candidates
-    ])
-    patterns = (
-        df.select(F.col(truth).alias("y_true"), F.col(probabilities), other.alias("_other"), best.alias("_best"))
-        .select("y_true", "_other", kept.alias("_kept"))
-        .groupBy("y_true", "_other", "_kept").agg(F.count("*").alias("n"))
+    floors = F.array(*[F.lit(max(t, FLOOR)) for t in candidates])
+    rows = df.select(
+        F.col(truth).alias("y_true"), F.get(F.col(probabilities), F.lit(cls)).alias("_p"),
+        other.alias("_other"), best.alias("_best"), F.lit(0).alias("_kept"),
     )
+    step = 1 << (len(candidates).bit_length() - 1)
+    while step:
+        reached = F.col("_kept") + step
+        score = F.col("_p") / F.get(floors, reached - 1)
+        wins = (score > F.col("_best")) | ((score == F.col("_best")) & (F.lit(cls) < F.col("_other")))
+        rows = rows.withColumn("_kept", F.when((reached <= len(candidates)) & wins, reached).otherwise(F.col("_kept")))
+        step //= 2
+    patterns = rows.groupBy("y_true", "_other", "_kept").agg(F.count("*").alias("n"))
     each = F.explode(F.sequence(F.lit(0), F.lit(len(candidates) - 1)))
     return (
         patterns.select("*", each.alias("candidate"))

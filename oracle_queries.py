@@ -391,7 +391,7 @@ ORACLES: dict[str, str] = {
     "nearest_station": f"""WITH {LISTINGS}, {STATIONS}, {NEAREST} SELECT listing_id, {r6('d', 'DIST_NEAREST_SUBWAY')}
         FROM listings JOIN nearest ON LATITUDE = la AND LONGITUDE = lo""",
     "hex_bins": f"""WITH {LISTINGS}, {HEX} SELECT cell AS hex_cell, count(*) AS n,
-        round(avg(PRICE), 2) AS avg_price FROM hexed GROUP BY cell""",
+        round(avg(PRICE), 6) AS avg_price FROM hexed GROUP BY cell""",
     "cap_cardinality": f"""WITH {LISTINGS} SELECT listing_id, {kept('listings', 'SUBLOCALITY')} AS SUBLOCALITY,
         {kept('listings', 'TYPE')} AS TYPE, {kept('listings', 'ZIPCODE')} AS ZIPCODE FROM listings""",
     "top_categories": f"""WITH {LISTINGS} """ + " UNION ALL ".join(

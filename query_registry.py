@@ -142,7 +142,7 @@ def nearest_station(spark, folder):
 def hex_bins(spark, folder):
     cell = hex_cell(F.col("LATITUDE"), F.col("LONGITUDE"), 1.2)
     return rounded(A.listings(spark, folder).groupBy(cell.alias("hex_cell")).agg(
-        F.count("*").alias("n"), F.avg("PRICE").alias("avg_price")), 2)
+        F.count("*").alias("n"), F.avg("PRICE").alias("avg_price")))
 
 
 @query
