@@ -8,7 +8,7 @@ from acreage.functions import scalar as X
 from acreage.operators.guards import LeakageError
 from acreage.operators.joins import lookup_join
 from acreage.operators.ranking import value_ranks
-from acreage.session import stage
+from acreage.session import keep, stage
 
 
 def pearson(df: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -37,7 +37,7 @@ def _ranked_pairs(df: DataFrame, features: list[str], target: str) -> DataFrame:
         F.struct(F.concat(F.lit(f"{side}:"), F.col("feature")).alias("variable"), F.col(side).alias("value"))
         for side in ("x", "y")
     ]))
-    ranks = value_ranks(long.select(sides.alias("_s")).select("_s.*"), "variable", "value").persist()
+    ranks = keep(value_ranks(long.select(sides.alias("_s")).select("_s.*"), "variable", "value"))
 
     bins = F.greatest(F.lit(2), F.least(F.lit(10), F.floor(F.sqrt(F.col("total") / 5)))).cast("long")
     for side in ("x", "y"):
@@ -73,7 +73,7 @@ def _normalised_information(pairs: DataFrame) -> DataFrame:
     share = F.col("n") / F.col("total")
     hx = -F.sum(share * F.ln(F.col("nx") / F.col("total")))
     hy = -F.sum(share * F.ln(F.col("ny") / F.col("total")))
-    gain = F.sum(share * F.ln(F.col("n") * F.col("total") / (F.col("nx") * F.col("ny"))))
+    gain = F.sum(share * F.ln(share / (F.col("nx") / F.col("total")) / (F.col("ny") / F.col("total"))))
     return cells.groupBy("feature").agg(
         F.when((hx <= 0) | (hy <= 0), F.lit(0.0)).otherwise(F.try_divide(gain, F.sqrt(hx * hy))).alias("nmi")
     )
@@ -88,7 +88,7 @@ def dependence_scores(
     per distinct value, so a hot value is a single row when the two are joined.
     """
     df = stage(df.select(*features, target), "dependence")
-    pairs = _ranked_pairs(df, features, target).persist()
+    pairs = keep(_ranked_pairs(df, features, target))
     scores = (
         _spearman(pairs).join(_normalised_information(pairs), "feature")
         .join(pearson(df, features, target), "feature")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from acreage.session import keep
+
 BROADCAST_ROWS = 200_000
 
 
@@ -23,7 +25,7 @@ def lookup_join(
     key finds nothing, as in a pandas group-by.
     """
     if known_rows is None:
-        lookup = lookup.persist()
+        lookup = keep(lookup)
         known_rows = lookup.count()
     table = F.broadcast(lookup) if known_rows <= broadcast_rows else lookup
     return rows.join(table, keys, how)

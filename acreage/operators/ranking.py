@@ -108,10 +108,8 @@ def stratified_split(
     )
 
 
-def assign_folds(
-    df: DataFrame, key: str, stratum: str | None, folds: int = CV_FOLDS, seed: int = SEED
-) -> DataFrame:
-    """Add `fold`, dealing the rows of each stratum in digest order; `key` must be unique.
+def digest_rank(df: DataFrame, key: str, stratum: str | None, seed: int = SEED, name: str = "rank") -> DataFrame:
+    """Add the rank from 1 of every row in the digest order of its stratum; `key` must be unique.
 
     The rank inside a slot plus the rows of the slots before it gives the rank in the stratum, so
     a stratum is spread over its slots.
@@ -123,11 +121,19 @@ def assign_folds(
     order = Window.partitionBy("_stratum", "_slot").orderBy("_digest", key)
     return (
         hashed.join(before, ["_stratum", "_slot"])
-        .withColumn("fold", ((F.col("_before") + F.row_number().over(order) - 1) % folds).cast("int"))
+        .withColumn(name, F.col("_before") + F.row_number().over(order))
         .drop("_stratum", "_slot", "_digest", "_before")
     )
 
 
+def assign_folds(
+    df: DataFrame, key: str, stratum: str | None, folds: int = CV_FOLDS, seed: int = SEED
+) -> DataFrame:
+    """Add `fold`, dealing the rows of each stratum in digest order."""
+    ranked = digest_rank(df, key, stratum, seed, "_rank")
+    return ranked.withColumn("fold", ((F.col("_rank") - 1) % folds).cast("int")).drop("_rank")
+
+
 def sample_rows(df: DataFrame, key: str, rows: int, seed: int = SEED) -> DataFrame:
     """At most `rows` rows, the first in digest order; each task keeps only that many."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))

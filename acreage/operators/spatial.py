@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acreage.functions.geo import flat_distance
 from acreage.operators.joins import lookup_join
+from acreage.session import keep
 
 # Each level of the station grid splits a cell into FAN x FAN; FAN is 2 to the power FAN_BITS.
 _FAN_BITS = 3
@@ -85,10 +86,10 @@ def nearest_station_distance(
     cells that can matter. A property then reads the short list of its cell. Cells whose list
     would be long, because stations crowd there, are cut into smaller cells and tried again.
     """
-    spots = (
+    spots = keep(
         stations.select(F.col(station_lat).cast("double").alias("slat"),
                         F.col(station_lon).cast("double").alias("slon"))
-        .dropna().dropDuplicates().persist()
+        .dropna().dropDuplicates()
     )
     n, lat0, lat1, lon0, lon1 = spots.agg(
         F.count("*"), F.min("slat"), F.max("slat"), F.min("slon"), F.max("slon")
@@ -107,7 +108,7 @@ def nearest_station_distance(
         grid = {k: cell(side) for k, cell in cells_of.items()}
         located = spots.withColumns({"si": _cell(F.col("slat"), side), "sj": _cell(F.col("slon"), side)})
         cells = _boxes(pending.dropna(subset=[lat, lon]), lat, lon, grid, "c")
-        frontier = _descend(cells, located, side, extent, n).select("ci", "cj", "si", "sj", "s_n").persist()
+        frontier = keep(_descend(cells, located, side, extent, n).select("ci", "cj", "si", "sj", "s_n"))
         load = frontier.groupBy("ci", "cj").agg(F.sum("s_n").alias("_load"))
         crowded = load.filter(F.col("_load") > _LIST_ROWS).select("ci", "cj")
         done = refinement == _MAX_REFINEMENTS or crowded.isEmpty()

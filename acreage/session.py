@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_KEPT: list[DataFrame] = []
 
 
 def build_session(app: str = "acreage", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,3 +56,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Cache a table that several steps read; `release` drops it. Lost blocks are recomputed."""
+    _KEPT.append(df.persist())
+    return _KEPT[-1]
+
+
+def release() -> None:
+    """Drop every table kept so far; call it when the results of a job are written."""
+    while _KEPT:
+        _KEPT.pop().unpersist()

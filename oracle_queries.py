@@ -436,7 +436,7 @@ ORACLES: dict[str, str] = {
     "leakage_scores": leakage_sql(),
     "prediction_health": f"""WITH {SCORED}, counts AS (SELECT price_pred AS v, count(*) AS c FROM scored GROUP BY 1),
         top AS (SELECT v, c FROM counts ORDER BY c DESC, v LIMIT 1)
-        SELECT CAST(sum(counts.c) AS BIGINT) AS n, 0 AS n_nan, 0 AS n_inf, round(any_value(top.v), 6) AS dominant_value,
+        SELECT CAST(sum(counts.c) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_nan, CAST(0 AS BIGINT) AS n_inf, round(any_value(top.v), 6) AS dominant_value,
         round(any_value(top.c) / sum(counts.c), 6) AS dominant_share,
         CASE WHEN sum(counts.c) < 500 THEN 'insufficient predictions'
           WHEN any_value(top.c) / sum(counts.c) > 0.95 THEN 'prediction collapse' END AS failure,
@@ -540,4 +540,14 @@ ORACLES: dict[str, str] = {
         stddev_samp(value) AS bs FROM old UNION ALL SELECT 'user_id', avg(user_id), stddev_samp(user_id) FROM old)
         SELECT CAST(window_start AS TIMESTAMP) AS window_start, feature, n, round(m, 6) AS current_mean,
         round(abs(m - bm) / bs, 6) AS shift, abs(m - bm) / bs > 0.15 AS drifted FROM w JOIN b USING (feature)""",
+    "drift_stream": f"""WITH {EVENTS}, l AS (SELECT ts, 'value' AS feature, value AS v FROM events UNION ALL
+        SELECT ts, 'user_id', user_id FROM events), w AS (SELECT date_trunc('day', ts) AS window_start, feature,
+        avg(v) AS m, count(*) AS n FROM l GROUP BY ALL), b AS (SELECT 'value' AS feature, avg(value) AS bm,
+        stddev_samp(value) AS bs FROM old UNION ALL SELECT 'user_id', avg(user_id), stddev_samp(user_id) FROM old)
+        SELECT CAST(window_start AS TIMESTAMP) AS window_start, feature, n, round(m, 6) AS current_mean,
+        round(abs(m - bm) / bs, 6) AS shift, abs(m - bm) / bs > 0.15 AS drifted FROM w JOIN b USING (feature)
+        WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+    "dedup_stream": """SELECT DISTINCT CAST(404000 + user_id * 7 AS DOUBLE) / CAST(10000 AS DOUBLE) AS LATITUDE,
+        CAST(-743000 + user_id * 11 AS DOUBLE) / CAST(10000 AS DOUBLE) AS LONGITUDE,
+        CAST(user_id * 1000 AS DOUBLE) AS PRICE FROM events""",
 }

@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.constants import PRICE_ZONES
+from acreage.constants import ALL_FEATURES, PRICE_ZONES
 from acreage.functions import scalar as X
 from acreage.functions.geo import hex_cell
+from acreage.ml import training as T
+from acreage.ml.clusters import add_neighborhood_clusters
+from acreage.ml.resample import oversample_and_edit
 from acreage.operators import (
     cleaning as C, dependence, encoding, explain, features as P, firewall as W, guards, metrics as E,
     monitoring as M, ranking as R, scoring as S, thresholds as H,
 )
 from acreage.operators.spatial import nearest_station_distance
-from acreage.plans import listings as L
+from acreage.plans import listings as L, scoring as PS, training as PT
+from acreage.session import shared_dir
 from acreage.sources import adapters as A
 from acreage.sources.files import union_by_name
+from acreage.streaming import jobs as S2
 
 Query = Callable[[SparkSession, str], DataFrame]
 LISTING = ["listing_id", "PRICE", "BEDS", "BATH", "PROPERTYSQFT", "LATITUDE", "LONGITUDE", "BOROUGH",
@@ -460,3 +466,155 @@ def drift_windowed(spark, folder):
     old, new = _events(spark, folder)
     stats = M.feature_stats(old, ["value", "user_id"])
     return rounded(M.windowed_drift(new, stats, "ts", ["value", "user_id"], "1 day"))
+
+
+# --- models (no SQL equivalent) -------------------------------------------------------------------
+
+
+def _training_rows(spark, folder):
+    cleaned = L.clean_listings(A.listings(spark, folder), ["listing_id"])
+    return T.add_class_weights(PT.training_table(cleaned, "LISTING_ID", clusters=None))
+
+
+def _parts(spark, folder):
+    rows = _training_rows(spark, folder)
+    return rows.filter("split = 'train'"), rows.filter("split = 'test'")
+
+
+def _small_models(train):
+    return (
+        T.zone_pipeline(T.zone_forest(10, 6)).fit(train),
+        T.price_pipeline(T.price_line()).fit(train),
+    )
+
+
+@query
+def kmeans_zones(spark, folder):
+    clustered = add_neighborhood_clusters(A.listings(spark, folder), 15, starts=2)
+    return clustered.groupBy("NEIGHBORHOOD_CLUSTER").agg(F.count("*").alias("n"))
+
+
+@query
+def train_classifier(spark, folder):
+    train, test = _parts(spark, folder)
+    return rounded(T.train_classifiers(train, test, {
+        "random_forest": T.zone_pipeline(T.zone_forest(20, 8)),
+        "booster": T.zone_pipeline(T.zone_booster(5, 4)),
+    }).metrics)
+
+
+@query
+def train_fallback_onehot(spark, folder):
+    train, test = _parts(spark, folder)
+    return rounded(T.train_classifiers(train, test, {
+        "random_forest": T.zone_pipeline(T.zone_forest(10, 6), fallback_onehot=True)}).metrics)
+
+
+@query
+def train_regressor(spark, folder):
+    train, test = _parts(spark, folder)
+    return rounded(T.train_regressors(train, test, {
+        "random_forest": T.price_pipeline(T.price_forest(20, 8)),
+        "booster": T.price_pipeline(T.price_booster(5, 4)),
+        "line": T.price_pipeline(T.price_line()),
+    }).metrics)
+
+
+@query
+def train_network(spark, folder):
+    train, test = _parts(spark, folder)
+    pipeline = T.network_pipeline(train, (32, 16), 20)
+    return rounded(T.train_classifiers(train, test, {"network": pipeline}).metrics)
+
+
+@query
+def tune_classifier(spark, folder):
+    train, _ = _parts(spark, folder)
+    _, _, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, max_rounds=3)
+    return rounded(trials)
+
+
+@query
+def tune_regressor(spark, folder):
+    train, _ = _parts(spark, folder)
+    _, _, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, max_rounds=3)
+    return rounded(trials)
+
+
+@query
+def stacking(spark, folder):
+    train, test = _parts(spark, folder)
+    stacked = T.fit_stacking(train, "LISTING_ID", {
+        "forest": T.zone_pipeline(T.zone_forest(10, 6)),
+        "plain": T.zone_pipeline(T.zone_forest(10, 8, weight=None)),
+    }, folds=3)
+    return rounded(E.evaluate_classifier(stacked.transform(test), T.LABEL, "ZONE_PRED"))
+
+
+@query
+def resample(spark, folder):
+    train, _ = _parts(spark, folder)
+    balanced = oversample_and_edit(
+        train, "LISTING_ID", ["BEDS", "BATH", "LOG_SQFT", "DIST_MANHATTAN_CENTER"], T.LABEL)
+    return balanced.groupBy(T.LABEL, "synthetic").agg(F.count("*").alias("n"))
+
+
+@query
+def shapley(spark, folder):
+    train, test = _parts(spark, folder)
+    forest, _ = _small_models(train)
+    values = explain.shapley_values(
+        test, "LISTING_ID", ALL_FEATURES, PT.zone_score(forest, 3), max_samples=100, permutations=4)
+    return rounded(explain.global_importance(values))
+
+
+@query
+def score_batch(spark, folder):
+    train, _ = _parts(spark, folder)
+    scored, _ = PS.score_batch(A.requests(spark, folder), *_small_models(train), ["request_id"])
+    return scored.select("request_id", "zone.price_zone", "zone.confidence", "price.predicted_price",
+                         "price.price_range.low", "price.price_range.high")
+
+
+# --- streams ------------------------------------------------------------------------------------
+
+
+def _event_stream(spark, folder):
+    schema = A.table(spark, folder, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _run_to_table(df, name):
+    """Run a stream over everything available and read its sink."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    S2.start_append(df, f"{path}/out", f"{path}/checkpoint", available_now=True).awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/out")
+
+
+@query
+def score_stream(spark, folder):
+    train, _ = _parts(spark, folder)
+    path = f"{shared_dir(spark)}/score-{uuid.uuid4().hex}"
+    requests = A.requests_from_events(_event_stream(spark, folder))
+    for running in S2.score_stream(requests, *_small_models(train), path, f"{path}/checkpoint", available_now=True):
+        running.awaitTermination()
+    return spark.read.parquet(f"{path}/scored").select(
+        "request_id", "zone.price_zone", "zone.confidence", "price.predicted_price",
+        "price.price_range.low", "price.price_range.high")
+
+
+@query
+def drift_stream(spark, folder):
+    old, _ = _events(spark, folder)
+    stats = M.feature_stats(old, ["value", "user_id"])
+    return rounded(_run_to_table(
+        S2.drift_stream(_event_stream(spark, folder), stats, "ts", ["value", "user_id"]), "drift"))
+
+
+@query
+def dedup_stream(spark, folder):
+    events = _event_stream(spark, folder).selectExpr(
+        "ts", "CAST(404000 + user_id * 7 AS DOUBLE) / 10000D AS LATITUDE",
+        "CAST(-743000 + user_id * 11 AS DOUBLE) / 10000D AS LONGITUDE", "CAST(user_id * 1000 AS DOUBLE) AS PRICE")
+    return _run_to_table(S2.deduplicate_stream(events, "ts", "60 days"), "dedup").drop("ts")
