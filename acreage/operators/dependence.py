@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from acreage.functions import scalar as X
 from acreage.operators.guards import LeakageError
 from acreage.operators.joins import lookup_join
 from acreage.operators.ranking import value_ranks
@@ -13,14 +12,17 @@ from acreage.session import keep, stage
 
 def pearson(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """`(feature, pearson)` from one pass without a shuffle of rows."""
+    y = F.col(target).cast("double")
+
+    def strength(feature: str):
+        x = F.when(y.isNotNull(), F.col(feature).cast("double"))
+        y_here = F.when(x.isNotNull(), y)
+        return F.try_divide(F.covar_pop(x, y_here), F.stddev_pop(x) * F.stddev_pop(y_here))
+
+    row = df.agg(*[strength(f).alias(f"r{i}") for i, f in enumerate(features)])
     scores = F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), X.nan_to_null(F.col(f"r{i}")).alias("pearson"))
-        for i, f in enumerate(features)
+        F.struct(F.lit(f).alias("feature"), F.col(f"r{i}").alias("pearson")) for i, f in enumerate(features)
     ]))
-    row = df.agg(*[
-        F.corr(F.col(f).cast("double"), F.col(target).cast("double")).alias(f"r{i}")
-        for i, f in enumerate(features)
-    ])
     return row.select(scores.alias("_s")).select("_s.*")
 
 
@@ -55,8 +57,7 @@ def _spearman(pairs: DataFrame) -> DataFrame:
     w, x, y = F.col("weight"), F.col("x_rank"), F.col("y_rank")
     return pairs.groupBy("feature").agg(
         F.sum("weight").alias("n"),
-        X.nan_to_null(F.try_divide(F.sum(w * x * y), F.sqrt(F.sum(w * x * x) * F.sum(w * y * y))))
-        .alias("spearman"),
+        F.try_divide(F.sum(w * x * y), F.sqrt(F.sum(w * x * x) * F.sum(w * y * y))).alias("spearman"),
     )
 
 
