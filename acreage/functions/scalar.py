@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from acreage.constants import BOROUGH_CODES, BOROUGH_SPELLINGS
@@ -121,11 +119,3 @@ def thresholded_argmax(p: Column, thresholds: list[float]) -> Column:
 
 def direction(c: Column) -> Column:
     return F.when(c > 0, F.lit("+")).otherwise(F.lit("-"))
-
-
-def text_sha256(text: str) -> Column:
-    return F.sha2(F.lit(text), 256)
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

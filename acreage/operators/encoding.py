@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acreage.operators.joins import lookup_join
 
@@ -71,5 +71,5 @@ def apply_target_encodings(
 
 def label_codes(df: DataFrame, label: str) -> DataFrame:
     """Alphabetical code per distinct label; meant for class labels, which are few."""
-    labels = [r[0] for r in df.select(label).distinct().orderBy(label).collect() if r[0] is not None]
-    return df.sparkSession.createDataFrame(list(enumerate(labels)), "code int, label string")
+    labels = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()
+    return labels.select((F.row_number().over(Window.orderBy("label")) - 1).alias("code"), "label")

@@ -12,12 +12,13 @@ from acreage.operators.ranking import sample_rows
 from acreage.session import stage
 
 
-def global_importance(attributions: DataFrame) -> DataFrame:
+def global_importance(attributions: DataFrame, top: int | None = None) -> DataFrame:
     """Mean absolute attribution per feature, over rows and, if present, classes; largest first."""
-    return (
+    ranked = (
         attributions.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"))
         .orderBy(F.desc("mean_abs"), "feature")
     )
+    return ranked.limit(top) if top else ranked
 
 
 def top_factors(attributions: DataFrame, n: int = 5) -> DataFrame:

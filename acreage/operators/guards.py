@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -61,12 +60,23 @@ def schema_difference_table(df: DataFrame, expected: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "status string, column string")
 
 
+def contract_locks(contracts: DataFrame, registry: DataFrame) -> DataFrame:
+    """Whether each contract text still has the hash registered for its version.
+
+    `contracts` holds version and text, `registry` version and sha256. A version that is not
+    registered is not locked.
+    """
+    digests = contracts.select("version", F.sha2(F.col("text"), 256).alias("sha256"))
+    registered = registry.select("version", F.col("sha256").alias("registered"))
+    return digests.join(registered, "version", "left").withColumn(
+        "locked", F.coalesce(F.col("sha256") == F.col("registered"), F.lit(False)))
+
+
 def contract_lock(spark: SparkSession, text: str, version: str, registry: dict[str, str]) -> DataFrame:
-    """One row saying whether the contract text still has the hash registered for its version."""
-    digest = hashlib.sha256(text.encode()).hexdigest()
-    return spark.createDataFrame(
-        [(version, digest, registry.get(version), registry.get(version) == digest)],
-        "version string, sha256 string, registered string, locked boolean",
+    """`contract_locks` of a single text."""
+    return contract_locks(
+        spark.createDataFrame([(version, text)], "version string, text string"),
+        spark.createDataFrame(list(registry.items()), "version string, sha256 string"),
     )
 
 

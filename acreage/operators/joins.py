@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, functions as F
 
 from acreage.session import keep
 
 BROADCAST_ROWS = 200_000
+HOT_SHARE = 1000
 
 
 def lookup_join(
@@ -17,15 +21,35 @@ def lookup_join(
     known_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join `rows` to a table holding one row per key.
+    """Join `rows` to a table holding one row per key, `left` or `inner`.
 
     The lookup is kept and counted, unless the caller already knows a bound. Up to
     `broadcast_rows` it is broadcast, so `rows` is not shuffled and hot keys cost nothing. Beyond
-    that both sides are shuffled by key and the adaptive skew join splits the hot ones. A null
-    key finds nothing, as in a pandas group-by.
+    that only the ordinary keys are shuffled. A null key finds nothing, as in a pandas group-by.
     """
     if known_rows is None:
         lookup = keep(lookup)
         known_rows = lookup.count()
-    table = F.broadcast(lookup) if known_rows <= broadcast_rows else lookup
-    return rows.join(table, keys, how)
+    if known_rows <= broadcast_rows:
+        return rows.join(F.broadcast(lookup), keys, how)
+    if rows.isStreaming:
+        return rows.join(lookup, keys, how)
+    return _join_hot_and_cold(rows, lookup, keys, how)
+
+
+def _join_hot_and_cold(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Broadcast the keys that hold over a thousandth of the rows each, shuffle the others.
+
+    Counting keys combines on the map side, and fewer than a thousand keys can be hot. Rows with a
+    null key would meet in one task, so they are not joined at all.
+    """
+    known = rows.dropna(subset=keys)
+    counts = known.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    hot = F.broadcast(keep(counts.filter(F.col("_rows") * HOT_SHARE > total).select(*keys)))
+    out = known.join(hot, keys, "left_anti").join(lookup, keys, how).unionByName(
+        known.join(hot, keys, "left_semi").join(F.broadcast(lookup.join(hot, keys, "left_semi")), keys, how))
+    if how == "left":
+        lost = rows.filter(reduce(or_, [F.col(k).isNull() for k in keys]))
+        out = out.unionByName(lost, allowMissingColumns=True)
+    return out

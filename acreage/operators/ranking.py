@@ -6,40 +6,43 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acreage.constants import CV_FOLDS, SEED, TEST_SHARE
 from acreage.operators.joins import lookup_join
+from acreage.session import keep
 
-# Split points per variable: 16 coarse groups of 16.
-_GROUPS = 16
-_BUCKETS = _GROUPS * _GROUPS
+# A range of distinct values that one task may sort, and the square roots of the range counts.
+_RANGE_ROWS = 1_000_000
+_GROUP_SIZES = (16, 64, 256)
 
 
 def value_ranks(long: DataFrame, variable: str, value: str) -> DataFrame:
     """Rank of every distinct `(variable, value)`: columns n, first_rank, mean_rank, total.
 
     Equal values are counted on the map side, so a hot value is one row from then on. Quantile
-    split points of the distinct values (255 per variable, fixed as literals before use) cut each
-    variable into ranges; a running count inside a range plus the size of the ranges before it
-    is the rank. No task ever sees more than one range. The number of variables must be small.
+    split points of the distinct values, fixed as literals before use, cut each variable into
+    ranges, the more the larger it is; a running count inside a range plus the size of the ranges
+    before it is the rank. No task sees more than one range. The number of variables must be small.
     """
-    counts = long.groupBy(variable, value).agg(F.count("*").alias("n"))
-    probes = [i / _BUCKETS for i in range(1, _BUCKETS)]
+    counts = keep(long.groupBy(variable, value).agg(F.count("*").alias("n")))
+    sizes = counts.groupBy(variable).agg(F.count("*").alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0] or 0
+    groups = next((g for g in _GROUP_SIZES if g * g * _RANGE_ROWS >= largest), _GROUP_SIZES[-1])
+    ranges = groups * groups
+    probes = [i / ranges for i in range(1, ranges)]
     splits = counts.groupBy(variable).agg(
-        F.array_distinct(F.percentile_approx(value, probes, 4 * _BUCKETS)).alias("splits")
+        F.array_distinct(F.percentile_approx(value, probes, 4 * ranges)).alias("splits")
     ).collect()
-    spark = long.sparkSession
-    fixed = spark.createDataFrame(
-        [(row[0], row[1], row[1][_GROUPS - 1::_GROUPS]) for row in splits],
+    fixed = long.sparkSession.createDataFrame(
+        [(row[0], row[1], row[1][groups - 1::groups]) for row in splits],
         f"{variable} string, _splits array<double>, _coarse array<double>",
     )
 
     def reached(points: Column) -> Column:
         return F.size(F.filter(points, lambda s: s <= F.col(value)))
 
-    group = reached(F.col("_coarse"))
+    first = F.col("_group") * groups
     ranged = (
         counts.join(F.broadcast(fixed), variable)
-        .withColumn("_group", group)
-        .withColumn("_range", F.col("_group") * _GROUPS
-                    + reached(F.slice(F.col("_splits"), F.col("_group") * _GROUPS + 1, F.lit(_GROUPS))))
+        .withColumn("_group", reached(F.col("_coarse")))
+        .withColumn("_range", first + reached(F.slice(F.col("_splits"), first + 1, F.lit(groups))))
         .select(variable, value, "n", "_range")
     )
     by_variable = Window.partitionBy(variable)
@@ -50,7 +53,7 @@ def value_ranks(long: DataFrame, variable: str, value: str) -> DataFrame:
         .drop("_size")
     )
     upto = F.sum("n").over(Window.partitionBy(variable, "_range").orderBy(value))
-    # at most 256 ranges per variable
+    # at most 65,536 ranges per variable
     return (
         ranged.join(F.broadcast(before), [variable, "_range"])
         .withColumn("first_rank", F.col("_before") + upto - F.col("n") + 1)
@@ -93,7 +96,7 @@ def stratified_split(
     ).select("_stratum", "_slot", (F.col("_take") - F.col("_upto") + F.col("_size")).alias("_need"))
     order = Window.partitionBy("_stratum").orderBy("_digest", key)
     last = (
-        hashed.select("_stratum", "_slot", "_digest", key).join(cut, ["_stratum", "_slot"])
+        lookup_join(hashed.select("_stratum", "_slot", "_digest", key), cut, ["_stratum", "_slot"], "inner")
         .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") == F.col("_need"))
         .select("_stratum", F.col("_digest").alias("_cut_digest"), F.col(key).alias("_cut_key"))

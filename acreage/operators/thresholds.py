@@ -6,9 +6,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from acreage.functions.scalar import thresholded_argmax
+
 FLOOR = 1e-6
 
 
+def predict_with_thresholds(probabilities: Column, thresholds: dict[str, float], labels: list[str]) -> Column:
+    """Code of the class with the largest probability relative to its threshold, 0.5 if it has none."""
+    return thresholded_argmax(probabilities, [thresholds.get(label, 0.5) for label in labels])
+
+
 def candidate_thresholds(resolution: int = 50) -> list[float]:
     return [0.1 + k * 0.8 / (resolution - 1) for k in range(resolution)]
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
 _KEPT: list[DataFrame] = []
+_STAGED: list[str] = []
 
 
 def build_session(app: str = "acreage", master: str | None = None, **conf: str) -> SparkSession:
@@ -55,6 +56,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -64,7 +66,14 @@ def keep(df: DataFrame) -> DataFrame:
     return _KEPT[-1]
 
 
-def release() -> None:
-    """Drop every table kept so far; call it when the results of a job are written."""
+def release(spark: SparkSession | None = None) -> None:
+    """Drop every table kept so far, and with a session also delete the staged ones.
+
+    Call it when the results of a job are written; frames that read staged tables end with them.
+    """
     while _KEPT:
         _KEPT.pop().unpersist()
+    if spark is not None:
+        while _STAGED:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -406,6 +406,8 @@ ORACLES: dict[str, str] = {
         {r6('ln(1 + PRICE)', 'LOG_PRICE')}, {size_category('PROPERTYSQFT')} AS SQFT_CATEGORY,
         {kept('listings', 'SUBLOCALITY')} AS SUBLOCALITY, {kept('listings', 'ZIPCODE')} AS ZIPCODE
         FROM hexed JOIN nearest ON LATITUDE = la AND LONGITUDE = lo""",
+    "labelled_listings": f"""WITH {LISTINGS} SELECT listing_id, {zone('PRICE')} AS PRICE_ZONE FROM listings
+        WHERE BEDS IS NOT NULL AND PRICE IS NOT NULL AND {zone('PRICE')} IS NOT NULL""",
     "training_data": f"""WITH {CLEAN} SELECT listing_id AS LISTING_ID, {zone('PRICE')} AS PRICE_ZONE,
         {zone_code(zone('PRICE'))} AS ZONE_CODE, {r6('ln(1 + PRICE)', 'LOG_PRICE')}, {r6('BEDS', 'BEDS')},
         {r6('BATH', 'BATH')}, {r6('PROPERTYSQFT', 'PROPERTYSQFT')}, {r6('BEDS + BATH', 'TOTAL_ROOMS')},
@@ -445,7 +447,10 @@ ORACLES: dict[str, str] = {
     "log_space_r2": f"""WITH {SCORED}, r AS (SELECT 1 - sum(pow(y - p, 2)) / (var_pop(y) * count(*)) AS r2, count(*) AS n FROM
         (SELECT ln(1 + price) AS y, ln(1 + price_pred) AS p FROM scored) t)
         SELECT round(r2, 6) AS r2_log_space, n AS n_scored, r2 > 0.95 AS triggered FROM r""",
-    "kept_in_both": f"WITH {FIREWALL} SELECT sale_id, borough_name, property_sqft FROM mapped WHERE sale_id % 2 <> 0",
+    "kept_in_both": f"WITH {FIREWALL} SELECT sale_id, borough_name, property_sqft FROM mapped WHERE year_built >= 1950",
+    "contract_locks": """SELECT doc_id AS version, sha256(text) AS sha256,
+        CASE WHEN lang <> 'de' THEN sha256(trim(text)) END AS registered,
+        coalesce(lang <> 'de' AND text = trim(text), false) AS locked FROM documents""",
     "union_files": f"""WITH {SALES} SELECT sale_id, BOROUGH, CASE WHEN BOROUGH <> 5 THEN YEAR_BUILT END AS YEAR_BUILT,
         ZIP_CODE, SALE_PRICE FROM sales""",
     "confusion": f"WITH {SCORED} SELECT y_true, y_pred, count(*) AS n FROM scored GROUP BY ALL",
@@ -506,6 +511,8 @@ ORACLES: dict[str, str] = {
         SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS code, label FROM z WHERE label IS NOT NULL""",
     "importance": f"""WITH {ATTRIBUTIONS} SELECT feature, round(avg(abs(value)), 6) AS mean_abs FROM attributions
         GROUP BY feature""",
+    "top_importance": f"""WITH {ATTRIBUTIONS} SELECT feature, round(avg(abs(value)), 6) AS mean_abs FROM attributions
+        GROUP BY feature ORDER BY avg(abs(value)) DESC, feature LIMIT 10""",
     "top_factors": f"""WITH {ATTRIBUTIONS} SELECT row_id, CAST(rank AS INTEGER) AS rank, feature,
         round_even(value, 4) AS value, CASE WHEN value > 0 THEN '+' ELSE '-' END AS direction FROM (
         SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY abs(value) DESC, feature) AS rank FROM attributions) t
@@ -531,6 +538,8 @@ ORACLES: dict[str, str] = {
         {r6(REQUEST_MANHATTAN, 'DIST_MANHATTAN_CENTER')}, {r6(REQUEST_PARK, 'DIST_CENTRAL_PARK')},
         {r6(REQUEST_MANHATTAN, 'DIST_NEAREST_SUBWAY')} FROM requests WHERE {REJECTED} = ''""",
     "feature_stats": " UNION ALL ".join(stats_sql("events", c) for c in ("value", "user_id")),
+    "saved_baseline": f"WITH {LISTINGS} " + " UNION ALL ".join(
+        stats_sql("listings", c, 4) for c in ("PRICE", "BEDS", "PROPERTYSQFT")),
     "drift": f"WITH {EVENTS}, d AS (" + " UNION ALL ".join(drift_part(c) for c in ("value", "user_id", "event_id")) + """)
         SELECT feature, round(m, 4) AS current_mean, round(bm, 4) AS baseline_mean,
         round(round_even(abs(m - bm) / bs, 4), 4) AS shift_ratio FROM d WHERE abs(m - bm) / bs > 0.001""",

@@ -21,7 +21,7 @@ from acreage.operators.spatial import nearest_station_distance
 from acreage.plans import listings as L, scoring as PS, training as PT
 from acreage.session import shared_dir
 from acreage.sources import adapters as A
-from acreage.sources.files import union_by_name
+from acreage.sources.files import load_baseline, save_baseline, union_by_name
 from acreage.streaming import jobs as S2
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +177,13 @@ def feature_pipeline(spark, folder):
         "HEX_CELL", "PRICE_ZONE", "LOG_PRICE", "SQFT_CATEGORY", "SUBLOCALITY", "ZIPCODE"))
 
 
+@query
+def labelled_listings(spark, folder):
+    return P.drop_missing_targets(P.add_target_variables(
+        A.listings(spark, folder).withColumn("PRICE", F.when(F.col("BEDS").isNotNull(), F.col("PRICE"))))
+    ).select("listing_id", "PRICE_ZONE")
+
+
 @query
 def training_data(spark, folder):
     cleaned = L.clean_listings(A.listings(spark, folder), ["listing_id"])
@@ -263,11 +270,19 @@ def log_space_r2(spark, folder):
 def kept_in_both(spark, folder):
     sales = A.rolling_sales(spark, folder)
     a, _ = W.apply_schema_map(sales, ["sale_id"], W.UNDERSCORED)
-    moved = sales.withColumn("SALE_PRICE", F.when(F.col("sale_id") % 2 == 0, F.lit("0")).otherwise(F.col("SALE_PRICE")))
+    unsold = F.col("YEAR_BUILT") < 1950
+    moved = sales.withColumn("SALE_PRICE", F.when(unsold, F.lit("0")).otherwise(F.col("SALE_PRICE")))
     b, _ = W.apply_schema_map(moved, ["sale_id"], W.UNDERSCORED)
     return guards.kept_in_both(a, b, "sale_id").select("sale_id", "borough_name", "property_sqft")
 
 
+@query
+def contract_locks(spark, folder):
+    texts = A.table(spark, folder, "documents").select(F.col("doc_id").alias("version"), "text", "lang")
+    registry = texts.filter(F.col("lang") != "de").select("version", F.sha2(F.trim("text"), 256).alias("sha256"))
+    return guards.contract_locks(texts, registry)
+
+
 @query
 def union_files(spark, folder):
     sales = A.rolling_sales(spark, folder)
@@ -327,7 +342,8 @@ def apply_thresholds(spark, folder):
     df = with_probabilities(A.scored(spark, folder))
     return df.select(
         "row_id", X.argmax(F.col("probability")).alias("plain"),
-        X.thresholded_argmax(F.col("probability"), [0.2, 0.7, 0.5, 0.4]).alias("tuned"))
+        H.predict_with_thresholds(
+            F.col("probability"), {"Low": 0.2, "Medium": 0.7, "Very High": 0.4}, PRICE_ZONES).alias("tuned"))
 
 
 @query
@@ -397,6 +413,11 @@ def importance(spark, folder):
     return rounded(explain.global_importance(A.attributions(spark, folder)))
 
 
+@query
+def top_importance(spark, folder):
+    return rounded(explain.global_importance(A.attributions(spark, folder), 10))
+
+
 @query
 def top_factors(spark, folder):
     return explain.top_factors(A.attributions(spark, folder), 5)
@@ -454,6 +475,13 @@ def feature_stats(spark, folder):
     return rounded(M.feature_stats(A.table(spark, folder, "events"), ["value", "user_id"]))
 
 
+@query
+def saved_baseline(spark, folder):
+    path = f"{shared_dir(spark)}/baseline-{uuid.uuid4().hex}"
+    save_baseline(M.feature_stats(A.listings(spark, folder), ["PRICE", "BEDS", "PROPERTYSQFT"]), path, "json")
+    return rounded(load_baseline(spark, path, "json"), 4)
+
+
 @query
 def drift(spark, folder):
     old, new = _events(spark, folder)
@@ -608,8 +636,8 @@ def score_stream(spark, folder):
 def drift_stream(spark, folder):
     old, _ = _events(spark, folder)
     stats = M.feature_stats(old, ["value", "user_id"])
-    return rounded(_run_to_table(
-        S2.drift_stream(_event_stream(spark, folder), stats, "ts", ["value", "user_id"]), "drift"))
+    out = _run_to_table(S2.drift_stream(_event_stream(spark, folder), stats, "ts", ["value", "user_id"]), "drift")
+    return rounded(out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")))
 
 
 @query

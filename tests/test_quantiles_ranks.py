@@ -6,6 +6,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from acreage.operators import ranking
+from acreage.operators.guards import same_rows
+from acreage.operators.joins import lookup_join
 from acreage.operators.quantiles import exact_quantiles, group_medians
 from acreage.operators.ranking import assign_folds, digest_rank, sample_rows, stratified_split, value_ranks
 
@@ -59,6 +62,27 @@ def test_value_ranks(spark, n):
     assert (got["total"] == n).all()
 
 
+def test_value_ranks_with_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "_RANGE_ROWS", 1)
+    values = [float(v) for v in np.random.default_rng(1).normal(size=3000)]
+    df = spark.createDataFrame([("a", v) for v in values], "variable string, value double")
+    got = value_ranks(df, "variable", "value").toPandas()
+    assert (got.sort_values("value")["first_rank"].to_numpy() == np.arange(1, 3001)).all()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_large_lookups_isolate_hot_keys(spark, how):
+    rows = spark.createDataFrame(
+        [(i, "hot" if i % 2 else f"k{i % 900}", None if i % 7 == 0 else i % 3) for i in range(4000)],
+        "i int, k string, j int")
+    lookup = rows.groupBy("k", "j").agg(F.count("*").alias("n")).filter("k <> 'k10'")
+    want = rows.join(lookup, ["k", "j"], how)
+    got = lookup_join(rows, lookup, ["k", "j"], how, broadcast_rows=0)
+    assert same_rows(want, got)
+    one = rows.groupBy("j").agg(F.count("*").alias("n"))
+    assert same_rows(rows.join(one, ["j"], how), lookup_join(rows, one, ["j"], how, broadcast_rows=0))
+
+
 def digest(key, seed=42):
     return hashlib.md5(f"{seed}:{key}".encode()).hexdigest(), key
 
