@@ -21,7 +21,7 @@ def lookup_join(
     known_rows: int | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join `rows` to a table holding one row per key, `left` or `inner`.
+    """Join `rows` to a table holding one or a few rows per key, `left` or `inner`.
 
     The lookup is kept and counted, unless the caller already knows a bound. Up to
     `broadcast_rows` it is broadcast, so `rows` is not shuffled and hot keys cost nothing. Beyond

@@ -44,23 +44,31 @@ def _boxes(points: DataFrame, lat: str, lon: str, keys: dict[str, Column], prefi
     )
 
 
-def _descend(cells: DataFrame, stations: DataFrame, side: float, extent: float, n: int) -> DataFrame:
+def _descend(cells: DataFrame, stations: DataFrame, side: float, bounds: tuple, n: int) -> DataFrame:
     """Pair every property cell with the station cells that may hold a nearest station.
 
-    From the coarsest grid down, a pair survives if its smallest possible distance does not exceed
-    the best largest distance of that property cell. Pairs per cell stay few on every level.
+    `bounds` are the least and largest latitude and longitude of the `n` stations. From the at most
+    four cells of the coarsest grid down, a pair survives if its smallest possible distance does
+    not exceed the best largest distance of that property cell. Pairs per cell stay few.
     """
-    levels = max(1, math.ceil(math.log(max(extent / side, 1.0000001), _FAN)))
+    lat0, lat1, lon0, lon1 = bounds
+    extent = max(lat1 - lat0, lon1 - lon0)
+    levels = max(1, math.ceil(math.log(max(extent / side, 1.0), _FAN)))
+
+    def coarsest(value: float) -> int:
+        return math.floor(value / side) // _FAN**levels
+
+    starts = F.array(*[
+        F.struct(F.lit(i).cast("long").alias("pi"), F.lit(j).cast("long").alias("pj"))
+        for i in range(coarsest(lat0), coarsest(lat1) + 1) for j in range(coarsest(lon0), coarsest(lon1) + 1)
+    ])
     here = Window.partitionBy("ci", "cj")
-    frontier = cells.withColumns({"pi": F.lit(0).cast("long"), "pj": F.lit(0).cast("long")})
+    frontier = cells.withColumn("_start", F.explode(starts)).select(*cells.columns, "_start.*")
     for level in range(levels, -1, -1):
-        top = level == levels
+        up = 0 if level == levels else _FAN_BITS
         nodes = _boxes(stations, "slat", "slon", {
             k: F.shiftright(F.col(k), _FAN_BITS * level) for k in ("si", "sj")
-        }, "s").withColumns({
-            "pi": F.lit(0).cast("long") if top else F.shiftright("si", _FAN_BITS),
-            "pj": F.lit(0).cast("long") if top else F.shiftright("sj", _FAN_BITS),
-        })
+        }, "s").withColumns({"pi": F.shiftright("si", up), "pj": F.shiftright("sj", up)})
         low, high = _box_bounds("c", "s")
         paired = lookup_join(frontier, nodes, ["pi", "pj"], "inner", known_rows=n)
         frontier = (
@@ -69,9 +77,7 @@ def _descend(cells: DataFrame, stations: DataFrame, side: float, extent: float,
             .drop("_low", "_best", "pi", "pj")
         )
         if level:
-            frontier = frontier.select(
-                *cells.columns, F.col("si").alias("pi"), F.col("sj").alias("pj")
-            )
+            frontier = frontier.select(*cells.columns, F.col("si").alias("pi"), F.col("sj").alias("pj"))
     return frontier
 
 
@@ -96,8 +102,8 @@ def nearest_station_distance(
     ).first()
     if n == 0:
         return df.withColumn(name, F.lit(None).cast("double"))
-    extent = max(lat1 - lat0, lon1 - lon0, 1e-9)
-    side = extent / max(1.0, math.sqrt(n))
+    bounds = (lat0, lat1, lon0, lon1)
+    side = max(lat1 - lat0, lon1 - lon0, 1e-9) / math.sqrt(n)
 
     cells_of = {"ci": lambda w: _cell(F.col(lat), w), "cj": lambda w: _cell(F.col(lon), w)}
     nearest = F.array_min(F.transform(
@@ -108,7 +114,7 @@ def nearest_station_distance(
         grid = {k: cell(side) for k, cell in cells_of.items()}
         located = spots.withColumns({"si": _cell(F.col("slat"), side), "sj": _cell(F.col("slon"), side)})
         cells = _boxes(pending.dropna(subset=[lat, lon]), lat, lon, grid, "c")
-        frontier = keep(_descend(cells, located, side, extent, n).select("ci", "cj", "si", "sj", "s_n"))
+        frontier = keep(_descend(cells, located, side, bounds, n).select("ci", "cj", "si", "sj", "s_n"))
         load = frontier.groupBy("ci", "cj").agg(F.sum("s_n").alias("_load"))
         crowded = load.filter(F.col("_load") > _LIST_ROWS).select("ci", "cj")
         done = refinement == _MAX_REFINEMENTS or crowded.isEmpty()

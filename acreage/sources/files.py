@@ -11,20 +11,25 @@ from acreage.functions.scalar import nulls_for_nan, zipcode
 from acreage.schemas import LISTING_TYPES
 
 
-def read_csv_typed(spark: SparkSession, path: str, types: dict[str, T.DataType]) -> DataFrame:
+def read_csv_typed(
+    spark: SparkSession, path: str, types: dict[str, T.DataType], position: str | None = None
+) -> DataFrame:
     """CSV with a header; names are trimmed and upper-cased, known columns get their type.
 
     Everything is read as text, so no inference pass runs and zip codes keep leading zeros. A
-    value that does not fit its type becomes null.
+    value that does not fit its type becomes null. `position` names a column with the place of the
+    row in its file, an order for exports that have no key.
     """
     raw = spark.read.option("header", True).option("quote", '"').option("escape", '"').csv(path)
-    named = raw.toDF(*[c.strip().upper() for c in raw.columns])
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    placed = raw.select("*", place.alias(position)) if position else raw
+    named = placed.toDF(*[c.strip().upper() for c in raw.columns], *([position] if position else []))
     typed = {c: F.col(f"`{c}`").try_cast(types[c]) for c in named.columns if c in types}
     return nulls_for_nan(named.withColumns(typed))
 
 
-def load_raw(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv_typed(spark, path, LISTING_TYPES)
+def load_raw(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
+    return read_csv_typed(spark, path, LISTING_TYPES, position)
 
 
 def load_geocode(spark: SparkSession, path: str) -> DataFrame:

@@ -30,6 +30,13 @@ def test_load_raw(spark, tmp_path):
         files.load_raw(spark, str(tmp_path / "missing.csv")).count()
 
 
+def test_positions_order_a_file(spark, tmp_path):
+    body = "PRICE,LATITUDE,LONGITUDE,ADDRESS\n" + "".join(f"5,40.5,-74.0,row {i}\n" for i in range(50))
+    df = files.load_raw(spark, write(tmp_path / "p.csv", body), position="place")
+    assert [r["ADDRESS"] for r in C.deduplicate(df, ["place"]).collect()] == ["row 0"]
+    assert [r["ADDRESS"] for r in df.orderBy("place").collect()] == [f"row {i}" for i in range(50)]
+
+
 HEADER = "BOROUGH,SALE PRICE ,YEAR BUILT"
 
 
