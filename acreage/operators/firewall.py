@@ -28,14 +28,19 @@ UNDERSCORED = SalesColumns(*[name.replace(" ", "_") for name in vars(SalesColumn
 
 
 def _parsed(df: DataFrame, names: SalesColumns) -> DataFrame:
-    """Add the raw columns as numbers, each parsed once for rules and features."""
+    """Add the raw columns as numbers for rules and features.
+
+    The numbers come out of a generator, through which no filter is pushed; otherwise the parsing
+    would be repeated in the filter for every mention of a number.
+    """
 
     def number(name: str) -> Column:
         return X.coerce_number(F.col(f"`{name}`"), df.schema[name].dataType)
 
     numbers = {f"_{k}": number(v) for k, v in vars(names).items() if k != "category"}
     category = F.coalesce(X.strip(F.col(f"`{names.category}`")), F.lit("nan"))
-    return df.withColumns({**numbers, "_category": category})
+    parsed = {**numbers, "_category": category}
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in parsed.items()]))))
 
 
 def _drop_reason() -> Column:
