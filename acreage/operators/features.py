@@ -107,7 +107,8 @@ def cap_categorical_cardinality(df: DataFrame, columns: list[str], max_categorie
     for row in top_values(df, present, max_categories).collect():
         kept[row["feature"]].append(row["value"])
     return df.withColumns({
-        c: F.when(F.col(c).cast("string").isin(kept[c]), F.col(c)).otherwise(F.lit("other")) for c in present
+        c: F.when(F.col(c).cast("string").isin(kept[c]), F.col(c).cast("string")).otherwise(F.lit("other"))
+        for c in present
     })
 
 

@@ -65,11 +65,12 @@ def evaluate_classifier(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return score_summary(label_scores(confusion(df, truth, predicted)))
 
 
-def class_report(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    """Per label, then the accuracy, macro and weighted rows."""
+def class_report(df: DataFrame, truth: str, predicted: str, names_of: list[str] | None = None) -> DataFrame:
+    """Per label, then the accuracy, macro and weighted rows; `names_of` names the codes from 0."""
     labels = label_scores(confusion(df, truth, predicted))
     names = ["precision", "recall", "f1"]
-    per_label = labels.select(F.col("label").cast("string").alias("label"), *names, "support")
+    shown = F.get(F.array(*[F.lit(n) for n in names_of]), F.col("label")) if names_of else F.col("label").cast("string")
+    per_label = labels.select(shown.alias("label"), *names, "support")
     n = F.sum("support")
     accuracy = F.sum("hits") / n
     macro = labels.agg(F.lit("macro avg").alias("label"), *[F.avg(c).alias(c) for c in names], n.alias("support"))

@@ -36,6 +36,12 @@ def test_cardinality_cap(spark):
     assert values["other"] == 91
 
 
+def test_cardinality_cap_of_numbers(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "ZIPCODE int")
+    out = P.cap_categorical_cardinality(df, ["ZIPCODE"], 1)
+    assert sorted(r[0] for r in out.collect()) == ["1", "1", "other"]
+
+
 def test_default_columns(spark):
     df = spark.createDataFrame([("soho",)], "SUBLOCALITY string")
     row = P.add_default_columns(df).first()

@@ -41,6 +41,8 @@ def test_class_report_rows(spark):
     assert set(rows) == {"0", "1", "2", "accuracy", "macro avg", "weighted avg"}
     assert rows["2"]["f1"] == 0 and rows["1"]["precision"] == 0.5 and rows["0"]["support"] == 2
     assert rows["accuracy"]["f1"] == 0.75
+    named = {r["label"] for r in E.class_report(df, "t", "p", ["Low", "Medium", "High"]).collect()}
+    assert {"Low", "Medium", "High", "macro avg"} <= named
 
 
 def test_confusion_matrix_is_dense(spark):
