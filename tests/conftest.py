@@ -1,4 +1,5 @@
 import os
+import random
 import sys
 
 import pytest
@@ -44,40 +45,29 @@ def listings(spark):
     ], LISTING_SCHEMA)
 
 
-SALES_ROWS = [
-    # kept: condominiums of the five boroughs
-    (1, "R4 CONDOMINIUMS", 1200, 2000, 1925, 10001, 1500000),
-    (1, "R6 CONDOMINIUMS", 1800, 2400, 1940, 10002, 2200000),
-    (1, "R4 CONDOMINIUMS", 750, 1000, 2005, 10011, 1850000),
-    (2, "R4 CONDOMINIUMS", 1400, 3000, 1965, 10451, 650000),
-    (2, "R5 CONDOMINIUMS", 900, 1200, 1980, 10452, 420000),
-    (2, "R7 CONDOMINIUMS", 1900, 2300, 1948, 10462, 720000),
-    (3, "R6 CONDOMINIUMS", 1600, 2200, 1955, 11201, 1100000),
-    (3, "R4 CONDOMINIUMS", 1100, 1500, 1995, 11215, 875000),
-    (3, "R6 CONDOMINIUMS", 2200, 2500, 1925, 11225, 1450000),
-    (4, "R5 CONDOMINIUMS", 1500, 2800, 1950, 11354, 780000),
-    (4, "R4 CONDOMINIUMS", 950, 1300, 1990, 11375, 540000),
-    (4, "R7 CONDOMINIUMS", 1700, 3200, 1960, 11385, 920000),
-    (5, "R4 CONDOMINIUMS", 2000, 4000, 1970, 10301, 680000),
-    (5, "R6 CONDOMINIUMS", 1300, 1800, 1985, 10304, 450000),
-    (5, "R5 CONDOMINIUMS", 2100, 3500, 1972, 10306, 595000),
-    # dropped: price 0, price 1, price too high, no size, no year, four other classes
-    (1, "R4 CONDOMINIUMS", 1400, 2100, 1930, 10003, 0),
-    (2, "R4 CONDOMINIUMS", 1300, 1900, 1945, 10453, 1),
-    (1, "R4 CONDOMINIUMS", 5000, 6000, 2010, 10022, 250000000),
-    (3, "R4 CONDOMINIUMS", 0, 1800, 1955, 11218, 900000),
-    (4, "R4 CONDOMINIUMS", 1600, 2400, 0, 11377, 680000),
-    (1, "01 ONE FAMILY DWELLINGS", 1400, 2000, 1925, 10001, 1400000),
-    (2, "02 TWO FAMILY DWELLINGS", 1800, 2400, 1940, 10462, 650000),
-    (1, "21 OFFICE BUILDINGS", 10000, 8000, 1970, 10007, 15000000),
-    (2, "29 COMMERCIAL GARAGES", 4500, 5000, 1965, 10456, 3400000),
-]
+def sales_rows():
+    """Fifteen sales that the contract keeps, three per borough, and nine it drops."""
+    rng = random.Random(11)
+
+    def sale(borough, category="R4 CONDOMINIUMS", **changed):
+        values = {
+            "gross": 100 * rng.randint(6, 25), "land": 100 * rng.randint(8, 45), "year": rng.randint(1915, 2015),
+            "zipcode": 10000 + 100 * borough + rng.randint(1, 90), "price": 5000 * rng.randint(60, 500), **changed}
+        return (borough, category, values["gross"], values["land"], values["year"], values["zipcode"], values["price"])
+
+    kept = [sale(b, f"R{4 + (b + i) % 4} CONDOMINIUMS") for b in range(1, 6) for i in range(3)]
+    kept[0] = (1, "R4 CONDOMINIUMS", 1150, 1900, 1931, 10009, 1_350_000)
+    dropped = [
+        sale(1, price=0), sale(2, price=9_999), sale(3, price=100_000_001), sale(4, gross=0), sale(5, year=0),
+        *[sale(b, name) for b, name in enumerate(["07 RENTALS", "22 STORES", "44 CONDO PARKING", "nan"], 1)],
+    ]
+    return kept + dropped
 
 
 @pytest.fixture
 def sales(spark):
     return spark.createDataFrame(
-        [(i, *row) for i, row in enumerate(SALES_ROWS)],
+        [(i, *row) for i, row in enumerate(sales_rows())],
         "sale_id long, BOROUGH long, `BUILDING CLASS CATEGORY` string, `GROSS SQUARE FEET` long, "
         "`LAND SQUARE FEET` long, `YEAR BUILT` long, `ZIP CODE` long, `SALE PRICE` long",
     )

@@ -1,8 +1,10 @@
 import math
 import random
+import re
 
 import pandas as pd
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from acreage.constants import PRICE_ZONE_EDGES, PRICE_ZONES
@@ -84,3 +86,22 @@ def test_hex_cells_group_near_points(spark):
 def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(float("nan"), "a")], "x double, s string")
     assert X.nulls_for_nan(df).first()["x"] is None
+
+
+TEXT = st.text(st.sampled_from("0123456789 .-ab"), max_size=12)
+PRICE = st.one_of(st.none(), st.floats(-1e7, 1e7), st.sampled_from([0.0, 5e5, 1e6, 2e6, 2000000.0000001]))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(TEXT, PRICE), min_size=20, max_size=60))
+def test_expressions_follow_a_plain_model(spark, rows):
+    df = spark.createDataFrame([(i, t, p) for i, (t, p) in enumerate(rows)], "i int, t string, p double")
+    got = df.orderBy("i").select(
+        X.zipcode(F.col("t")), X.cut(F.col("p"), PRICE_ZONE_EDGES, PRICE_ZONES), X.nearest_hundred(F.col("p"))).collect()
+    for (text, price), (code, zone, hundred) in zip(rows, got):
+        found = re.search(r"\d{5}", text)
+        assert code == (found.group() if found else "00000")
+        inside = price is not None and price >= 0
+        assert zone == (PRICE_ZONES[sum(price > e for e in PRICE_ZONE_EDGES[1:-1])] if inside else None)
+        if price is not None and abs(price / 100 % 1 - 0.5) > 1e-6:
+            assert hundred == round(price, -2)

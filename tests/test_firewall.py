@@ -24,9 +24,9 @@ def test_golden_counts(sales):
 def test_mapped_row(sales):
     mapped, _ = W.apply_schema_map(sales, ["sale_id"])
     row = mapped.filter("sale_id = 0").first().asDict()
-    assert row.pop("TARGET") == pytest.approx(np.log1p(1500000))
-    assert row == {"sale_id": 0, "borough_name": "Manhattan", "land_sqft": 2000, "property_sqft": 1200,
-                   "property_type": "R4", "year_built": 1925, "zip_code": 10001}
+    assert row.pop("TARGET") == pytest.approx(np.log1p(1_350_000))
+    assert row == {"sale_id": 0, "borough_name": "Manhattan", "land_sqft": 1900, "property_sqft": 1150,
+                   "property_type": "R4", "year_built": 1931, "zip_code": 10009}
     assert mapped.columns[1:-1] == W.MAPPED_FEATURES
 
 
