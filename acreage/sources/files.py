@@ -36,9 +36,9 @@ def load_geocode(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_typed(spark, path, LISTING_TYPES)
 
 
-def load_cleaned(spark: SparkSession, path: str) -> DataFrame:
+def load_cleaned(spark: SparkSession, path: str, position: str | None = None) -> DataFrame:
     """Cleaned listings, with five-digit zip codes."""
-    df = load_raw(spark, path)
+    df = load_raw(spark, path, position)
     return df.withColumn("ZIPCODE", zipcode(F.col("ZIPCODE"))) if "ZIPCODE" in df.columns else df
 
 

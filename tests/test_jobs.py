@@ -151,3 +151,27 @@ def test_stream_drift_equals_batch_drift(spark, tmp_path):
     want = want.filter(F.col("window_start") <= F.lit(last))
     same = [F.round(c, 9).alias(c) if c in ("current_mean", "shift") else F.col(c) for c in got.columns]
     assert G.same_rows(got.select(*same), want.select(*same)) and got.count() >= 50
+
+
+def test_command_line(spark, make_listings, tmp_path, capsys):
+    from acreage.__main__ import main
+
+    make_listings(250).drop("listing_id").toPandas().to_csv(tmp_path / "raw.csv", index=False)
+    main(["clean", "--input", str(tmp_path / "raw.csv"), "--output", str(tmp_path / "clean")])
+    main(["train", "--input", str(tmp_path / "clean"), "--models", str(tmp_path / "models"),
+          "--trees", "3", "--rounds", "1", "--no-network"])
+    row = {"request_id": 1, "beds": 2, "bath": 2.0, "propertysqft": 1200.0, "borough": "manhattan", "type": "condo",
+           "zipcode": "10022", "latitude": 40.758, "longitude": -73.985}
+    write(tmp_path / "requests.json", json.dumps(row) + "\n" + json.dumps({**row, "request_id": 2, "zipcode": "abc"}))
+    main(["score", "--requests", str(tmp_path / "requests.json"), "--models", str(tmp_path / "models"),
+          "--output", str(tmp_path / "out")])
+    assert spark.read.json(str(tmp_path / "out/scored")).first()["zone"]["price_zone"] in PRICE_ZONES
+    assert spark.read.json(str(tmp_path / "out/rejected")).first()["rejected"] == ["zipcode"]
+    main(["drift", "--current", str(tmp_path / "clean"), "--baseline", str(tmp_path / "models/drift_baseline")])
+    sales = write(tmp_path / "sales.csv", "a\nb\nc\nd\nBOROUGH,BUILDING CLASS CATEGORY,GROSS SQUARE FEET,LAND SQUARE FEET,"
+                  "YEAR BUILT,ZIP CODE,SALE PRICE\n1,R4 CONDO,\"1,000\",900,1950,10001,\"500,000\"\n2,01 HOUSE,1,1,1,1,5\n")
+    capsys.readouterr()
+    main(["firewall", "--sales", sales, "--model", str(tmp_path / "models/price_regressor_best"),
+          "--contract", write(tmp_path / "contract.md", "v1")])
+    result = json.loads(capsys.readouterr().out)
+    assert (result["n_raw"], result["n_scored"]) == (2, 1) and result["inference"]["status"] == "failed"
