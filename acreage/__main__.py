@@ -30,7 +30,9 @@ def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
-    effort = Effort(trees=args.trees, rounds=args.rounds, network=not args.no_network)
+    effort = Effort(
+        trees=args.trees, rounds=args.rounds, network=not args.no_network, clusters=args.clusters or None,
+        explained_rows=args.explained_rows)
     tables = run_training(_table(spark, args.input), args.key, args.models, args.run, effort)
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{args.models}/tables/{name}")
@@ -77,6 +79,8 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--run", default="run")
     train.add_argument("--trees", type=int, default=Effort.trees)
     train.add_argument("--rounds", type=int, default=Effort.rounds)
+    train.add_argument("--clusters", type=int, default=Effort.clusters, help="0 for none")
+    train.add_argument("--explained-rows", type=int, default=Effort.explained_rows)
     train.add_argument("--no-network", action="store_true")
     train.set_defaults(run_command=_train)
 

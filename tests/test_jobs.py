@@ -93,7 +93,7 @@ def test_firewall_run_with_a_fitting_model(spark, sales, tmp_path):
 
 
 def test_training_job(spark, make_listings, tmp_path):
-    effort = PT.Effort(trees=6, forest_depth=5, rounds=2, booster_depth=3, clusters=3, network=False,
+    effort = PT.Effort(trees=6, forest_depth=5, rounds=2, booster_depth=3, clusters=None, network=False,
                        explained_rows=10, permutations=2)
     out = PT.run_training(make_listings(300), "listing_id", str(tmp_path), effort=effort)
     assert out["classifiers"].count() == 3 and out["regressors"].count() == 3
@@ -159,7 +159,7 @@ def test_command_line(spark, make_listings, tmp_path, capsys):
     make_listings(250).drop("listing_id").toPandas().to_csv(tmp_path / "raw.csv", index=False)
     main(["clean", "--input", str(tmp_path / "raw.csv"), "--output", str(tmp_path / "clean")])
     main(["train", "--input", str(tmp_path / "clean"), "--models", str(tmp_path / "models"),
-          "--trees", "3", "--rounds", "1", "--no-network"])
+          "--trees", "3", "--rounds", "1", "--clusters", "0", "--explained-rows", "5", "--no-network"])
     row = {"request_id": 1, "beds": 2, "bath": 2.0, "propertysqft": 1200.0, "borough": "manhattan", "type": "condo",
            "zipcode": "10022", "latitude": 40.758, "longitude": -73.985}
     write(tmp_path / "requests.json", json.dumps(row) + "\n" + json.dumps({**row, "request_id": 2, "zipcode": "abc"}))
