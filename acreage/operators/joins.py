@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from acreage.session import keep
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 HOT_SHARE = 1000
 
 

@@ -400,7 +400,7 @@ ORACLES: dict[str, str] = {
     "canonical_categories": f"""WITH {LISTINGS} SELECT listing_id, """ + ", ".join(
         f"coalesce({text(c)}, 'nan') AS {c}" for c in ("BOROUGH", "TYPE", "PROPERTY_CATEGORY", "ZIPCODE", "SUBLOCALITY"))
         + " FROM listings",
-    "feature_pipeline": f"""WITH {LISTINGS}, {STATIONS}, {NEAREST}, {HEX} SELECT listing_id,
+    "listing_features": f"""WITH {LISTINGS}, {STATIONS}, {NEAREST}, {HEX} SELECT listing_id,
         {r6('BEDS + BATH', 'TOTAL_ROOMS')}, {r6(DENSITY, 'ROOMS_PER_SQFT')}, {r6(PARK, 'DIST_CENTRAL_PARK')},
         {r6('d', 'DIST_NEAREST_SUBWAY')}, cell AS HEX_CELL, {zone('PRICE')} AS PRICE_ZONE,
         {r6('ln(1 + PRICE)', 'LOG_PRICE')}, {size_category('PROPERTYSQFT')} AS SQFT_CATEGORY,

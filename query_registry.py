@@ -169,7 +169,7 @@ def canonical_categories(spark, folder):
 
 
 @query
-def feature_pipeline(spark, folder):
+def listing_features(spark, folder):
     out = L.feature_pipeline(
         A.listings(spark, folder), A.stations(spark, folder), clusters=None, keys=["listing_id"])
     return rounded(out.select(
