@@ -135,9 +135,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("weight", total / (classes * F.col("n")))
 
 
-def focal_loss(
-    df: DataFrame, truth: str, probabilities: str, gamma: float = 2.0, alpha: list[float] | None = None
-) -> Column:
+def focal_loss(truth: str, probabilities: str, gamma: float = 2.0, alpha: list[float] | None = None) -> Column:
     """Aggregate expression: mean of alpha * (1 - p)^gamma * -ln(p) at the true class."""
     p = X.clip(F.element_at(F.col(probabilities), F.col(truth) + 1), low=F.lit(LOG_FLOOR))
     weight = F.lit(1.0)
@@ -151,7 +149,7 @@ def multitask_loss(
     share: float = 0.6, gamma: float = 2.0, alpha: list[float] | None = None,
 ) -> DataFrame:
     """Focal, squared-error and combined loss of scored rows."""
-    focal = focal_loss(df, truth, probabilities, gamma, alpha)
+    focal = focal_loss(truth, probabilities, gamma, alpha)
     error = F.col(log_truth) - F.col(log_predicted)
     squared = F.avg(error * error)
     return df.agg(

@@ -349,8 +349,6 @@ ATTRIBUTIONS = """attributions AS (SELECT vec_id AS row_id, printf('f%03d', i -
   CAST(embedding[i] AS DOUBLE) AS value
   FROM (SELECT vec_id, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings) t)"""
 
-R6 = "round({0}, 6) AS {1}"
-
 
 def r6(expr: str, name: str, digits: int = 6) -> str:
     return f"round({expr}, {digits}) AS {name}"

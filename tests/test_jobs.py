@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from acreage.constants import PRICE_ZONES
 from acreage.ml import training as T
 from acreage.operators import cleaning as C, guards as G, monitoring as M
+from acreage.operators.firewall import apply_schema_map
 from acreage.plans import firewall, scoring, training as PT
 from acreage.sources import adapters as A, files
 from acreage.streaming import jobs
@@ -81,7 +82,7 @@ def test_firewall_run(spark, sales, make_listings, tmp_path):
 
 
 def test_firewall_run_with_a_fitting_model(spark, sales, tmp_path):
-    mapped, _ = __import__("acreage.operators.firewall", fromlist=["x"]).apply_schema_map(sales, [])
+    mapped, _ = apply_schema_map(sales, [])
     model = T.build_pipeline(
         T.price_line().setLabelCol("TARGET"), "TARGET", T.PRICE, numeric=firewall.NUMERIC_MAPPED,
         onehot=["borough_name"], encoded=[]).fit(mapped)

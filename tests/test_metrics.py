@@ -84,7 +84,7 @@ def test_class_weights(spark):
 
 def test_focal_loss(spark):
     df = spark.createDataFrame([(0, [0.9, 0.1]), (1, [0.9, 0.1]), (1, [1.0, 0.0])], "y int, p array<double>")
-    got = df.agg(E.focal_loss(df, "y", "p", alpha=[1.0, 3.0])).first()[0]
+    got = df.agg(E.focal_loss("y", "p", alpha=[1.0, 3.0])).first()[0]
     want = (0.01 * -math.log(0.9) + 3 * 0.81 * -math.log(0.1) + 3 * (1 - 1e-15) ** 2 * -math.log(1e-15)) / 3
     assert got == pytest.approx(want)
 
