@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acreage.llm.exact_dedup import exact_dedup
+from acreage.llm.line_dedup import line_dedup
 from acreage.llm.sharding import shard
+from acreage.llm.warc_zip import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +24,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_warc(spark, folder):
+    return round_trip(table(spark, folder, "pages")).drop("url")
+
+
+ORACLES["op1_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), k AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+FROM p LEFT JOIN k USING (payload_digest)
+"""
+
+
 @query
 def op7_exact_dedup(spark, folder):
     return exact_dedup(table(spark, folder, "documents"))
@@ -35,6 +54,37 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """
 
 
+@query
+def op9_line_dedup(spark, folder):
+    left = F.coalesce("dedup.text", F.lit("")).cast("binary")
+    return line_dedup(table(spark, folder, "documents")).select(
+        "doc_id", "dedup.n_lines", "dedup.n_removed", F.sha2(left, 256).alias("kept_sha256"))
+
+
+ORACLES["op9_line_dedup"] = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents
+), u AS (
+  SELECT doc_id, place, trim(line, ' ' || chr(9) || chr(13)) AS t,
+    row_number() OVER (PARTITION BY doc_id ORDER BY place) AS i
+  FROM l WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''
+), w AS (
+  SELECT doc_id, i, 2 AS length, t || chr(10) || lead(t) OVER (PARTITION BY doc_id ORDER BY i) AS content FROM u
+  UNION ALL
+  SELECT doc_id, i, 1, t FROM u WHERE len(regexp_extract_all(t, '[^ 	-]+')) >= 50
+), r AS (
+  SELECT doc_id, i, length, row_number() OVER (PARTITION BY length, content ORDER BY doc_id, i) AS k FROM w WHERE content IS NOT NULL
+), gone AS (
+  SELECT DISTINCT doc_id, i + j AS i FROM r, (VALUES (0), (1)) AS o(j) WHERE k > 1 AND j < length
+), dead AS (SELECT doc_id, place FROM gone JOIN u USING (doc_id, i))
+SELECT l.doc_id, count(*) AS n_lines, count(dead.place) AS n_removed,
+  sha256(coalesce(string_agg(CASE WHEN dead.place IS NULL THEN line END, chr(10) ORDER BY l.place), '')) AS kept_sha256
+FROM l LEFT JOIN dead ON l.doc_id = dead.doc_id AND l.place = dead.place GROUP BY l.doc_id
+"""
+
+
 @query
 def op10_sharding(spark, folder):
     return shard(table(spark, folder, "documents"))
