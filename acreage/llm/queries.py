@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from acreage.llm.decontam import leaks
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.line_dedup import line_dedup
 from acreage.llm.sharding import shard
@@ -41,6 +42,11 @@ FROM p LEFT JOIN k USING (payload_digest)
 """
 
 
+@query
+def op6_decontamination(spark, folder):
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_key")
+
+
 @query
 def op7_exact_dedup(spark, folder):
     return exact_dedup(table(spark, folder, "documents"))
@@ -73,7 +79,8 @@ WITH l AS (
 ), w AS (
   SELECT doc_id, i, 2 AS length, t || chr(10) || lead(t) OVER (PARTITION BY doc_id ORDER BY i) AS content FROM u
   UNION ALL
-  SELECT doc_id, i, 1, t FROM u WHERE len(regexp_extract_all(t, '[^ 	-]+')) >= 50
+  SELECT doc_id, i, 1, t FROM u WHERE len(regexp_extract_all(t, '[^ 	-
+]+')) >= 50
 ), r AS (
   SELECT doc_id, i, length, row_number() OVER (PARTITION BY length, content ORDER BY doc_id, i) AS k FROM w WHERE content IS NOT NULL
 ), gone AS (
