@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from acreage.llm.decontam import leaks
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.line_dedup import line_dedup
+from acreage.llm.minhash_join import near_duplicates
 from acreage.llm.sharding import shard
 from acreage.llm.warc_zip import round_trip
 
@@ -42,6 +43,12 @@ FROM p LEFT JOIN k USING (payload_digest)
 """
 
 
+@query
+def op5_minhash_join(spark, folder):
+    found = near_duplicates(table(spark, folder, "documents"), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op6_decontamination(spark, folder):
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_key")
