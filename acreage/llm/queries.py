@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acreage.llm.decontam import leaks
 from acreage.llm.exact_dedup import exact_dedup
+from acreage.llm.langid import identify
 from acreage.llm.line_dedup import line_dedup
 from acreage.llm.minhash_join import near_duplicates
 from acreage.llm.sharding import shard
@@ -43,6 +44,11 @@ FROM p LEFT JOIN k USING (payload_digest)
 """
 
 
+@query
+def op2_language_id(spark, folder):
+    return identify(table(spark, folder, "documents")).drop("text_key")
+
+
 @query
 def op5_minhash_join(spark, folder):
     found = near_duplicates(table(spark, folder, "documents"), width=2)
