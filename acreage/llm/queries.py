@@ -10,6 +10,7 @@ from acreage.llm.decontam import leaks
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.langid import identify
 from acreage.llm.line_dedup import line_dedup
+from acreage.llm.lm import score_texts
 from acreage.llm.minhash_join import near_duplicates
 from acreage.llm.sharding import shard
 from acreage.llm.warc_zip import round_trip
@@ -49,6 +50,11 @@ def op2_language_id(spark, folder):
     return identify(table(spark, folder, "documents")).drop("text_key")
 
 
+@query
+def op4_lm_scoring(spark, folder):
+    return score_texts(table(spark, folder, "documents"))
+
+
 @query
 def op5_minhash_join(spark, folder):
     found = near_duplicates(table(spark, folder, "documents"), width=2)
@@ -76,7 +82,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 @query
 def op9_line_dedup(spark, folder):
     left = F.coalesce("dedup.text", F.lit("")).cast("binary")
-    return line_dedup(table(spark, folder, "documents")).select(
+    return line_dedup(table(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", "dedup.n_lines", "dedup.n_removed", F.sha2(left, 256).alias("kept_sha256"))
 
 
