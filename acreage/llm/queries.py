@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from acreage.llm import pieces
 from acreage.llm.decontam import leaks
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.langid import identify
@@ -15,6 +16,9 @@ from acreage.llm.minhash_join import near_duplicates
 from acreage.llm.sharding import shard
 from acreage.llm.warc_zip import round_trip
 
+#: Vocabulary of the piece queries; a file on the driver.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -50,6 +54,11 @@ def op2_language_id(spark, folder):
     return identify(table(spark, folder, "documents")).drop("text_key")
 
 
+@query
+def op3_sentencepiece(spark, folder):
+    return pieces.round_trip(table(spark, folder, "documents"), PIECE_MODEL)
+
+
 @query
 def op4_lm_scoring(spark, folder):
     return score_texts(table(spark, folder, "documents"))
