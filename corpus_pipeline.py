@@ -2,11 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm.common import stage
+from acreage.llm.common import stage, text_of
+from acreage.llm.decontam import decontaminate
+from acreage.llm.langid import UNKNOWN, identify
+from acreage.llm.line_dedup import line_dedup
+from acreage.llm.minhash_join import drop_near_duplicates
+from acreage.llm.pieces import encode
+from acreage.llm.queries import PIECE_MODEL
 
-STAGES = []
+#: Mean label probability below which the language of a document counts as not recognised; with
+#: four languages a guess has 0.25.
+LEAST_SCORE = 0.3
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; `lang` becomes the predicted one."""
+    found = identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "lang_pred").dropDuplicates(["_id", "_key"])
+    same = (F.xxhash64(text_of().cast("binary")) == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return docs.join(found, same).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated line runs; a document of which nothing is left goes."""
+    left = line_dedup(docs)
+    cleaned = left.withColumns({"text": F.col("dedup.text"), "n_chars": F.length("dedup.text").cast("long")})
+    gone = (F.col("dedup.n_removed") > 0) & (F.trim("dedup.text") == "")
+    return cleaned.where(~F.coalesce(gone, F.lit(False))).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return drop_near_duplicates(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their piece ids."""
+    return encode(docs, PIECE_MODEL).withColumn("n_pieces", F.size("pieces"))
+
+
+STAGES = [
+    ("language_id", language), ("line_dedup", lines), ("near_dedup", near_duplicates),
+    ("decontamination", benchmark), ("sentencepiece", tokens),
+]
 
 #: Trained models and vocabularies are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
