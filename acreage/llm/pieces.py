@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from acreage.llm.common import flat_bytes, mix, seeded, slices
 
@@ -421,7 +421,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", output: str = "piece
             made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, output])
 
-    return docs.mapInArrow(run, docs.schema.add(output, "array<int>"))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(output, T.ArrayType(T.IntegerType()))]))
 
 
 def decoded(rows: DataFrame, model: str, column: str = "pieces", output: str = "text") -> DataFrame:
@@ -439,7 +439,7 @@ def decoded(rows: DataFrame, model: str, column: str = "pieces", output: str = "
                      for a, b, there in zip(offsets[:-1], offsets[1:], lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, output])
 
-    return rows.mapInArrow(run, rows.schema.add(output, "string"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(output, T.StringType())]))
 
 
 def vocabulary_name(model: str) -> str:
