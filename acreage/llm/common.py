@@ -84,6 +84,17 @@ def seeded(seed: int, n: int) -> np.ndarray:
     return drawn * np.uint64(2) + np.uint64(1)
 
 
+def join_documents(docs: DataFrame, found: DataFrame, key: str, text: str, how: str = "inner") -> DataFrame:
+    """Join `docs`, as a struct column `doc`, with rows `found` that name documents by doc_id and text_key.
+
+    No column name of `docs` can clash with one of `found`."""
+    found = found.withColumnsRenamed({"doc_id": "found_id", "text_key": "found_key"})
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(key).alias("own_id"),
+                        F.xxhash64(text_of(text).cast("binary")).alias("own_key"))
+    same = (F.col("own_key") == F.col("found_key")) & F.col("own_id").eqNullSafe(F.col("found_id"))
+    return whole.join(found, same, how)
+
+
 def split_join(rows: DataFrame, groups: DataFrame, keys: list[str], bar: float) -> DataFrame:
     """Inner join of `rows` with `groups`, which has one row per key and in `n` how many rows hold it.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from acreage.llm.common import SPACE, stage, text_of
+from acreage.llm.common import SPACE, join_documents, stage, text_of
 
 # What is stripped around words, placeholders, and units of measure.
 EDGES = ".,;:!?\"'`()[]{}<>*#%&$@~^_=+|/\\-"
@@ -24,44 +24,59 @@ UNITS = ["mm", "cm", "m", "km", "inch", "inches", "ft", "feet", "foot", "mile",
 BROADCAST_WINDOWS = 500_000
 
 
-def core(word: Column) -> Column:
-    return F.btrim(word, F.lit(EDGES))
+def strip(word: Column) -> Column:
+    """The word without punctuation around it; most words have none, which is cheaper to see than to trim."""
+    edges = list(EDGES)
+    touched = F.substring(word, -1, 1).isin(edges) | F.substring(word, 1, 1).isin(edges)
+    return F.when(touched, F.btrim(word, F.lit(EDGES))).otherwise(word)
 
 
-def is_number(word: Column) -> Column:
-    """Whether a stripped word is a number; the first letter is looked at before the pattern."""
-    return F.when((word >= "0") & (word < ":"), word.rlike(NUMERIC)).otherwise(False)
+def digit_first(word: Column) -> Column:
+    return (word >= "0") & (word < ":")
 
 
-def template_word(word: Column, before: Column) -> Column:
-    """Template form of a word, given the word before it; empty for a word of punctuation only."""
-    bare = core(word)
-    first = F.substring(bare, 1, 1)
-    inside = before.isNotNull() & (before != "") & ~F.substring(before, -1, 1).isin(SENTENCE_ENDS)
-    after_number = F.when(before.isNotNull(), is_number(core(before))).otherwise(False)
+def template_word(word: Column, before: Column, raw_before: Column) -> Column:
+    """Template form of a stripped word, given the stripped and the raw word before it (null at the start).
+
+    Empty for a word of punctuation only. Plain words starting with a-z, the most frequent, come first."""
+    low, first = F.lower(word), F.substring(word, 1, 1)
+    unit = F.when(digit_first(before), F.when(before.rlike(NUMERIC) & low.isin(UNITS), F.lit(UNIT)).otherwise(low)).otherwise(low)
+    inside = (raw_before != "") & ~F.substring(raw_before, -1, 1).isin(SENTENCE_ENDS)
     return (
-        F.when(bare == "", bare)
-        .when(is_number(bare), F.lit(NUMBER))
-        .when(F.lower(bare).isin(UNITS) & after_number, F.lit(UNIT))
+        F.when((word >= "a") & (word < "{"), unit)
+        .when(word == "", word)
+        .when(digit_first(word), F.when(word.rlike(NUMERIC), F.lit(NUMBER)).otherwise(low))
+        .when(unit == UNIT, F.lit(UNIT))
         .when((first != F.lower(first)) & inside, F.lit(NAME))
-        .otherwise(F.lower(bare))
+        .otherwise(low)
     )
 
 
 def with_words(df: DataFrame, text: str, values: bool = False) -> DataFrame:
-    """Add `words`, the template, and with `values` also `plain`, the stripped words it stands for."""
-    raw = df.withColumn("raw", F.split(text_of(text), SPACE, -1))
-    before = lambda i: F.get("raw", i - 1)
+    """Add the columns `words`, the template, and with `values` also `plain`, the stripped words it stands for."""
+    bare = df.withColumn("raw", F.split(text_of(text), SPACE, -1)).withColumn("bare", F.transform("raw", strip))
+    word = lambda w, i: template_word(w, F.get("bare", i - 1), F.get("raw", i - 1))
     if not values:
-        made = F.transform("raw", lambda w, i: template_word(w, before(i)))
-        return raw.withColumn("words", F.filter(made, lambda w: w != "")).drop("raw")
-    pair = F.filter(F.transform("raw", lambda w, i: F.struct(template_word(w, before(i)).alias("t"), F.lower(core(w)).alias("v"))),
-                    lambda x: x["t"] != "")
-    return raw.withColumn("pair", pair).withColumns({"words": F.col("pair.t"), "plain": F.col("pair.v")}).drop("raw", "pair")
+        return bare.withColumn("words", F.filter(F.transform("bare", word), lambda w: w != "")).drop("raw", "bare")
+    pair = F.transform("bare", lambda w, i: F.struct(word(w, i).alias("t"), F.lower(w).alias("v")))
+    paired = bare.withColumn("pair", F.filter(pair, lambda x: x["t"] != ""))
+    return paired.withColumns({"words": F.col("pair.t"), "plain": F.col("pair.v")}).drop("raw", "bare", "pair")
+
+
+def key_of(words: list[Column]) -> Column:
+    """Hash of word hashes; null ones, beyond the end of a shorter window, are left out."""
+    return F.xxhash64(*words)
+
 
+def window_keys(df: DataFrame, length: int) -> DataFrame:
+    """Explode `words` into the keys of all windows: (doc_id, text_key, length, p, key).
 
-def starts(n: int) -> Column:
-    return F.when(F.size("words") >= n, F.sequence(F.lit(0), F.size("words") - n)).otherwise(F.array().cast("array<int>"))
+    The words are hashed once and zipped with themselves shifted, so each window is a row of longs."""
+    hashed = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("words")
+    count = F.greatest(F.size("hashes") - (length - 1), F.lit(0))
+    rows = F.arrays_zip(*[F.slice("hashes", k + 1, count).alias(f"h{k}") for k in range(length)])
+    rows = hashed.select("doc_id", "text_key", F.posexplode(rows).alias("p", "z"))
+    return rows.select("doc_id", "text_key", F.lit(length).alias("length"), "p", key_of([F.col("z")[f"h{k}"] for k in range(length)]).alias("key"))
 
 
 def item_windows(items: DataFrame, item: str, text: str, window: int) -> DataFrame:
@@ -72,7 +87,8 @@ def item_windows(items: DataFrame, item: str, text: str, window: int) -> DataFra
     windows = F.transform(places, lambda s: F.struct(
         s.alias("q"), F.slice("words", s + 1, F.col("length")).alias("bc"), F.slice("plain", s + 1, F.col("length")).alias("bv")))
     out = words.select("item_id", F.size("words").alias("item_words"), "length", F.explode(windows).alias("w"))
-    return out.select("item_id", "item_words", "length", "w.*", F.xxhash64("w.bc").alias("key"))
+    hashes = [F.when(F.col("length") > k, F.xxhash64(F.get("w.bc", F.lit(k)))) for k in range(window)]
+    return out.select("item_id", "item_words", "length", "w.*", key_of(hashes).alias("key"))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -95,14 +111,14 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     hashed = with_words(docs, "body").select("doc_id", "text_key", "words")
     found = None
     for n in sizes:
-        at = F.transform(starts(n), lambda s: F.xxhash64(F.slice("words", s + 1, n)))
-        hits = hashed.select("doc_id", "text_key", F.lit(n).alias("length"), F.posexplode(at).alias("p", "key")).join(keys, "key", "left_semi")
+        hits = window_keys(hashed, n).join(keys, "key", "left_semi")
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         found = docs.select("doc_id", "text_key", F.lit(0).alias("length"), F.lit(0).alias("p"), F.lit(0).cast("long").alias("key")).limit(0)
     found = stage(found.distinct(), "hits")
     per_doc = found.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("p", "length", "key")).alias("hits"))
     per_doc = per_doc.select(F.col("doc_id").alias("id2"), F.col("text_key").alias("key2"), "hits")
+    per_doc = per_doc.hint("merge")  # the number of hits is not bounded
     holders = with_words(docs.join(per_doc, (F.col("text_key") == F.col("key2")) & F.col("doc_id").eqNullSafe(F.col("id2"))), "body", values=True)
     spans = F.transform("hits", lambda x: F.struct(
         x["p"].alias("p"), x["length"].alias("length"), x["key"].alias("key"),
@@ -139,6 +155,5 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """`docs` without the rows that hold a benchmark item; null texts stay, columns are unchanged."""
-    bad = leaks(docs, items, key, text, **how).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    mine = F.xxhash64(text_of(text).cast("binary"))
-    return docs.join(bad, (mine == F.col("_key")) & F.col(key).eqNullSafe(F.col("_id")), "left_anti")
+    bad = leaks(docs, items, key, text, **how).select("doc_id", "text_key").distinct()
+    return join_documents(docs, bad, key, text, "left_anti").select("doc.*")
