@@ -13,6 +13,7 @@ from acreage.llm.langid import identify
 from acreage.llm.line_dedup import line_dedup
 from acreage.llm.lm import score_texts
 from acreage.llm.minhash_join import near_duplicates
+from acreage.llm.run_index import remove_repeats
 from acreage.llm.sharding import shard
 from acreage.llm.warc_zip import round_trip
 
@@ -88,6 +89,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """
 
 
+@query
+def op8_run_index(spark, folder):
+    return remove_repeats(table(spark, folder, "documents"))
+
+
 @query
 def op9_line_dedup(spark, folder):
     left = F.coalesce("dedup.text", F.lit("")).cast("binary")
