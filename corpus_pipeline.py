@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm.common import stage, text_of
+from acreage.llm.common import join_documents, stage
 from acreage.llm.decontam import decontaminate
 from acreage.llm.langid import UNKNOWN, identify
 from acreage.llm.line_dedup import line_dedup
@@ -15,14 +15,15 @@ from acreage.llm.queries import PIECE_MODEL
 #: Mean label probability below which the language of a document counts as not recognised; with
 #: four languages a guess has 0.25.
 LEAST_SCORE = 0.3
+PREDICTED = "_predicted_language"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; `lang` becomes the predicted one."""
     found = identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "lang_pred").dropDuplicates(["_id", "_key"])
-    same = (F.xxhash64(text_of().cast("binary")) == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return docs.join(found, same).withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    found = found.select("doc_id", "text_key", "lang_pred").dropDuplicates(["doc_id", "text_key"])
+    whole = join_documents(docs, found, "doc_id", "text").select("doc.*", F.col("lang_pred").alias(PREDICTED))
+    return whole.withColumn("lang", F.col(PREDICTED)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
