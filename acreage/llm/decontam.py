@@ -47,7 +47,7 @@ def template_word(word: Column, before: Column, raw_before: Column) -> Column:
         .when(word == "", word)
         .when(digit_first(word), F.when(word.rlike(NUMERIC), F.lit(NUMBER)).otherwise(low))
         .when(unit == UNIT, F.lit(UNIT))
-        .when((first != F.lower(first)) & inside, F.lit(NAME))
+        .when((first != F.lower(first)) & inside & (F.substr(word, F.lit(2)) == F.substr(low, F.lit(2))), F.lit(NAME))
         .otherwise(low)
     )
 
