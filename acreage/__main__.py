@@ -7,7 +7,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acreage.ml.training import load_model
+from acreage.ml.training import load_model, load_thresholds
 from acreage.operators.monitoring import check_drift
 from acreage.plans.firewall import run_firewall
 from acreage.plans.listings import clean_listings
@@ -31,7 +31,7 @@ def _clean(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     effort = Effort(
-        trees=args.trees, rounds=args.rounds, network=not args.no_network, clusters=args.clusters or None,
+        trees=args.trees, rounds=args.rounds, network=not args.no_network, clusters=args.clusters or None, trials=args.trials,
         explained_rows=args.explained_rows)
     tables = run_training(_table(spark, args.input), args.key, args.models, args.run, effort)
     for name, df in tables.items():
@@ -44,7 +44,7 @@ def _score(spark: SparkSession, args: argparse.Namespace) -> None:
     requests = spark.read.schema(REQUESTS).json(args.requests)
     scored, rejected = score_batch(
         requests, load_model(f"{args.models}/price_zone_best"), load_model(f"{args.models}/price_regressor_best"),
-        ["request_id"])
+        ["request_id"], load_thresholds(f"{args.models}/price_zone_best"))
     scored.write.mode("overwrite").json(f"{args.output}/scored")
     rejected.write.mode("overwrite").json(f"{args.output}/rejected")
 
@@ -81,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--rounds", type=int, default=Effort.rounds)
     train.add_argument("--clusters", type=int, default=Effort.clusters, help="0 for none")
     train.add_argument("--explained-rows", type=int, default=Effort.explained_rows)
+    train.add_argument("--trials", type=int, default=Effort.trials, help="of the parameter search; 0 for none")
     train.add_argument("--no-network", action="store_true")
     train.set_defaults(run_command=_train)
 

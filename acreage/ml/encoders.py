@@ -116,7 +116,7 @@ class SmoothedTargetEncoder(Estimator, _Columns, HasLabelCol, DefaultParamsReada
         )
         model = SmoothedTargetEncoderModel(
             inputCols=self.getInputCols(), outputCols=self.getOutputCols(), prior=prior)
-        return model._bind(stage(table.drop("n"), "encodings"))
+        return model._bind(stage(table.drop("n"), "encodings", owned=True))
 
 
 class SmoothedTargetEncoderModel(Model, _Columns, MLReadable, MLWritable):

@@ -15,20 +15,26 @@ from acreage.operators.ranking import digest_rank
 from acreage.session import stage
 
 _PAIR = "key long, other long"
+#: Copies of one row that one task makes.
+_COPIES = 10_000
 
 
 def _adjacent(reach: int):
-    """Pairs of rows at most `reach` apart in a sorted partition, within one projection and group."""
+    """Pairs of rows whose ranks are at most `reach` apart, within one projection and group.
+
+    Rows come sorted by block and rank; a block also holds the rows that follow it within reach, and a
+    pair belongs to the block of its earlier row."""
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tail = pd.DataFrame({"part": [], "key": []})
+        tail = pd.DataFrame({"block": [], "part": [], "rank": [], "key": [], "own": []})
         for batch in batches:
-            rows = pd.concat([tail, batch[["part", "key"]]], ignore_index=True)
-            part, key, old = rows["part"].to_numpy(), rows["key"].to_numpy(dtype="int64"), len(tail)
+            rows = pd.concat([tail, batch[list(tail.columns)]], ignore_index=True)
+            block, part, own = rows["block"].to_numpy(), rows["part"].to_numpy(), rows["own"].to_numpy(dtype=bool)
+            key, old = rows["key"].to_numpy(dtype="int64"), len(tail)
             for offset in range(1, min(reach, len(rows) - 1) + 1):
                 # the later row of each pair is new, so that no pair comes twice
                 later = np.arange(max(offset, old), len(rows))
-                later = later[part[later] == part[later - offset]]
+                later = later[(part[later] == part[later - offset]) & (block[later] == block[later - offset]) & own[later - offset]]
                 a, b = key[later], key[later - offset]
                 yield pd.DataFrame({"key": np.concatenate([a, b]), "other": np.concatenate([b, a])})
             tail = rows.tail(reach)
@@ -36,6 +42,21 @@ def _adjacent(reach: int):
     return pairs
 
 
+def _ranked(rows: DataFrame, order: list[str]) -> DataFrame:
+    """`rows` with their place in `order`, which must be total; no task sees more than its share."""
+    sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stage(sorted_.withColumn("_id", F.monotonically_increasing_id()), "sorted")
+    task = F.shiftright("_id", 33)
+    counts = placed.groupBy(task.alias("_task")).agg(F.count("*").alias("n")).orderBy("_task").collect()
+    starts, seen = [], 0
+    for r in counts:  # one row per task
+        starts.append((r["_task"], seen))
+        seen += r["n"]
+    table = F.broadcast(rows.sparkSession.createDataFrame(starts, "_task long, _start long"))
+    within = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("_task", task).join(table, "_task").withColumn("rank", F.col("_start") + within).drop("_id", "_task", "_start")
+
+
 def _squared_distance(a: str, b: str) -> Column:
     gaps = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
     return F.aggregate(gaps, F.lit(0.0), lambda total, x: total + x)
@@ -43,15 +64,16 @@ def _squared_distance(a: str, b: str) -> Column:
 
 def neighbours(
     df: DataFrame, key: str, vector: str, k: int, dimensions: int, group: str | None = None,
-    projections: int = 4, reach: int | None = None, seed: int = SEED,
+    projections: int = 8, reach: int | None = None, seed: int = SEED, block: int = 10_000,
 ) -> DataFrame:
     """`(key, other, distance)`: the k nearest of the rows found near each row, within its group.
 
-    Rows are sorted along seeded random directions by a range shuffle, whose ties are spread by a
-    hash, and compared with the `reach` rows on either side. The result is exact once `reach`
-    covers a group and approximate below; the pairs stay linear in the rows either way.
+    Rows are ranked along seeded random directions, ties by a hash of the key, and compared with the
+    `reach` rows on either side. Ranks are cut into blocks that overlap by `reach`, so the answer is the same
+    for any number of partitions. It is exact once `reach` covers a group and approximate below; the
+    pairs stay linear in the rows either way.
     """
-    reach = reach or 2 * k
+    reach = reach or 8 * k
     rng = random.Random(seed)
     directions = [[rng.gauss(0, 1) for _ in range(dimensions)] for _ in range(projections)]
     along = F.array(*[
@@ -61,9 +83,13 @@ def neighbours(
     name = F.col(group).cast("string") if group else F.lit("")
     placed = df.select(F.col(key).alias("key"), name.alias("_group"), F.posexplode(along).alias("_line", "_at")).select(
         F.concat_ws(":", "_line", "_group").alias("part"), "_at", F.xxhash64("key").alias("_spread"), "key")
-    order = ["part", "_at", "_spread"]
+    ranked = _ranked(placed, ["part", "_at", "_spread", "key"]).select("part", "rank", "key")
+    home = F.floor(F.col("rank") / block)
+    # rows within reach of a block's end are also shown to the blocks before
+    blocks = F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("rank") - reach) / block)), home))
+    shown = ranked.withColumn("block", blocks).withColumn("own", F.col("block") == home)
     found = (
-        placed.repartitionByRange(*order).sortWithinPartitions(*order)
+        shown.repartition("block").sortWithinPartitions("block", "rank")
         .mapInPandas(_adjacent(reach), _PAIR).distinct()
     )
     here = df.select(F.col(key).alias("key"), F.col(vector).alias("_a"))
@@ -104,7 +130,9 @@ def oversample(
     copies = (
         digest_rank(small, key, label, seed, "_rank").join(near, key, "left")
         .withColumn("_copies", many).filter(F.col("_copies") > 0)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        .withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"), F.lit(_COPIES).cast("long"))))
+        .repartition(F.xxhash64(key, "_from"))  # a rare row's many copies are made by many tasks
+        .withColumn("_copy", F.explode(F.sequence("_from", F.least("_copies", F.col("_from") + _COPIES - 1))))
         .withColumn("_pick", F.get(
             F.array_sort("_others"),
             F.floor(_uniform(key, "_copy", F.lit(seed)) * F.size("_others")).cast("int")))

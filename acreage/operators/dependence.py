@@ -26,7 +26,7 @@ def pearson(df: DataFrame, features: list[str], target: str) -> DataFrame:
     return row.select(scores.alias("_s")).select("_s.*")
 
 
-def _ranked_pairs(df: DataFrame, features: list[str], target: str) -> DataFrame:
+def _ranked_pairs(df: DataFrame, features: list[str], target: str, bins: int) -> DataFrame:
     """`(feature, n, rank and bin of both sides)` per distinct pair of values."""
     long = (
         df.select(F.explode(F.array(*[
@@ -34,17 +34,18 @@ def _ranked_pairs(df: DataFrame, features: list[str], target: str) -> DataFrame:
                      F.col(target).cast("double").alias("y")) for f in features
         ])).alias("_p")).select("_p.*").filter(F.col("x").isNotNull() & F.col("y").isNotNull())
     )
+    # features go by their number, so that names of any length and form do
+    place = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature")).cast("string")
     pairs = long.groupBy("feature", "x", "y").agg(F.count("*").alias("weight"))
     sides = F.explode(F.array(*[
-        F.struct(F.concat(F.lit(f"{side}:"), F.col("feature")).alias("variable"), F.col(side).alias("value"))
+        F.struct(F.concat(F.lit(f"{side}:"), place).alias("variable"), F.col(side).alias("value"))
         for side in ("x", "y")
     ]))
     ranks = keep(value_ranks(long.select(sides.alias("_s")).select("_s.*"), "variable", "value"))
 
-    bins = F.greatest(F.lit(2), F.least(F.lit(10), F.floor(F.sqrt(F.col("total") / 5)))).cast("long")
     for side in ("x", "y"):
         table = ranks.filter(F.col("variable").startswith(f"{side}:")).select(
-            F.substring("variable", 3, 1000).alias("feature"),
+            F.element_at(F.array(*[F.lit(f) for f in features]), F.split("variable", ":")[1].cast("int")).alias("feature"),
             F.col("value").alias(side),
             (F.col("mean_rank") - (F.col("total") + 1) / 2).alias(f"{side}_rank"),
             F.floor(bins * (F.col("first_rank") - 1) / F.col("total")).alias(f"{side}_bin"),
@@ -62,12 +63,13 @@ def _spearman(pairs: DataFrame) -> DataFrame:
 
 
 def _normalised_information(pairs: DataFrame) -> DataFrame:
-    """At most a hundred cells per feature reach the windows."""
+    """At most bins * bins cells per feature reach the windows."""
     cells = pairs.groupBy("feature", "x_bin", "y_bin").agg(F.sum("weight").alias("n"))
     whole = Window.partitionBy("feature")
     n, total = F.col("n"), F.sum("n").over(whole)
     cells = cells.select(
         "feature", n, total.alias("total"),
+        F.size(F.collect_set("x_bin").over(whole)).alias("kx"), F.size(F.collect_set("y_bin").over(whole)).alias("ky"),
         F.sum("n").over(Window.partitionBy("feature", "x_bin")).alias("nx"),
         F.sum("n").over(Window.partitionBy("feature", "y_bin")).alias("ny"),
     )
@@ -75,27 +77,32 @@ def _normalised_information(pairs: DataFrame) -> DataFrame:
     hx = -F.sum(share * F.ln(F.col("nx") / F.col("total")))
     hy = -F.sum(share * F.ln(F.col("ny") / F.col("total")))
     gain = F.sum(share * F.ln(share / (F.col("nx") / F.col("total")) / (F.col("ny") / F.col("total"))))
+    # what independent sides would share on average, which few rows in many bins make large
+    free = (F.first("kx") - 1) * (F.first("ky") - 1)
+    chance = free / (2 * F.first("total"))
     return cells.groupBy("feature").agg(
-        F.when((hx <= 0) | (hy <= 0), F.lit(0.0)).otherwise(F.try_divide(gain, F.sqrt(hx * hy))).alias("nmi")
+        F.when((hx <= 0) | (hy <= 0), F.lit(0.0)).otherwise(F.try_divide(gain, F.sqrt(hx * hy))).alias("nmi"),
+        F.when((hx > 0) & (hy > 0), F.try_divide(gain - chance, F.sqrt(hx * hy))).alias("beyond_chance"),
     )
 
 
 def dependence_scores(
-    df: DataFrame, features: list[str], target: str, max_abs_corr: float = 0.95, nmi_threshold: float = 0.8
+    df: DataFrame, features: list[str], target: str, max_abs_corr: float = 0.95, nmi_threshold: float = 0.8,
+    bins: int = 10,
 ) -> DataFrame:
-    """Per feature: n, pearson, spearman, nmi and the verdict `flagged`.
+    """Per feature: n, pearson, spearman, nmi over `bins` equal-frequency bins, and the verdict `flagged`.
 
-    Ranks use the rows where both sides are present. Rows are counted per distinct pair and ranks
+    Information counts for the verdict as far as it exceeds chance. Ranks use the rows where both sides are present. Rows are counted per distinct pair and ranks
     per distinct value, so a hot value is a single row when the two are joined.
     """
     df = stage(df.select(*features, target), "dependence")
-    pairs = keep(_ranked_pairs(df, features, target))
+    pairs = keep(_ranked_pairs(df, features, target, bins))
     scores = (
         _spearman(pairs).join(_normalised_information(pairs), "feature")
         .join(pearson(df, features, target), "feature")
     )
     flagged = (
-        (F.abs("pearson") > max_abs_corr) | (F.abs("spearman") > max_abs_corr) | (F.col("nmi") > nmi_threshold)
+        (F.abs("pearson") > max_abs_corr) | (F.abs("spearman") > max_abs_corr) | (F.col("beyond_chance") > nmi_threshold)
     )
     return scores.select(
         "feature", "n", "pearson", "spearman", "nmi", F.coalesce(flagged, F.lit(False)).alias("flagged")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from acreage.operators.joins import lookup_join
+from acreage.session import keep
 
 SMOOTHING = 10.0
 MIN_SAMPLES_LEAF = 20
@@ -57,7 +58,7 @@ def apply_target_encodings(
     df: DataFrame, encodings: DataFrame, prior: float, columns: list[str], suffix: str = "_TE"
 ) -> DataFrame:
     """Add the encoded value of each column; unseen and null categories get the prior."""
-    out = df
+    out, encodings = df, keep(encodings)
     for c in columns:
         table = encodings.filter(F.col("feature") == c).select(
             F.col("category").alias(f"_key_{c}"), F.col("encoded").alias(f"_enc_{c}")
@@ -72,4 +73,5 @@ def apply_target_encodings(
 def label_codes(df: DataFrame, label: str) -> DataFrame:
     """Alphabetical code per distinct label; meant for class labels, which are few."""
     labels = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()
-    return labels.select((F.row_number().over(Window.orderBy("label")) - 1).alias("code"), "label")
+    known = labels.agg(F.array_sort(F.collect_set("label")).alias("labels"))
+    return known.select(F.posexplode("labels").alias("code", "label"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from acreage.session import keep
 
-BROADCAST_ROWS = 500_000
+#: Most bytes of a lookup that are broadcast.
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 1000
 
 
@@ -19,24 +20,47 @@ def lookup_join(
     keys: list[str],
     how: str = "left",
     known_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join `rows` to a table holding one or a few rows per key, `left` or `inner`.
 
-    The lookup is kept and counted, unless the caller already knows a bound. Up to
-    `broadcast_rows` it is broadcast, so `rows` is not shuffled and hot keys cost nothing. Beyond
-    that only the ordinary keys are shuffled. A null key finds nothing, as in a pandas group-by.
+    The lookup is kept and measured, unless its rows are of fixed width and the caller knows a bound of
+    their number. Up to `broadcast_bytes` it is broadcast, so `rows` is not shuffled and hot keys cost
+    nothing. Beyond that only the ordinary keys are shuffled. A null key finds nothing, as in a
+    pandas group-by.
     """
-    if known_rows is None:
+    if known_rows is None or not all(_width(f.dataType) for f in lookup.schema):
         lookup = keep(lookup)
-        known_rows = lookup.count()
-    if known_rows <= broadcast_rows:
+        size = lookup.agg(F.sum(_bytes(lookup))).first()[0] or 0
+    else:
+        size = known_rows * (16 + sum(_width(f.dataType) for f in lookup.schema))
+    if size <= broadcast_bytes:
         return rows.join(F.broadcast(lookup), keys, how)
     if rows.isStreaming:
         return rows.join(lookup, keys, how)
     return _join_hot_and_cold(rows, lookup, keys, how)
 
 
+def _width(kind: T.DataType) -> int:
+    """Bytes of a value of fixed width, 0 for others."""
+    return 0 if isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)) else 8
+
+
+def _bytes(lookup: DataFrame) -> Column:
+    """Bytes of a row: fixed widths, lengths of strings, and elements of arrays by their fixed width."""
+    total = F.lit(16)
+    for f in lookup.schema:
+        if isinstance(f.dataType, T.ArrayType):
+            inner = f.dataType.elementType
+            width = sum(_width(x.dataType) or 64 for x in inner) if isinstance(inner, T.StructType) else _width(inner) or 64
+            total = total + F.coalesce(F.size(f.name) * F.lit(width), F.lit(0))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(f.name), F.lit(0))
+        else:
+            total = total + F.lit(_width(f.dataType) or 64)
+    return total.cast("long")
+
+
 def _join_hot_and_cold(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Broadcast the keys that hold over a thousandth of the rows each, shuffle the others.
 

@@ -99,10 +99,13 @@ def evaluate_by_group(
 
 
 def evaluate_regressor(df: DataFrame, truth: str, predicted: str, log_target: bool = True) -> DataFrame:
-    """One pass: R2, RMSE, MAE, and on the original scale also RMSE, MAE and MAPE."""
+    """One pass: R2, RMSE, MAE, and on the original scale also RMSE, MAE and MAPE.
+
+    R2 of a truth that does not vary is 1 for a perfect fit and 0 for any other."""
     y, p = F.col(truth), F.col(predicted)
     error = y - p
-    r2 = F.lit(1.0) - F.try_divide(F.sum(error * error), F.var_pop(y) * F.count(y))
+    loss, spread = F.sum(error * error), F.var_pop(y) * F.count(y)
+    r2 = F.when(F.min(y) == F.max(y), F.when(loss == 0, 1.0).otherwise(0.0)).otherwise(F.lit(1.0) - F.try_divide(loss, spread))
     out = [
         r2.alias("r2"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"),
     ]

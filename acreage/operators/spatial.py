@@ -8,13 +8,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acreage.functions.geo import flat_distance
 from acreage.operators.joins import lookup_join
-from acreage.session import keep
+from acreage.session import keep, stage
 
 # Each level of the station grid splits a cell into FAN x FAN; FAN is 2 to the power FAN_BITS.
 _FAN_BITS = 3
 _FAN = 1 << _FAN_BITS
 _LIST_ROWS = 256
-_MAX_REFINEMENTS = 8
 
 
 def _cell(value: Column, side: float) -> Column:
@@ -109,15 +108,17 @@ def nearest_station_distance(
     nearest = F.array_min(F.transform(
         "_near", lambda s: flat_distance(F.col(lat), F.col(lon), s["slat"], s["slon"])
     ))
-    out, pending = None, df
-    for refinement in range(_MAX_REFINEMENTS + 1):
+    out, pending = None, stage(df, "places")
+    while True:
         grid = {k: cell(side) for k, cell in cells_of.items()}
         located = spots.withColumns({"si": _cell(F.col("slat"), side), "sj": _cell(F.col("slon"), side)})
         cells = _boxes(pending.dropna(subset=[lat, lon]), lat, lon, grid, "c")
         frontier = keep(_descend(cells, located, side, bounds, n).select("ci", "cj", "si", "sj", "s_n"))
         load = frontier.groupBy("ci", "cj").agg(F.sum("s_n").alias("_load"))
-        crowded = load.filter(F.col("_load") > _LIST_ROWS).select("ci", "cj")
-        done = refinement == _MAX_REFINEMENTS or crowded.isEmpty()
+        # a cell of one spot cannot be cut further; its list holds the stations at equal distance
+        spot = cells.filter((F.col("c_lat0") == F.col("c_lat1")) & (F.col("c_lon0") == F.col("c_lon1"))).select("ci", "cj")
+        crowded = keep(load.filter(F.col("_load") > _LIST_ROWS).select("ci", "cj").join(spot, ["ci", "cj"], "left_anti"))
+        done = crowded.isEmpty()
         listed = frontier if done else frontier.join(crowded, ["ci", "cj"], "left_anti")
         lists = (
             listed.join(located, ["si", "sj"])
@@ -129,6 +130,5 @@ def nearest_station_distance(
         out = part if out is None else out.unionByName(part)
         if done:
             return out
-        pending = placed.join(crowded, ["ci", "cj"], "left_semi").select(*df.columns)
+        pending = stage(placed.join(crowded, ["ci", "cj"], "left_semi").select(*df.columns), "places")
         side /= _FAN
-    return out

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from acreage.functions.scalar import thresholded_argmax
+from acreage.session import stage
 
 FLOOR = 1e-6
 
@@ -92,14 +93,18 @@ def optimize_thresholds(
     """
     candidates = candidate_thresholds(resolution)
     thresholds = [0.5] * len(labels)
-    start = sweep_class(df, probabilities, truth, thresholds, 0, [0.5]).collect()
-    best = macro_f1({(r["y_true"], r["y_pred"]): r["n"] for r in start})
-    rows = []
+    df = stage(df.select(truth, probabilities), "thresholds")  # read once per class
+    best, rows = None, []
     for cls, label in enumerate(labels):
-        tables: dict[int, dict] = {k: {} for k in range(resolution)}
+        # the first pass also tells the score of the start, as one more candidate
+        tried = candidates if best is not None else sorted({*candidates, 0.5})
+        found: dict[int, dict] = {k: {} for k in range(len(tried))}
         # at most candidates * classes * classes rows
-        for r in sweep_class(df, probabilities, truth, thresholds, cls, candidates).collect():
-            tables[r["candidate"]][r["y_true"], r["y_pred"]] = r["n"]
+        for r in sweep_class(df, probabilities, truth, thresholds, cls, tried).collect():
+            found[r["candidate"]][r["y_true"], r["y_pred"]] = r["n"]
+        tables = [found[tried.index(t)] for t in candidates]
+        if best is None:
+            best = macro_f1(found[tried.index(0.5)])
         for k, t in enumerate(candidates):
             score = macro_f1(tables[k])
             if score > best:

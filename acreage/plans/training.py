@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,6 +32,8 @@ class Effort:
     network_iterations: int = 80
     explained_rows: int = 200
     permutations: int = 16
+    trials: int = 0  # of the parameter search; 0 trains without one
+    folds: int = 5
 
 
 def training_table(cleaned: DataFrame, key: str, clusters: int | None = 15) -> DataFrame:
@@ -75,16 +77,23 @@ def run_training(
         "booster": T.price_pipeline(T.price_booster(effort.rounds, effort.booster_depth)),
         "line": T.price_pipeline(T.price_line()),
     }
+    chosen: dict[str, dict] = {}
+    if effort.trials:
+        plain = train.drop("fold") if "fold" in train.columns else train
+        _, chosen["zone_tuned_booster"], _ = T.tune_classifier(plain, key, effort.trials, effort.folds)
+        _, chosen["price_tuned_booster"], _ = T.tune_regressor(plain, key, effort.trials, effort.folds)
+        zones["tuned_booster"] = T.zone_pipeline(T.tuned_zone_booster(chosen["zone_tuned_booster"]))
+        prices["tuned_booster"] = T.price_pipeline(T.tuned_price_booster(chosen["price_tuned_booster"]))
     classified = T.train_classifiers(train, test, zones)
     regressed = T.train_regressors(train, test, prices)
-    T.save_model(classified.best_model, f"{folder}/price_zone_best")
     T.save_model(regressed.best_model, f"{folder}/price_regressor_best")
     for prefix, trained in (("zone", classified), ("price", regressed)):
         for r in trained.metrics.collect():
             values = r.asDict()
             model = values.pop("model")
             values.pop("position")
-            log_metrics(spark, f"{folder}/metrics", run, f"{prefix}_{model}", values)
+            used = {**asdict(effort), **chosen.get(f"{prefix}_{model}", {})}
+            log_metrics(spark, f"{folder}/metrics", run, f"{prefix}_{model}", values, used)
 
     parts = stratified_split(train, key, "PRICE_ZONE", seed=7)
     fitted = zones[classified.best].fit(parts.filter("split = 'train'"))
@@ -92,6 +101,7 @@ def run_training(
         T.LABEL, T.probabilities().alias("probability"))
     tuned = H.optimize_thresholds(stage(held, "validation"), "probability", T.LABEL, PRICE_ZONES)
     cuts = [r["threshold"] for r in tuned.orderBy("position").collect()]
+    T.save_model(classified.best_model, f"{folder}/price_zone_best", cuts)
     judged = classified.best_model.transform(test).withColumn(
         "TUNED_PRED", thresholded_argmax(T.probabilities(), cuts))
 

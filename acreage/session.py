@@ -4,12 +4,36 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
-_KEPT: list[DataFrame] = []
-_STAGED: list[str] = []
+
+
+@dataclass
+class Scope:
+    """What a job keeps and stages, so that it drops its own tables and no others."""
+
+    kept: list[DataFrame] = field(default_factory=list)
+    staged: list[str] = field(default_factory=list)
+
+
+_SCOPE: ContextVar[Scope] = ContextVar("scope", default=Scope())
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """A scope of its own: what the block keeps and stages is dropped at its end, also beside other jobs."""
+    token = _SCOPE.set(Scope())
+    try:
+        yield
+    finally:
+        release(spark)
+        _SCOPE.reset(token)
 
 
 def build_session(app: str = "acreage", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,32 +72,37 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL_DIRS[app]
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, owned: bool = False) -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage with a columnar table that survives lost executors; later passes prune
-    columns and push filters into it, which a row-wise checkpoint cannot.
+    columns and push filters into it, which a row-wise checkpoint cannot. An `owned` table belongs
+    to a fitted model and outlives the job.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _STAGED.append(path)
+    if not owned:
+        _SCOPE.get().staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def keep(df: DataFrame) -> DataFrame:
     """Cache a table that several steps read; `release` drops it. Lost blocks are recomputed."""
-    _KEPT.append(df.persist())
-    return _KEPT[-1]
+    kept = _SCOPE.get().kept
+    kept.append(df.persist())
+    return kept[-1]
 
 
 def release(spark: SparkSession | None = None) -> None:
-    """Drop every table kept so far, and with a session also delete the staged ones.
+    """Drop every table the current job kept so far, and with a session also delete the staged ones.
 
-    Call it when the results of a job are written; frames that read staged tables end with them.
+    Call it when the results of a job are written; frames that read staged tables end with them,
+    fitted models keep theirs.
     """
-    while _KEPT:
-        _KEPT.pop().unpersist()
+    scope = _SCOPE.get()
+    while scope.kept:
+        scope.kept.pop().unpersist()
     if spark is not None:
-        while _STAGED:
-            path = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        while scope.staged:
+            path = spark._jvm.org.apache.hadoop.fs.Path(scope.staged.pop())
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

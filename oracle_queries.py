@@ -449,6 +449,19 @@ ORACLES: dict[str, str] = {
     "contract_locks": """SELECT doc_id AS version, sha256(text) AS sha256,
         CASE WHEN lang <> 'de' THEN sha256(trim(text)) END AS registered,
         coalesce(lang <> 'de' AND text = trim(text), false) AS locked FROM documents""",
+    "read_exports": f"""WITH {SALES} SELECT CAST(BOROUGH AS VARCHAR) AS BOROUGH, CAST(YEAR_BUILT AS VARCHAR) AS year_built,
+        trim(SALE_PRICE) AS sale_price, CASE WHEN sale_id % 3 > 0 THEN CAST(ZIP_CODE AS VARCHAR) END AS zip_code FROM sales""",
+    "header_rows": f"""WITH {SALES} SELECT DISTINCT CAST(sale_id % 3 AS INTEGER) AS kind,
+        CASE sale_id % 3 WHEN 0 THEN 4 WHEN 1 THEN 3 ELSE 5 END AS header_row FROM sales""",
+    "read_exports_with_line_breaks": f"""WITH {SALES} SELECT CAST(BOROUGH AS VARCHAR) AS BOROUGH, trim(SALE_PRICE) AS sale_price,
+        'sale' || chr(10) || sale_id AS note FROM sales""",
+    "load_raw": f"""WITH {LISTINGS} SELECT CAST(listing_id AS VARCHAR) AS LISTING_ID, round(PRICE, 4) AS PRICE, BEDS, ZIPCODE,
+        TYPE || chr(10) || 'a "b"' AS TYPE FROM listings""",
+    "firewall_report": f"""WITH {SALES}, {NUMBERS}, {DROPPED} SELECT count(*) AS n_raw, count(drop_reason) AS n_dropped,
+        count(*) FILTER (drop_reason IS NULL) AS n_scored, sha256('contract') AS contract_sha256, 'skipped' AS inference,
+        false AS leaks_by_name, CAST(0 AS BIGINT) AS n_judged, count(drop_reason) AS n_reasons FROM dropped""",
+    "mapping_invariants": """SELECT unnest(['deterministic', 'subset', 'column_order', 'target_shuffle']) AS invariant,
+        (SELECT count(*) > 0 FROM orders) AS holds""",
     "union_files": f"""WITH {SALES} SELECT sale_id, BOROUGH, CASE WHEN BOROUGH <> 5 THEN YEAR_BUILT END AS YEAR_BUILT,
         ZIP_CODE, SALE_PRICE FROM sales""",
     "confusion": f"WITH {SCORED} SELECT y_true, y_pred, count(*) AS n FROM scored GROUP BY ALL",

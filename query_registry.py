@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.constants import ALL_FEATURES, PRICE_ZONES
+from acreage.constants import ALL_FEATURES, HEADER_ROW_CANDIDATES, PRICE_ZONES
 from acreage.functions import scalar as X
 from acreage.functions.geo import hex_cell
 from acreage.ml import training as T
@@ -18,9 +18,9 @@ from acreage.operators import (
     monitoring as M, ranking as R, scoring as S, thresholds as H,
 )
 from acreage.operators.spatial import nearest_station_distance
-from acreage.plans import listings as L, scoring as PS, training as PT
+from acreage.plans import firewall as PF, listings as L, scoring as PS, training as PT
 from acreage.session import shared_dir
-from acreage.sources import adapters as A
+from acreage.sources import adapters as A, files
 from acreage.sources.files import load_baseline, save_baseline, union_by_name
 from acreage.streaming import jobs as S2
 
@@ -509,6 +509,11 @@ def _parts(spark, folder):
     return rows.filter("split = 'train'"), rows.filter("split = 'test'")
 
 
+def _short_space(rng):
+    """The published search ranges with few boosting rounds."""
+    return {**T.booster_search_space(rng), "rounds": 3}
+
+
 def _small_models(train):
     return (
         T.zone_pipeline(T.zone_forest(10, 6)).fit(train),
@@ -558,14 +563,14 @@ def train_network(spark, folder):
 @query
 def tune_classifier(spark, folder):
     train, _ = _parts(spark, folder)
-    _, _, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, max_rounds=3)
+    _, _, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, space=_short_space)
     return rounded(trials)
 
 
 @query
 def tune_regressor(spark, folder):
     train, _ = _parts(spark, folder)
-    _, _, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, max_rounds=3)
+    _, _, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, space=_short_space)
     return rounded(trials)
 
 
@@ -604,6 +609,105 @@ def score_batch(spark, folder):
                          "price.price_range.low", "price.price_range.high")
 
 
+# --- files ----------------------------------------------------------------------------------------
+
+
+def _scratch(spark, name):
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _write_export(df, path, preamble, header):
+    """Text files of `df`, each beginning with the preamble and the header."""
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    opening = F.array(*[F.lit(x) for x in (*preamble, header)])
+    lines = df.repartition(3).select(line.alias("value"), first.alias("first"))
+    lines.select(F.explode(F.when(F.col("first"), F.concat(opening, F.array("value"))).otherwise(F.array("value")))).write.text(path)
+
+
+def _exports(spark, folder):
+    """Three folders of sales exports; a preamble line also reads like a sale, and one header names fewer columns."""
+    top, sales = _scratch(spark, "exports"), A.rolling_sales(spark, folder)
+    sales = sales.withColumn("SALE_PRICE", F.concat(F.lit('"'), F.trim("SALE_PRICE"), F.lit('"')))
+    for kind, rows in enumerate(HEADER_ROW_CANDIDATES):
+        preamble = ["Rolling sales", '3,0,"0"', "", "as of today", "all boroughs"][:rows]
+        names = ["BOROUGH", "YEAR_BUILT", "SALE_PRICE"] + (["ZIP_CODE"] if kind else [])
+        header = "BOROUGH,YEAR BUILT, SALE PRICE " + (",ZIP CODE" if kind else "")
+        _write_export(sales.filter(F.pmod("sale_id", F.lit(3)) == kind).select(*names), f"{top}/kind{kind}", preamble, header)
+    return [f"{top}/kind{k}" for k in range(3)]
+
+
+@query
+def read_exports(spark, folder):
+    read = files.read_exports(spark, _exports(spark, folder))
+    return read.select("BOROUGH", F.col("`YEAR BUILT`").alias("year_built"), F.col("`SALE PRICE`").alias("sale_price"),
+                       F.col("`ZIP CODE`").alias("zip_code"))
+
+
+@query
+def header_rows(spark, folder):
+    found = files.locate_header_rows(spark, _exports(spark, folder))
+    return found.select(F.regexp_extract("file", "/kind([0-9])/", 1).cast("int").alias("kind"), "header_row").distinct()
+
+
+@query
+def read_exports_with_line_breaks(spark, folder):
+    sales = A.rolling_sales(spark, folder).select("BOROUGH", F.trim("SALE_PRICE").alias("p"), F.col("sale_id").alias("NOTE"))
+    rows = sales.select("BOROUGH", F.concat(F.lit('"'), "p", F.lit('"')).alias("p"),
+                        F.concat(F.lit('"sale'), F.lit("\n"), F.col("NOTE").cast("string"), F.lit('"')).alias("NOTE"))
+    path = _scratch(spark, "broken")
+    _write_export(rows, path, ["a", "b", "", "c"], "BOROUGH,SALE PRICE,NOTE")
+    read = files.read_exports(spark, [path], multi_line=True)
+    return read.select("BOROUGH", F.col("`SALE PRICE`").alias("sale_price"), F.col("NOTE").alias("note"))
+
+
+@query
+def load_raw(spark, folder):
+    """Listings written as CSV and read back: types, trimmed names, quoted line breaks, leading zeros."""
+    path = _scratch(spark, "listings")
+    rows = A.listings(spark, folder).select(
+        "listing_id", F.col("PRICE").alias(" price "), "BEDS", "ZIPCODE", F.concat("TYPE", F.lit("\n"), F.lit('a "b"')).alias("TYPE"))
+    rows.write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return rounded(files.load_raw(spark, path).select("LISTING_ID", "PRICE", "BEDS", "ZIPCODE", "TYPE"), 4)
+
+
+@query
+def metric_log(spark, folder):
+    """Metrics and parameters of two runs, appended and read back."""
+    path, row = _scratch(spark, "metrics"), E.evaluate_classifier(A.scored(spark, folder), "y_true", "y_pred").first().asDict()
+    for run in ("first", "second"):
+        files.log_metrics(spark, path, run, "zones", row, {"depth": 6, "kind": run})
+    return rounded(files.read_metrics(spark, path))
+
+
+@query
+def firewall_report(spark, folder):
+    """The report of a whole run, written and read again; without a model inference is skipped."""
+    path = _scratch(spark, "report")
+    PF.run_firewall(A.rolling_sales(spark, folder), f"{path}-none", "contract", ["sale_id"], W.UNDERSCORED, report_path=path)
+    read = spark.read.schema(PF.as_table(spark, {}).schema).json(path)
+    return read.select("n_raw", "n_dropped", "n_scored", F.map_values("drop_reasons").alias("_n"), "contract_sha256",
+                       F.col("inference.status").alias("inference"), F.col("leakage.name_based.triggered").alias("leaks_by_name"),
+                       "performance.n_scored").toDF(
+        "n_raw", "n_dropped", "n_scored", "_n", "contract_sha256", "inference", "leaks_by_name", "n_judged").withColumn(
+        "n_reasons", F.aggregate("_n", F.lit(0).cast("long"), lambda a, x: a + x)).drop("_n")
+
+
+@query
+def mapping_invariants(spark, folder):
+    raw = A.rolling_sales(spark, folder)
+    noise = raw.select("sale_id", "SALE_PRICE").withColumn("sale_id", F.col("sale_id") + 1)
+    return guards.check_statelessness(
+        lambda df: W.apply_schema_map(df, ["sale_id"], W.UNDERSCORED)[0].drop("TARGET"), raw, "sale_id", "SALE_PRICE", noise)
+
+
+@query
+def schema_difference(spark, folder):
+    """What the columns of the orders lack of, and have beyond, those of the line items."""
+    orders, items = A.table(spark, folder, "orders"), A.table(spark, folder, "lineitem")
+    return guards.schema_difference_table(orders.limit(1), [c.replace("l_", "o_", 1) for c in items.columns])
+
+
 # --- streams ------------------------------------------------------------------------------------
 
 

@@ -37,11 +37,11 @@ LISTING_SCHEMA = (
 @pytest.fixture
 def listings(spark):
     return spark.createDataFrame([
-        (1, 500000.0, 2.0, 1.0, 800.0, 40.75, -73.98, "manhattan", "condo", "midtown", "10022", "residential"),
-        (2, 750000.0, 3.0, 2.0, 1400.0, 40.68, -73.95, "brooklyn", "house", "park slope", "11217", "residential"),
-        (3, 1200000.0, 4.0, 3.0, 2200.0, 40.70, -73.99, "brooklyn", "condo", "dumbo", "11201", "residential"),
-        (4, 300000.0, 1.0, 1.0, 500.0, 40.85, -73.88, "the bronx", "co-op", "fordham", "10458", "residential"),
-        (5, 2500000.0, 5.0, 4.0, 3500.0, 40.58, -74.15, "staten island", "house", "todt hill", "10304", "residential"),
+        (1, 415_000.0, 1.0, 1.0, 640.0, 40.872, -73.861, "the bronx", "co-op", "pelham bay", "10461", "residential"),
+        (2, 885_000.0, 2.0, 2.0, 1010.0, 40.744, -73.921, "queens", "condo", "sunnyside", "11104", "residential"),
+        (3, 1_630_000.0, 5.0, 2.0, 2750.0, 40.652, -73.962, "brooklyn", "house", "flatbush", "11226", "residential"),
+        (4, 349_000.0, 3.0, 1.5, 1180.0, 40.611, -74.091, "staten island", "townhouse", "rosebank", "10305", "residential"),
+        (5, 3_890_000.0, 4.0, 3.5, 3900.0, 40.776, -73.957, "manhattan", "condo", "yorkville", "10028", "residential"),
     ], LISTING_SCHEMA)
 
 
@@ -80,16 +80,16 @@ def make_listings(spark):
 
     def make(n=400, seed=0):
         rng = np.random.default_rng(seed)
-        boroughs = ["manhattan", "brooklyn", "queens", "the bronx", "staten island"]
+        names = ["staten island", "the bronx", "queens", "brooklyn", "manhattan"]
+        kinds = ["co-op", "condo", "townhouse", "multi-family home", "house"]
         rows = []
         for i in range(n):
-            sqft, b = float(rng.uniform(400, 4000)), int(rng.integers(5))
-            price = float(sqft * (900 - 150 * b) * rng.uniform(0.9, 1.1) + 50000)
+            place, size = int(rng.integers(5)), float(np.round(rng.triangular(350, 1200, 4200)))
+            price = float(np.round(90_000 + size * (300 + 170 * place) * rng.uniform(0.92, 1.08)))
             rows.append((
-                i, price, float(rng.integers(1, 6)), float(rng.choice([1, 1.5, 2, 2.5, 3])), sqft,
-                float(rng.uniform(40.5, 40.9)), float(rng.uniform(-74.2, -73.7)), boroughs[b],
-                ["condo", "house", "co-op", "townhouse"][int(rng.integers(4))], f"area {i % 4}",
-                str(10000 + i % 5), "residential"))
+                i, price, float(1 + rng.binomial(6, 0.35)), float(1 + rng.integers(0, 6) / 2), size,
+                float(rng.uniform(40.56, 40.88)), float(rng.uniform(-74.16, -73.76)), names[place],
+                kinds[i % 5], f"quarter {i % 6}", str(10100 + i % 7), "residential"))
         return spark.createDataFrame(rows, LISTING_SCHEMA)
 
     return make

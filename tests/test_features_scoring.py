@@ -11,8 +11,8 @@ from acreage.schemas import REQUESTS
 
 def test_numeric_features(listings):
     row = P.add_numeric_features(listings).filter("listing_id = 3").first()
-    assert row["TOTAL_ROOMS"] == 7 and row["BED_BATH_RATIO"] == pytest.approx(4 / 3)
-    assert row["LOG_SQFT"] == pytest.approx(math.log1p(2200)) and row["ROOMS_PER_SQFT"] == pytest.approx(7 / 2200)
+    assert row["TOTAL_ROOMS"] == 7 and row["BED_BATH_RATIO"] == pytest.approx(5 / 2)
+    assert row["LOG_SQFT"] == pytest.approx(math.log1p(2750)) and row["ROOMS_PER_SQFT"] == pytest.approx(7 / 2750)
 
 
 def test_clipping_keeps_null_and_small_values(spark):

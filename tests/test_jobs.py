@@ -54,6 +54,21 @@ def test_exports_with_preamble(spark, tmp_path):
         files.read_exports(spark, [a, bad])
 
 
+def test_preambles_go_by_place_and_not_by_text(spark, tmp_path):
+    row = "1,500000,1920"
+    a = write(tmp_path / "a.csv", f"title\n{row}\n\n{HEADER}\n{row}\n2,600000,\n{row}\n,,\n")
+    b = write(tmp_path / "b.csv", f"t\nu\nv\nw\n{HEADER}\n{row}\n")
+    got = sorted(tuple(r) for r in files.read_exports(spark, [a, b]).fillna("-").collect())
+    assert got == [("-", "-", "-")] + [("1", "500000", "1920")] * 3 + [("2", "600000", "-")]
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    a = write(tmp_path / "a.csv", 't\nu\n\nSALE PRICE,NOTE\n1,"two\nlines"\n2,plain\n')
+    assert sorted(tuple(r) for r in files.read_exports(spark, [a], multi_line=True).collect()) == [("1", "two\nlines"), ("2", "plain")]
+    b = write(tmp_path / "b.csv", 'PRICE,NOTE\n1,"two\nlines"\n')
+    assert [tuple(r) for r in files.load_raw(spark, b).collect()] == [(1.0, "two\nlines")]
+
+
 def test_manifest(spark, tmp_path):
     path = write(tmp_path / "m.bin", "hello")
     row = files.file_manifest(spark, path).first()

@@ -66,7 +66,8 @@ def test_regressor_metrics(spark):
 def test_r2_of_constant_truth(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "y double, p double")
     assert E.log_space_r2(df, "y", "p").first()["r2_log_space"] is None
-    assert E.evaluate_regressor(df, "y", "p", False).first()["r2"] is None
+    assert E.evaluate_regressor(df, "y", "p", False).first()["r2"] == 0
+    assert E.evaluate_regressor(df.withColumn("p", F.col("y")), "y", "p", False).first()["r2"] == 1
 
 
 def test_fairness(spark):

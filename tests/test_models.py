@@ -11,6 +11,7 @@ from acreage.ml.encoders import FrequentCategories, PopulationScaler, SmoothedTa
 from acreage.ml.resample import edit, neighbours, oversample, oversample_and_edit
 from acreage.operators import metrics as E
 from acreage.plans import training as PT
+from acreage.session import job, release, stage
 
 
 @pytest.fixture
@@ -24,6 +25,10 @@ def majority(test):
     return max(counts) / sum(counts)
 
 
+def short_space(rng):
+    return {**T.booster_search_space(rng), "rounds": 2}
+
+
 def test_classifiers_beat_the_majority_and_survive_saving(spark, parts, tmp_path):
     train, test = parts
     trained = T.train_classifiers(train, test, {
@@ -67,21 +72,25 @@ def test_network_and_fallback_onehot(parts):
 
 def test_tuning_keeps_the_best_trial(parts):
     train, _ = parts
-    model, chosen, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, max_rounds=2)
+    model, chosen, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, space=short_space)
     rows = trials.collect()
     best = max(rows, key=lambda r: r["mean_score"])
     assert str(chosen) == best["parameters"] and 3 <= chosen["depth"] <= 10
     assert model.stages[-1].models[0].getMaxIter() == 2
-    model, chosen, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, max_rounds=2)
+    model, chosen, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, space=short_space)
     assert trials.count() == 2 and model.stages[-1].getNumTrees == 2
 
 
-def test_stacking(parts):
+def test_stacking(spark, parts, tmp_path):
     train, test = parts
     stacked = T.fit_stacking(train, "LISTING_ID", {
         "a": T.zone_pipeline(T.zone_forest(8, 5)), "b": T.zone_pipeline(T.zone_booster(3, 3))}, folds=2)
     row = E.evaluate_classifier(stacked.transform(test), T.LABEL, "ZONE_PRED").first()
     assert row["accuracy"] > majority(test)
+    T.save_model(stacked, str(tmp_path / "stacked"), [0.4, 0.5, 0.6, 0.5])
+    again = T.load_model(str(tmp_path / "stacked"))
+    a, b = (m.transform(test).select("LISTING_ID", "ZONE_PRED").orderBy("LISTING_ID").collect() for m in (stacked, again))
+    assert a == b and T.load_thresholds(str(tmp_path / "stacked")) == [0.4, 0.5, 0.6, 0.5]
 
 
 def test_attempt_inference(spark, parts, tmp_path):
@@ -107,6 +116,18 @@ def test_encoder_stages(spark):
     assert {r["c"]: r["e"] for r in model.transform(df).collect()} == {"a": 1.0, "b": 1.0}
 
 
+def test_a_fitted_encoder_outlives_the_job(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.0), ("b", 0.0), ("a", 1.0)], "c string, y double")
+    with job(spark):
+        kept = stage(df, "beside")
+        with job(spark):
+            model = SmoothedTargetEncoder(inputCols=["c"], outputCols=["e"], labelCol="y").fit(df)
+        assert kept.count() == 3
+    release(spark)
+    assert model.transform(df).count() == 3
+    model.write().overwrite().save(str(tmp_path / "encoder"))
+
+
 def test_clusters(make_listings):
     df = make_listings(100)
     out = add_neighborhood_clusters(df, 5, starts=2)
@@ -138,6 +159,22 @@ def test_neighbours_equal_brute_force_when_the_reach_covers_all(spark):
     assert got.groupby("key").size().eq(3).all()
 
 
+@pytest.mark.parametrize("reach", [3, 40])
+def test_neighbours_do_not_depend_on_partitions(spark, reach):
+    df = cloud(spark, (300, 80, 20)).withColumn("v", F.array("a", "b"))
+    found = []
+    for tasks in (1, 4, 16, 64):
+        settings = {"spark.sql.shuffle.partitions": tasks, "spark.sql.adaptive.enabled": "false"}
+        before = {k: spark.conf.get(k) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = neighbours(df.repartition(tasks), "k", "v", 3, 2, "y", projections=2, reach=reach, block=37)
+        found.append(sorted((r["key"], r["other"]) for r in got.collect()))
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found[0] and all(f == found[0] for f in found)
+
+
 def test_neighbours_stay_linear_with_copies(spark):
     same = spark.range(3000).selectExpr("id AS k", "array(1D, 1D) AS v", "'x' AS g")
     got = neighbours(same, "k", "v", 2, 2, "g", projections=2, reach=4)

@@ -104,7 +104,7 @@ def test_health_of_nothing(spark):
 
 def test_profile_and_summary(listings):
     rows = {r["column"]: r for r in M.profile(listings, ["BOROUGH", "PRICE"]).collect()}
-    assert rows["BOROUGH"]["distinct_values"] == 4 and rows["BOROUGH"]["nulls"] == 0
+    assert rows["BOROUGH"]["distinct_values"] == 5 and rows["BOROUGH"]["nulls"] == 0
     row = M.cleaning_summary(listings, listings.limit(3)).first()
     assert (row["n_raw"], row["n_clean"], row["n_dropped"]) == (5, 3, 2)
 

@@ -18,13 +18,17 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def executions(spark):
+    """Executions that Spark still lists, by id; it forgets old ones, so their number says nothing."""
+    listed = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return {e.executionId(): e for e in (listed.apply(i) for i in range(listed.size()))}
+
+
 def executed(spark, run):
     """Plans of every job that `run` starts."""
-    store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsList().size()
+    last = max(executions(spark), default=-1)
     run()
-    after = store.executionsList()
-    return [after.apply(i).physicalPlanDescription() for i in range(before, after.size())]
+    return [e.physicalPlanDescription() for i, e in sorted(executions(spark).items()) if i > last]
 
 
 def test_no_pairing_of_everything(spark):

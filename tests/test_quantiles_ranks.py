@@ -77,10 +77,10 @@ def test_large_lookups_isolate_hot_keys(spark, how):
         "i int, k string, j int")
     lookup = rows.groupBy("k", "j").agg(F.count("*").alias("n")).filter("k <> 'k10'")
     want = rows.join(lookup, ["k", "j"], how)
-    got = lookup_join(rows, lookup, ["k", "j"], how, broadcast_rows=0)
+    got = lookup_join(rows, lookup, ["k", "j"], how, broadcast_bytes=-1)
     assert same_rows(want, got)
     one = rows.groupBy("j").agg(F.count("*").alias("n"))
-    assert same_rows(rows.join(one, ["j"], how), lookup_join(rows, one, ["j"], how, broadcast_rows=0))
+    assert same_rows(rows.join(one, ["j"], how), lookup_join(rows, one, ["j"], how, broadcast_bytes=-1))
 
 
 def digest(key, seed=42):
