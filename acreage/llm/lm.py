@@ -24,10 +24,12 @@ from acreage.llm.words import word_hashes
 #: The end of a document, counted as a word. 0 stands for no word.
 END = np.uint64(0xE4D0F7C3A9B1D5E7)
 SMOOTH = 0.1
-HEAD, LISTED, TOPICS = 2048, 1 << 18, 16
+HEAD, LISTED, TOPICS = 1024, 1 << 18, 16
 CHUNKS = (16, 48)
 LARGEST_CHUNK = 64
-POOL = 1 << 21
+#: Bytes of text laid out together, and tokens of a window.
+POOL, WINDOW_TOKENS = 24 << 20, 1 << 13
+LARGEST_LOGIT = np.float32(80)
 BLOCK = 4096
 
 
@@ -48,6 +50,7 @@ class Vocabulary(NamedTuple):
     total: int
     distinct: int
     tail_log10: float
+    slots: np.ndarray
 
     @property
     def tail(self) -> int:
@@ -161,20 +164,39 @@ def vocabulary(counts: DataFrame, head: int = HEAD, most: int = LISTED) -> Vocab
     return Vocabulary(
         hashes[at], np.append(ids, 0).astype(np.int32)[at], np.append(inside, 0.0)[at], smooth_of(np.append(n, ends))[at],
         np.append(n, ends)[at] > 0, heads, np.array(class_of, np.int32), classes, np.log(class_mass / class_mass.sum()),
-        np.log(smooth / class_mass[np.array(class_of[:heads])]), total, distinct, float(np.log10(tail_mass)))
+        np.log(smooth / class_mass[np.array(class_of[:heads])]), total, distinct, float(np.log10(tail_mass)), slots_of(hashes[at]))
+
+
+def slots_of(hashes: np.ndarray) -> np.ndarray:
+    """An open-addressed table, a quarter full at most: the row of each hash at its low bits or at the next free place."""
+    slots = np.full(1 << int(4 * len(hashes)).bit_length(), -1, np.int32)
+    rows = np.arange(len(hashes), dtype=np.int32)
+    place = (hashes & np.uint64(len(slots) - 1)).astype(np.int64)
+    while len(rows):
+        free = slots[place] < 0
+        slots[place[free]] = rows[free]
+        left = slots[place] != rows
+        rows, place = rows[left], (place[left] + 1) & (len(slots) - 1)
+    return slots
 
 
 def look_up(vocab: Vocabulary, tokens: np.ndarray) -> np.ndarray:
     """Row of each token in the vocabulary, or -1."""
-    at = np.searchsorted(vocab.hashes, tokens)
-    at[at == len(vocab.hashes)] = 0
-    return np.where(vocab.hashes[at] == tokens, at, -1)
+    at, todo = np.full(len(tokens), -1, np.int32), np.arange(len(tokens))
+    place = (tokens & np.uint64(len(vocab.slots) - 1)).astype(np.int64)
+    while len(todo):
+        row = vocab.slots[place]
+        hit = (row >= 0) & (vocab.hashes[row] == tokens[todo])
+        at[todo[hit]] = row[hit]
+        on = (row >= 0) & ~hit
+        todo, place = todo[on], (place[on] + 1) & (len(vocab.slots) - 1)
+    return at
 
 
 class Model:
     """A gated recurrent unit over word ids with a class-factored output. Gates: update, reset, new."""
 
-    def __init__(self, vocab: Vocabulary, hidden: int = 16, seed: int = 5):
+    def __init__(self, vocab: Vocabulary, hidden: int = 12, seed: int = 5):
         rng = np.random.default_rng(seed)
         wide = lambda *s, scale: rng.normal(0, scale, s).astype(np.float32)
         self.hidden, self.head, self.class_of, self.classes = hidden, vocab.head, vocab.class_of, vocab.classes
@@ -227,10 +249,10 @@ class Model:
         cls = self.class_of[targets]
         prob = states @ self.p["cls"]
         prob += self.p["clsb"]
-        prob -= prob.max(axis=1, keepdims=True)
+        np.minimum(prob, LARGEST_LOGIT, out=prob)  # bounds the exponent without a pass for each row's maximum
         own = prob[rows, cls]
         np.exp(prob, out=prob)
-        norm = prob.sum(axis=1)
+        norm = prob @ np.ones(prob.shape[1], prob.dtype)
         out = own - np.log(norm)
         back = None
         if grads is not None:
@@ -248,11 +270,11 @@ class Model:
             part, weight = states[at], self.p["word"][a:b]
             prob = part @ weight.T
             prob += self.p["wordb"][a:b]
-            prob -= prob.max(axis=1, keepdims=True)
+            np.minimum(prob, LARGEST_LOGIT, out=prob)
             place = targets[at] - a
             mine = prob[np.arange(len(at)), place]
             np.exp(prob, out=prob)
-            norm = prob.sum(axis=1)
+            norm = prob @ np.ones(b - a, prob.dtype)
             out[at] += mine - np.log(norm)
             if grads is not None:
                 prob /= norm[:, None]
@@ -272,18 +294,29 @@ class Model:
         back = back.reshape(before.shape)
         rec = self.p["rec"]
         drec, dh = np.zeros_like(rec), np.zeros_like(h)
+        gates_back, new_back = np.ascontiguousarray(rec[:, :2 * n].T), np.ascontiguousarray(rec[:, 2 * n:].T)
         din = np.empty((*ids.shape, 3 * n), np.float32)
         for t in range(len(ids) - 1, -1, -1):
             (zr, new, raw), prev = tape[t], before[t]
-            z, r = zr[:, :n], zr[:, n:]
-            dnew = dh * (1 - z) * (1 - new * new)
-            din[t, :, :n] = dh * (prev - new) * z * (1 - z)
-            din[t, :, n:2 * n] = dnew * raw * r * (1 - r)
-            din[t, :, 2 * n:] = dnew
-            step = din[t].copy()
-            step[:, 2 * n:] *= r
-            drec += prev.T @ step
-            dh = (dh * z + step @ rec.T + back[t]) * fresh[t][:, None]
+            z, r, here = zr[:, :n], zr[:, n:], din[t]
+            gate = zr * (1 - zr)  # slope of both gates
+            dnew = 1 - new * new
+            dnew *= 1 - z
+            dnew *= dh
+            here[:, 2 * n:] = dnew
+            gate[:, :n] *= dh
+            gate[:, :n] *= prev - new
+            gate[:, n:] *= dnew
+            gate[:, n:] *= raw
+            here[:, :2 * n] = gate
+            dnew *= r
+            drec[:, :2 * n] += prev.T @ gate
+            drec[:, 2 * n:] += prev.T @ dnew
+            dh *= z
+            dh += gate @ gates_back
+            dh += dnew @ new_back
+            dh += back[t]
+            dh *= fresh[t][:, None]
         order = np.argsort(ids.ravel(), kind="stable")
         sorted_ids = ids.ravel()[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
@@ -340,16 +373,20 @@ def lanes_of(ids: np.ndarray, ends: np.ndarray, most: int = 256, least_steps: in
 
 
 def windows_of(grid, text, fresh, length, steps: int):
-    """Windows of `steps` with the lanes still running, which are the first ones."""
-    for a in range(0, len(grid), steps):
+    """Windows with the lanes still running, which are the first ones: `steps` long, and longer where few
+    lanes run, so that a window holds about WINDOW_TOKENS."""
+    a = 0
+    while a < len(grid):
         n = int(np.searchsorted(-length, -a, side="left"))
-        yield grid[a:a + steps, :n], text[a:a + steps, :n], fresh[a:a + steps, :n], n
+        b = a + max(steps, min(8 * steps, WINDOW_TOKENS // n))
+        yield grid[a:b, :n], text[a:b, :n], fresh[a:b, :n], n
+        a = b
 
 
 def pools(batches, most: int):
     """Batches joined until they hold about `most` bytes of text."""
     held, size = [], 0
-    for batch in slices(batches, "body", most):
+    for batch in slices(batches, "body", most // 4):
         held.append(batch)
         size += batch.column("body").nbytes
         if size >= most:
@@ -371,7 +408,7 @@ def network_ids(vocab: Vocabulary, at: np.ndarray) -> np.ndarray:
     return np.where(at >= 0, vocab.ids[at], np.int32(vocab.tail))
 
 
-def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 3, steps: int = 32, rate: float = 0.01) -> Model:
+def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 2, steps: int = 32, rate: float = 0.01) -> Model:
     """Every training document once, in `rounds` parts chosen by hash; weights are averaged after each part."""
     model = Model(vocab)
     part_of = F.pmod(F.xxhash64("body"), F.lit(rounds))
@@ -380,7 +417,7 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 3, steps: int = 32,
         local, seen = Model(vocab), 0
         local.load(flat)
         adam = Adam(local, rate)
-        for held in pools(batches, 6 * POOL):
+        for held in pools(batches, POOL):
             tokens, ends = pool_tokens(held)
             ids = network_ids(vocab, look_up(vocab, tokens))
             grid = lanes_of(ids, ends)
@@ -414,7 +451,7 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 3, steps: int = 32,
     return model
 
 
-def score_pool(vocab: Vocabulary, model: Model, tokens: np.ndarray, ends: np.ndarray, steps: int = 64):
+def score_pool(vocab: Vocabulary, model: Model, tokens: np.ndarray, ends: np.ndarray, steps: int = 32):
     """Per text: natural log probability but for the share inside the tail, listed and known tokens, and their
     summed log10 weight; and the vocabulary row of each token."""
     at = look_up(vocab, tokens)
@@ -455,7 +492,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     model = train(learn, vocab)
 
     def score(batches):
-        for held in pools(batches, 6 * POOL):
+        for held in pools(batches, POOL):
             tokens, ends = pool_tokens(held)
             texts = len(ends) - 1
             logs, listed, known, weight, at = score_pool(vocab, model, tokens, ends)
@@ -467,9 +504,9 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
             else:
                 word, doc, n = words, owner, owner
             cuts = pa.array(np.searchsorted(doc, np.arange(texts + 1)), pa.int32())
-            columns = pa.Table.from_batches(held).combine_chunks()
+            columns = pa.Table.from_batches([b.select(["doc_id", "held_out"]) for b in held])
             yield pa.RecordBatch.from_arrays(
-                [columns[c].combine_chunks() if columns[c].num_chunks != 1 else columns[c].chunk(0) for c in ("doc_id", "held_out")]
+                [pa.concat_arrays(columns[c].chunks) for c in ("doc_id", "held_out")]
                 + [pa.array(np.diff(ends)), pa.array(listed), pa.array(known), pa.array(weight), pa.array(logs / np.log(10)),
                    pa.ListArray.from_arrays(cuts, pa.array(word.view(np.int64))), pa.ListArray.from_arrays(cuts, pa.array(n.astype(np.int64)))],
                 ["doc_id", "held_out", "n_tokens", "listed", "known", "weight", "logs", "words", "times"])
