@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acreage.llm import pieces
-from acreage.llm.decontam import leaks
+from acreage.llm.decontam import EDGES, NAME, NUMBER, NUMERIC, UNIT, UNITS, leaks
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.langid import identify
 from acreage.llm.line_dedup import line_dedup
@@ -76,6 +76,47 @@ def op6_decontamination(spark, folder):
     return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("text_key")
 
 
+def _decontamination_sql() -> str:
+    """Template windows of 8 words, for items of at least that many words."""
+    edges = "'" + EDGES.replace("'", "''") + "'"
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    before = "OVER (PARTITION BY kind, id ORDER BY i)"
+    follows = " || chr(1) || ".join(["t", *[f"lead(t, {k}) OVER (PARTITION BY kind, id ORDER BY p)" for k in range(1, 8)]])
+    unit = f"pbare >= '0' AND pbare < ':' AND regexp_matches(pbare, '{NUMERIC}') AND lower(bare) IN ({units})"
+    return rf"""
+WITH src AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+split AS (SELECT kind, id, string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') AS l FROM src),
+raw AS (SELECT kind, id, unnest(l) AS raw, generate_subscripts(l, 1) AS i FROM split),
+w AS (SELECT kind, id, i, trim(raw, {edges}) AS bare, lag(raw) {before} AS praw, lag(trim(raw, {edges})) {before} AS pbare FROM raw),
+t AS (SELECT kind, id, i, lower(bare) AS v, CASE
+    WHEN bare >= 'a' AND bare < '{{' THEN CASE WHEN {unit} THEN '{UNIT}' ELSE lower(bare) END
+    WHEN bare = '' THEN ''
+    WHEN bare >= '0' AND bare < ':' THEN CASE WHEN regexp_matches(bare, '{NUMERIC}') THEN '{NUMBER}' ELSE lower(bare) END
+    WHEN {unit} THEN '{UNIT}'
+    WHEN bare[1] <> lower(bare[1]) AND praw <> '' AND praw[-1] NOT IN ('.', '!', '?', ':') AND bare[2:] = lower(bare)[2:] THEN '{NAME}'
+    ELSE lower(bare) END AS t FROM w),
+u AS (SELECT kind, id, t, v, row_number() OVER (PARTITION BY kind, id ORDER BY i) - 1 AS p, count(*) OVER (PARTITION BY kind, id) AS n
+    FROM t WHERE t <> ''),
+win AS (SELECT kind, id, p, n, {follows} AS content FROM u),
+hit AS (SELECT DISTINCT d.id AS doc_id, b.id AS item_id, b.n AS item_words, b.p AS q, d.p - b.p AS shift
+    FROM win d JOIN win b ON d.content = b.content WHERE d.kind = 'd' AND b.kind = 'b'),
+slot AS (SELECT doc_id, item_id, shift, x.t, x.v AS bv, y.v AS dv FROM hit
+    JOIN u x ON x.kind = 'b' AND x.id = item_id AND x.p BETWEEN q AND q + 7
+    JOIN u y ON y.kind = 'd' AND y.id = doc_id AND y.p = x.p + shift
+    WHERE x.t IN ('{NUMBER}', '{NAME}', '{UNIT}')),
+each AS (SELECT doc_id, item_id, shift, t, bv, count(DISTINCT dv) AS k, bool_and(dv = bv) AS same FROM slot GROUP BY ALL),
+broken AS (SELECT doc_id, item_id, shift, max(k) > 1 AS broken, bool_and(same) AS own FROM each GROUP BY ALL),
+sound AS (SELECT hit.*, coalesce(own, true) AS own FROM hit LEFT JOIN broken USING (doc_id, item_id, shift) WHERE NOT coalesce(broken, false)),
+words AS (SELECT doc_id, item_id, item_words, count(DISTINCT q) AS n_windows, count(DISTINCT q + j) AS covered_words, bool_and(own) AS literal
+    FROM sound, range(8) AS r(j) GROUP BY ALL)
+SELECT doc_id, item_id, n_windows, covered_words, item_words, covered_words / item_words AS coverage, literal
+FROM words WHERE covered_words / item_words >= 0.5
+"""
+
+
+ORACLES["op6_decontamination"] = _decontamination_sql()
+
+
 @query
 def op7_exact_dedup(spark, folder):
     return exact_dedup(table(spark, folder, "documents"))

@@ -1,5 +1,3 @@
-import json
-
 import corpus_pipeline as C
 from pyspark.sql import functions as F
 
@@ -43,4 +41,4 @@ def test_queries_are_registered():
 
     names = list(E.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
-    assert json.dumps(sorted(E.oracle_sql()))
+    assert set(E.oracle_sql()) <= set(names)
