@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from acreage.llm.common import flat_bytes, mix, seeded, slices
 
 SPACE = "▁"
-SLICE = 4 << 20
-CACHED_PIECES = 8 << 20
+#: Bytes of text encoded at once, and piece ids of segments a worker remembers; both bound its memory.
+SLICE = 900_000
+CACHED_PIECES = 4 << 20
 NEVER = np.int32(2**31 - 1)
 
 
