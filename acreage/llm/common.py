@@ -99,9 +99,9 @@ def split_join(rows: DataFrame, groups: DataFrame, keys: list[str], bar: float)
     """Inner join of `rows` with `groups`, which has one row per key and in `n` how many rows hold it.
 
     Keys held by at least `bar` rows, of which there are at most rows / bar, are broadcast and their
-    rows never shuffled; for the others no key is larger than `bar`.
+    rows never shuffled; the others, whose number has no bound, are shuffled, and none is larger than `bar`.
     """
     heavy = F.broadcast(groups.where(F.col("n") >= bar).drop("n"))
-    light = groups.where(F.col("n") < bar).drop("n")
+    light = groups.where(F.col("n") < bar).drop("n").hint("merge")
     rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
     return rows.join(heavy, keys).unionByName(rest.join(light, keys))
