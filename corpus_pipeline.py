@@ -27,8 +27,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated line runs; a document of which nothing is left goes."""
-    left = line_dedup(docs)
+    """Texts without lines that occur earlier in the corpus; a document of which nothing is left goes."""
+    left = line_dedup(docs, window=1)
     cleaned = left.withColumns({"text": F.col("dedup.text"), "n_chars": F.length("dedup.text").cast("long")})
     gone = (F.col("dedup.n_removed") > 0) & (F.trim("dedup.text") == "")
     return cleaned.where(~F.coalesce(gone, F.lit(False))).select(*docs.columns)

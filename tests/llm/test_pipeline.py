@@ -42,3 +42,10 @@ def test_queries_are_registered():
     names = list(E.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
     assert set(E.oracle_sql()) <= set(names)
+
+
+def test_a_line_that_repeats_between_differing_neighbours_goes(spark):
+    rows = [(i, f"first of {i}\nall rights reserved\nlast of {i}", "en", "s", 0) for i in range(5)]
+    docs = spark.createDataFrame(rows, spark.read.parquet(f"{FOLDER}/documents.parquet").schema)
+    left = {r.doc_id: r.text for r in C.lines(spark, docs, FOLDER).collect()}
+    assert left == {0: rows[0][1], **{i: f"first of {i}\nlast of {i}" for i in range(1, 5)}}

@@ -113,3 +113,12 @@ def test_lengths_sampled_at_run_heads_are_the_common_lengths():
         while max(a, b) + n < len(raw) and raw[a + n] == raw[b + n]:
             n += 1
         assert common[b] == n
+
+
+def test_lines_of_their_own_equal_brute_force(spark):
+    rng = random.Random(3)
+    pool = ["a footer", "}", "", " \t"] + [f"line {i} of the pool" for i in range(40)]
+    rows = [(i, "\n".join(rng.choice(pool) + rng.choice(["", " "]) for _ in range(rng.randrange(0, 9)))) for i in range(60)]
+    got = line_dedup(frame(spark, rows), window=1).collect()
+    want = lines_left(rows, window=1)
+    assert all((r.dedup.text or "") == want[r.doc_id] for r in got)
