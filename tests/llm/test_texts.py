@@ -122,3 +122,54 @@ def test_lines_of_their_own_equal_brute_force(spark):
     got = line_dedup(frame(spark, rows), window=1).collect()
     want = lines_left(rows, window=1)
     assert all((r.dedup.text or "") == want[r.doc_id] for r in got)
+
+
+def by_text(data, offsets):
+    """Contexts of each text, with places counted from its start."""
+    picks = R.Picks(data, offsets)
+    start = offsets[picks.text]
+    rows = zip(*(x.tolist() for x in (picks.place - start, picks.first - start, picks.last - start, picks.gram, picks.content)))
+    out = {}
+    for t, row in zip(picks.text.tolist(), rows):
+        out.setdefault(bytes(data[offsets[t]:offsets[t + 1]]), set()).add(row)
+    return out
+
+
+def test_contexts_depend_on_the_text_alone(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(R, "PIECE", 300)
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("ab \n") for _ in range(n)).encode() for n in (0, 30, 49, 50, 120, 299, 300, 301, 600, 1500, 2000, 80)]
+    found = []
+    for _ in range(4):
+        rng.shuffle(texts)
+        sizes = np.cumsum([0, *map(len, texts)])
+        found.append(by_text(np.frombuffer(b"".join(texts), np.uint8), sizes))
+    assert found[0] and all(f == found[0] for f in found)
+
+
+def test_passes_in_different_orders_equal_brute_force(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(R, "PIECE", 300)
+    rows = [(d, t or "") for d, t in repetitive(7, 40)]
+    buckets = 3
+
+    def batches(order):
+        some = [rows[i] for i in order]
+        yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in some], pa.int64()), pa.array([t for _, t in some])], ["doc", "body"])
+
+    def by_bucket(*parts):
+        whole = pa.concat_tables([pa.Table.from_batches(list(p)) for p in parts])
+        return whole.sort_by([("bucket", "ascending"), ("kind", "ascending")]).to_batches()
+
+    rng = random.Random(8)
+    for _ in range(3):
+        one, two = (rng.sample(range(len(rows)), len(rows)) for _ in range(2))
+        marks = list(R.settle_grams(by_bucket(R.gather_grams(batches(one), buckets)), buckets))
+        texts = list(R.packed_texts(batches(two), buckets))
+        spans = R.settle_contexts(by_bucket(R.look_up_contexts(by_bucket(marks, texts), buckets)), buckets)
+        got = pa.Table.from_batches(list(R.cut_texts(by_bucket(spans, texts), "digest"))).to_pylist()
+        want = {d: (*x[:3], hashlib.sha256(x[3]).hexdigest()) for d, x in removed_spans(rows).items()}
+        assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
