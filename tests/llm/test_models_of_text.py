@@ -164,3 +164,12 @@ def test_state_is_carried_over_windows(spark):
             want += model.output(h, i)[0][0] + (vocab.inside[at[0]] if at[0] >= 0 else 0)
             _, h = model.window(i[:, None], np.ones((1, 1), np.float32), h)
         assert math.isclose(want, got, rel_tol=1e-3, abs_tol=1e-4)
+
+
+def test_the_network_has_its_full_size(spark):
+    import inspect
+
+    counts = spark.createDataFrame([(i + 1, 5000 - i, 0) for i in range(3000)], "word long, n long, topic long")
+    vocab = lm.vocabulary(counts)
+    assert vocab.head == 1 + 2048 and lm.Model(vocab).hidden == 16  # the end of a text is one more
+    assert inspect.signature(lm.train).parameters["rounds"].default == 3
