@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acreage.llm import pieces
+from acreage.llm.alignment import alignment_digest
 from acreage.llm.decontam import EDGES, NAME, NUMBER, NUMERIC, UNIT, UNITS, leaks
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.langid import identify
@@ -15,10 +16,12 @@ from acreage.llm.lm import score_texts
 from acreage.llm.minhash_join import near_duplicates
 from acreage.llm.run_index import remove_repeats
 from acreage.llm.sharding import shard
+from acreage.llm.spelling import spelling_variants
 from acreage.llm.warc_zip import round_trip
 
-#: Vocabulary of the piece queries; a file on the driver.
+#: Vocabularies of the queries on tokens; files on the driver.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,3 +173,51 @@ FROM l LEFT JOIN dead ON l.doc_id = dead.doc_id AND l.place = dead.place GROUP B
 @query
 def op10_sharding(spark, folder):
     return shard(table(spark, folder, "documents"))
+
+
+@query
+def op12_spelling(spark, folder):
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+ORACLES["op12_spelling"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+), runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents
+), lower_runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM runs GROUP BY ALL
+), bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END)) AS b FROM lower_runs
+), hashed AS (
+  SELECT run, n, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS h FROM bytes, crc
+), words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM words, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS other, max(m) AS m FROM near GROUP BY word
+), formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * w.n THEN other END AS form, CASE WHEN m >= 2 * w.n THEN m END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+), path AS (
+  SELECT word, word AS here FROM formed
+  UNION ALL
+  SELECT path.word, form FROM path JOIN formed ON formed.word = path.here WHERE form IS NOT NULL
+), ends AS (SELECT path.word, here AS root FROM path JOIN formed ON formed.word = path.here WHERE form IS NULL)
+SELECT word, n, n_near, form, form_n, root FROM formed JOIN ends USING (word)
+"""
+
+
+@query
+def op13_alignment(spark, folder):
+    return alignment_digest(table(spark, folder, "documents"), BYTE_BPE, PIECE_MODEL)
