@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from acreage.llm import pieces
 from acreage.llm.alignment import alignment_digest
 from acreage.llm.decontam import EDGES, NAME, NUMBER, NUMERIC, UNIT, UNITS, leaks
+from acreage.llm.disclosure import disclosure_digest
 from acreage.llm.exact_dedup import exact_dedup
 from acreage.llm.langid import identify
 from acreage.llm.line_dedup import line_dedup
@@ -175,6 +176,11 @@ def op10_sharding(spark, folder):
     return shard(table(spark, folder, "documents"))
 
 
+@query
+def op11_pii(spark, folder):
+    return disclosure_digest(table(spark, folder, "documents"))
+
+
 @query
 def op12_spelling(spark, folder):
     return spelling_variants(table(spark, folder, "documents"))
