@@ -1,10 +1,24 @@
-"""Gradient boosting over more than two classes."""
+"""Gradient boosting on histograms, all classes of a round together.
+
+Features are cut into bins once. Every row is kept in a block of codes, labels and margins; a job routes the rows of all
+blocks down the unfinished trees, adds gradients and curvatures up per node, feature and bin, and Spark sums these
+histograms and picks each node's best split, so that only splits come to the driver. The sums are
+of integers, hence the model is the same for any number of partitions. Margins are written every few rounds, and
+a job adds the trees grown since, so a lost executor costs one re-read.
+"""
 
 from __future__ import annotations
 
+import heapq
+import uuid
+from collections import OrderedDict
+from collections.abc import Iterator
+from dataclasses import dataclass, field
+
+import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasSeed
@@ -16,80 +30,568 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acreage.constants import SEED
 from acreage.functions.scalar import argmax
+from acreage.ml.trees import Tree, score
+from acreage.session import discard, last_staged, stage
+
+#: Rounds after which margins are written, rows of a block, rows from which bins are cut, and tasks summed at once.
+ROUNDS_HELD, BLOCK_ROWS, SAMPLE, FAN = 8, 4096, 100_000, 64
+#: Nodes whose histograms one task adds up.
+SLOTS_A_TASK = 32
+#: Diagonal bound of the softmax curvature, as the published boosters take it (a fixed value).
+CURVATURE = 2.0
+SOFTMAX, SQUARED = "softmax", "squared"
+_BLOCK = "codes binary, target binary, weight binary, draw binary, margin binary"
+_SPLIT = "slot int, feature int, bin int, gain double, g double, h double, left_g double, left_h double"
+
+
+@dataclass(frozen=True)
+class Settings:
+    """What a fit is told; `leaves` of 0 grows by level to `depth`, else the best leaf first up to that many."""
+
+    objective: str = SOFTMAX
+    classes: int = 4
+    rounds: int = 500
+    depth: int = 6
+    leaves: int = 0
+    rate: float = 0.1
+    l1: float = 0.0
+    l2: float = 1.0
+    least_gain: float = 0.0
+    least_weight: float = 1.0
+    subsample: float = 1.0
+    column_share: float = 1.0
+    top_share: float = 1.0
+    other_share: float = 0.0
+    bins: int = 256
+    seed: int = SEED
+
+    @property
+    def outputs(self) -> int:
+        return self.classes if self.objective == SOFTMAX else 1
+
+
+@dataclass
+class Node:
+    """A node of a tree that grows; `split` is (feature, bin, gain) once it is known, None if there is none."""
+
+    g: float
+    h: float
+    depth: int
+    known: bool = False
+    split: tuple[int, int, float] | None = None
+    sides: tuple[float, float] = (0.0, 0.0)
+    children: tuple[int, int] | None = None
+
+
+@dataclass
+class Growing:
+    """A tree that grows. All known splits route rows; which of them stay is decided by `kept`."""
+
+    nodes: list[Node] = field(default_factory=lambda: [Node(0.0, 0.0, 0)])
+
+    def divide(self, at: int) -> None:
+        node = self.nodes[at]
+        if node.children is None and node.split:
+            left = Node(*node.sides, node.depth + 1)
+            right = Node(node.g - left.g, node.h - left.h, node.depth + 1)
+            node.children = (len(self.nodes), len(self.nodes) + 1)
+            self.nodes += [left, right]
+
+    def kept(self, limit: int) -> tuple[list[int], list[int], bool]:
+        """Splits taken best first up to `limit` leaves, the open ones, and whether an unknown node stands in the way."""
+        taken, heap = [], []
+
+        def offer(at: int) -> bool:
+            node = self.nodes[at]
+            if node.known and node.split:
+                heapq.heappush(heap, (-node.split[2], at))
+            return node.known
+
+        if not offer(0):
+            return taken, [], True
+        while heap and len(taken) + 1 < limit:
+            at = heapq.heappop(heap)[1]
+            taken.append(at)
+            self.divide(at)
+            if len(taken) + 1 < limit and not all([offer(c) for c in self.nodes[at].children]):
+                return taken, [a for _, a in heap], True
+        return taken, [a for _, a in heap], False
+
+    def wanted(self, settings: Settings) -> list[int]:
+        """Nodes whose splits the next job is to find; none when the tree is done."""
+        if settings.leaves:
+            taken, open_, waiting = self.kept(settings.leaves)
+            if not waiting:
+                return []
+            for at in open_:  # their children may be next, so they are asked for ahead
+                self.divide(at)
+            near = [0, *[c for at in [*taken, *open_] for c in self.nodes[at].children]]
+            return [a for a in near if not self.nodes[a].known]
+        for at in range(len(self.nodes)):
+            self.divide(at)
+        return [a for a, n in enumerate(self.nodes) if not n.known and n.depth < settings.depth]
+
+    def routes(self) -> tuple[np.ndarray, ...]:
+        rows = [(n.split[0], n.split[1], *n.children) if n.children else (-1, 0, 0, 0) for n in self.nodes]
+        return tuple(np.array(x, np.int64) for x in zip(*rows))
+
+    def finished(self, settings: Settings, value) -> tuple[tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+        """Routes, leaf values and covers of the splits that stay, numbered anew."""
+        stay = set(self.kept(settings.leaves)[0]) if settings.leaves else {a for a, n in enumerate(self.nodes) if n.children}
+        order, rows, at = [0], [], 0
+        while at < len(order):
+            node = self.nodes[order[at]]
+            if order[at] in stay:
+                rows.append((node.split[0], node.split[1], len(order), len(order) + 1))
+                order += node.children
+            else:
+                rows.append((-1, 0, 0, 0))
+            at += 1
+        values = np.array([value(self.nodes[a].g, self.nodes[a].h) for a in order])
+        return (tuple(np.array(x, np.int64) for x in zip(*rows)), values, np.array([self.nodes[a].h for a in order]))
+
+
+def routed(codes: np.ndarray, routes: tuple[np.ndarray, ...]) -> np.ndarray:
+    """The last node each row reaches; `codes` has a row per feature."""
+    feature, cut, left, right = routes
+    end = feature < 0
+    own, feature = np.arange(len(feature)), np.where(end, 0, feature)
+    left, right = np.where(end, own, left), np.where(end, own, right)
+    node, rows = np.zeros(codes.shape[1], np.int64), np.arange(codes.shape[1])
+    while not end[node].all():
+        node = np.where(codes[feature[node], rows] <= cut[node], left[node], right[node])
+    return node
+
+
+#: Derivatives of the blocks this worker saw last, for the levels of one round.
+_SEEN: OrderedDict = OrderedDict()
+_SEEN_MOST = 32
+
+
+def soft(g, l1: float):
+    return np.sign(g) * np.maximum(np.abs(g) - l1, 0.0)
+
+
+def gradients(settings: Settings, target: np.ndarray, weight: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and second derivatives of the loss, a row per output."""
+    if settings.objective == SQUARED:
+        return (margin - target) * weight, np.broadcast_to(weight, margin.shape)
+    p = np.exp(margin - margin.max(axis=0))
+    p /= p.sum(axis=0)
+    truth = target[None, :] == np.arange(settings.classes)[:, None]
+    return (p - truth) * weight, np.maximum(CURVATURE * p * (1 - p), 1e-16) * weight
+
+
+def drawn(draw: np.ndarray, seed: int, round_: int) -> np.ndarray:
+    """A number in [0, 1) per row and round, from the row's own hash."""
+    x = draw + np.uint64((seed * 0x9E3779B97F4A7C15 + round_ * 0xBF58476D1CE4E5B9) & (2**64 - 1))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2.0**53
+
+
+@dataclass
+class Bins:
+    """Cut values per feature; a code is how many cuts are below a value, so code <= b means value <= cuts[b]."""
+
+    cuts: list[np.ndarray]
+
+    @staticmethod
+    def fit(x: np.ndarray, bins: int) -> Bins:
+        cuts = []
+        for column in x.T:
+            values = np.sort(column[~np.isnan(column)])
+            distinct = np.unique(values)
+            if len(distinct) > bins:
+                chosen = np.unique(values[np.arange(1, bins) * len(values) // bins])
+                at = np.searchsorted(distinct, chosen)
+                at = at[at < len(distinct) - 1]
+            else:
+                at = np.arange(max(0, len(distinct) - 1))
+            middle = distinct[at] + (distinct[at + 1] - distinct[at]) / 2
+            cuts.append(np.where(middle < distinct[at + 1], middle, distinct[at]))
+        return Bins(cuts)
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        return np.array([np.searchsorted(c, column, side="left") for c, column in zip(self.cuts, x.T)], np.uint8).reshape(len(self.cuts), len(x))
+
+    @property
+    def starts(self) -> np.ndarray:
+        """Where the bins of each feature begin in a histogram, and their number at the end."""
+        return np.concatenate([[0], np.cumsum([len(c) + 1 for c in self.cuts])]).astype(np.int64)
+
+
+def blocks_of(batch: pa.RecordBatch, outputs: int) -> Iterator[tuple[np.ndarray, ...]]:
+    for row in zip(*[batch.column(c) for c in ("codes", "target", "weight", "draw", "margin")]):
+        codes, target, weight, draw, margin = (np.frombuffer(v.as_buffer(), t) for v, t in zip(row, ("u1", "f8", "f8", "u8", "f8")))
+        yield codes.reshape(-1, len(target)), target, weight, draw, margin.reshape(outputs, -1)
+
+
+def packed(codes, target, weight, draw, margin) -> pa.RecordBatch:
+    values = [[np.ascontiguousarray(x).tobytes()] for x in (codes, target, weight, draw, margin)]
+    return pa.RecordBatch.from_arrays([pa.array(v, pa.binary()) for v in values], ["codes", "target", "weight", "draw", "margin"])
+
+
+def histogram_rows(slots, sums) -> pa.RecordBatch:
+    """Rows (slot, g, h) of whole-number histograms."""
+    return pa.RecordBatch.from_arrays([
+        pa.array(slots, pa.int32()), *[pa.array([x[k].tobytes() for x in sums], pa.binary()) for k in range(2)]], ["slot", "g", "h"])
+
+
+def sums_by_slot(batches) -> dict[int, list[np.ndarray]]:
+    held: dict[int, list[np.ndarray]] = {}
+    for batch in batches:
+        for slot, *parts in zip(batch.column("slot").to_pylist(), batch.column("g"), batch.column("h")):
+            arrays = [np.frombuffer(p.as_buffer(), np.int64) for p in parts]
+            if slot in held:
+                for total, more in zip(held[slot], arrays):
+                    total += more
+            else:
+                held[slot] = [a.copy() for a in arrays]
+    return held
+
+
+def best_split(g: np.ndarray, h: np.ndarray, starts: np.ndarray, usable: np.ndarray, s: Settings) -> tuple:
+    """(feature, bin, gain, g, h, left g, left h) of one node; feature -1 if nothing is gained."""
+    def quality(a, b):
+        return soft(a, s.l1) ** 2 / np.maximum(b + s.l2, 1e-300)
+
+    whole_g, whole_h = g[:starts[1]].sum(), h[:starts[1]].sum()
+    left_g, left_h = np.cumsum(g), np.cumsum(h)
+    before = np.repeat(np.concatenate([[0.0], left_g[starts[1:-1] - 1]]), np.diff(starts))
+    left_g = left_g - before
+    left_h = left_h - np.repeat(np.concatenate([[0.0], left_h[starts[1:-1] - 1]]), np.diff(starts))
+    gain = 0.5 * (quality(left_g, left_h) + quality(whole_g - left_g, whole_h - left_h) - quality(whole_g, whole_h)) - s.least_gain
+    allowed = np.repeat(usable, np.diff(starts)) & (left_h >= s.least_weight) & (whole_h - left_h >= s.least_weight)
+    allowed[starts[1:] - 1] = False
+    gain = np.where(allowed, gain, -np.inf)
+    at = int(gain.argmax())
+    if not gain[at] > 1e-9:
+        return -1, 0, 0.0, whole_g, whole_h, 0.0, 0.0
+    feature = int(np.searchsorted(starts, at, side="right") - 1)
+    return feature, at - int(starts[feature]), float(gain[at]), whole_g, whole_h, float(left_g[at]), float(left_h[at])
+
+
+class Fit:
+    """One fit: the blocks, the trees grown since their margins were written, and the jobs over them."""
+
+    def __init__(self, settings: Settings, bins: Bins, blocks: DataFrame, scale: float):
+        self.settings, self.bins, self.scale = settings, bins, scale
+        self.blocks, self.path = blocks.persist(), last_staged()
+        self.fresh: list[tuple[int, tuple[np.ndarray, ...], np.ndarray]] = []
+        self.tasks, self.name = blocks.rdd.getNumPartitions(), uuid.uuid4().hex
+
+    def margins(self):
+        """The margins of a block with the trees that are not in it yet."""
+        fresh = self.fresh
+
+        def now(codes, margin):
+            margin = margin.copy()
+            for output, routes, values in fresh:
+                margin[output] += values[routed(codes, routes)]
+            return margin
+
+        return now
+
+    def write_margins(self) -> None:
+        outputs, now = self.settings.outputs, self.margins()
+
+        def run(batches):
+            for batch in batches:
+                for codes, target, weight, draw, margin in blocks_of(batch, outputs):
+                    yield packed(codes, target, weight, draw, now(codes, margin))
+
+        written = stage(self.blocks.mapInArrow(run, _BLOCK), "margins")
+        self.drop()
+        self.blocks, self.path, self.fresh = written.persist(), last_staged(), []
+
+    def drop(self) -> None:
+        self.blocks.unpersist()
+        discard(self.blocks.sparkSession, self.path)
+
+    def summed(self, rows: DataFrame, slots: int, schema: str, finish) -> DataFrame:
+        """Histograms of all tasks added up by slot, over many tasks in two steps, and finished."""
+        def add(batches):
+            held = sums_by_slot(batches)
+            if held:
+                yield histogram_rows(list(held), list(held.values()))
+
+        if self.tasks > FAN:
+            group = F.pmod(F.spark_partition_id(), F.lit(-(-self.tasks // FAN)))
+            rows = rows.withColumn("group", group).repartition("slot", "group").drop("group").mapInArrow(add, "slot int, g binary, h binary")
+
+        def run(batches):
+            held = sums_by_slot(batches)
+            if held:
+                yield finish(held)
+
+        return rows.repartition(-(-slots // SLOTS_A_TASK), "slot").mapInArrow(run, schema)
+
+    def gradients_of(self, round_: int, bar: float | None):
+        """Scaled whole-number derivatives of a block and which rows count: sampled ones, those over the bar always."""
+        s, scale, now, name = self.settings, self.scale, self.margins(), self.name
+
+        def run(codes, target, weight, draw, margin):
+            key = (name, round_, hash(draw.tobytes()), hash(margin.tobytes()))
+            if key not in _SEEN:
+                _SEEN[key] = derive(codes, target, weight, draw, margin)
+                while len(_SEEN) > _SEEN_MOST:
+                    _SEEN.popitem(last=False)
+            return _SEEN[key]
+
+        def derive(codes, target, weight, draw, margin):
+            g, h = gradients(s, target, weight, now(codes, margin))
+            luck = drawn(draw, s.seed, round_)
+            use = luck < s.subsample
+            if bar is not None:
+                size = np.abs(g).sum(axis=0)
+                large = size >= bar
+                use = large | (luck < s.other_share / (1 - s.top_share))
+                factor = np.where(large, 1.0, (1 - s.top_share) / s.other_share)
+                g, h = g * factor, h * factor
+            return np.rint(g * scale), np.rint(h * scale), use
+
+        return run
+
+    def bar(self, round_: int) -> float | None:
+        """The size of gradient that `top_share` of the rows reach, to a 4096th of the largest possible one."""
+        s = self.settings
+        if s.top_share >= 1:
+            return None
+        whole, now, top = 4096, self.margins(), 2.0 ** 38 / self.scale
+
+        def run(batches):
+            counts = np.zeros(whole, np.int64)
+            for batch in batches:
+                for codes, target, weight, draw, margin in blocks_of(batch, s.outputs):
+                    size = np.abs(gradients(s, target, weight, now(codes, margin))[0]).sum(axis=0)
+                    counts += np.bincount(np.minimum(size / top * whole, whole - 1).astype(int), minlength=whole)
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(counts)), pa.array(counts[counts > 0])], ["level", "n"])
+
+        rows = self.blocks.mapInArrow(run, "level long, n long").groupBy("level").agg(F.sum("n").alias("n")).collect()
+        total, seen = sum(r["n"] for r in rows), 0
+        for r in sorted(rows, key=lambda r: -r["level"]):  # at most 4096 levels
+            seen += r["n"]
+            if seen >= s.top_share * total:
+                return r["level"] * top / whole
+        return 0.0
+
+    def splits(self, growing: list[Growing], wanted: list[list[int]], round_: int, bar: float | None) -> None:
+        """One job finds the best splits of all wanted nodes of all outputs."""
+        s, starts, outputs = self.settings, self.bins.starts, self.settings.outputs
+        routes = [tree.routes() for tree in growing]
+        slots = [(k, a) for k, nodes in enumerate(wanted) for a in nodes]
+        place = [np.full(len(tree.nodes), -1, np.int64) for tree in growing]
+        first = np.concatenate([[0], np.cumsum([len(nodes) for nodes in wanted])])
+        for k, nodes in enumerate(wanted):
+            place[k][nodes] = np.arange(len(nodes))
+        derive, width, scale = self.gradients_of(round_, bar), int(starts[-1]), self.scale
+        usable = [self.columns(round_, k) for k in range(outputs)]
+
+        def run(batches):
+            sums = [np.zeros((2, len(nodes) * width), np.int64) for nodes in wanted]
+            for batch in batches:
+                for codes, target, weight, draw, margin in blocks_of(batch, outputs):
+                    g, h, use = derive(codes, target, weight, draw, margin)
+                    for k, nodes in enumerate(wanted):
+                        if not nodes:
+                            continue
+                        slot = place[k][routed(codes, routes[k])]
+                        rows = np.flatnonzero((slot >= 0) & use)
+                        if not len(rows):
+                            continue
+                        at = (codes[:, rows] + starts[:-1, None] + slot[rows] * width).ravel()
+                        for total, values in zip(sums[k], (g[k], h[k])):
+                            # a block's sums stay below 2^53, so they are exact
+                            total += np.bincount(at, np.broadcast_to(values[rows], (len(codes), len(rows))).ravel(), len(total)).astype(np.int64)
+            for k, nodes in enumerate(wanted):
+                for i in range(0, len(nodes), SLOTS_A_TASK):
+                    some = range(i, min(len(nodes), i + SLOTS_A_TASK))
+                    yield histogram_rows([int(first[k]) + j for j in some], [sums[k][:, j * width:(j + 1) * width] for j in some])
+
+        owner = np.repeat(np.arange(outputs), np.diff(first))
+
+        def finish(held):
+            rows = [(slot, *best_split(g / scale, h / scale, starts, usable[owner[slot]], s)) for slot, (g, h) in held.items()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(
+                zip(*rows), (pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * 5))], [c.split()[0] for c in _SPLIT.split(", ")])
+
+        # one row per open node of the round's trees
+        for r in self.summed(self.blocks.mapInArrow(run, "slot int, g binary, h binary"), len(slots), _SPLIT, finish).collect():
+            k, at = slots[r["slot"]]
+            node = growing[k].nodes[at]
+            node.known, node.g, node.h, node.sides = True, r["g"], r["h"], (r["left_g"], r["left_h"])
+            node.split = (r["feature"], r["bin"], r["gain"]) if r["feature"] >= 0 else None
+
+    def columns(self, round_: int, output: int) -> np.ndarray:
+        """The features a tree may use."""
+        n = len(self.bins.cuts)
+        chosen = max(1, round(self.settings.column_share * n))
+        usable = np.zeros(n, bool)
+        usable[np.random.default_rng([self.settings.seed, round_, output]).permutation(n)[:chosen]] = True
+        return usable
+
+    def round(self, round_: int) -> list[Tree]:
+        """Grow one tree per output."""
+        s = self.settings
+        growing, bar = [Growing() for _ in range(s.outputs)], self.bar(round_)
+        while any(wanted := [tree.wanted(s) for tree in growing]):
+            self.splits(growing, wanted, round_, bar)
+        trees = []
+        for k, tree in enumerate(growing):
+            routes, values, cover = tree.finished(s, lambda g, h: -s.rate * float(soft(g, s.l1)) / max(h + s.l2, 1e-300))
+            self.fresh.append((k, routes, values))
+            feature, cut = routes[:2]
+            cuts = np.array([self.bins.cuts[f][b] if f >= 0 else 0.0 for f, b in zip(feature, cut)])
+            out = np.zeros((len(values), s.outputs))
+            out[feature < 0, k] = values[feature < 0]
+            trees.append(Tree(feature, cuts, routes[2], routes[3], out, cover))
+        if (round_ + 1) % ROUNDS_HELD == 0 and round_ + 1 < s.rounds:
+            self.write_margins()
+        return trees
+
+
+def fit_trees(rows: DataFrame, settings: Settings) -> tuple[list[Tree], np.ndarray]:
+    """Trees and the margin every row begins with, from rows (x array<double>, target double, weight double).
+
+    Bins come from about SAMPLE rows that a hash of the row chooses, all rows while there are no more; up to `bins`
+    distinct values have a bin each. NaN falls into the last bin, hence to the right of every split.
+    """
+    about = rows.agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("w"), F.min("target").alias("low"),
+                     F.max("target").alias("high"), F.round(F.sum(F.col("target") * F.col("weight")) / F.sum("weight"), 9).alias("mean")).first()
+    if not about["n"]:
+        raise ValueError("there are no rows to fit")
+    hashed = rows.withColumn("draw", F.xxhash64("x", "target"))
+    share = min(1.0, SAMPLE / about["n"])
+    sampled = hashed.where((F.shiftrightunsigned("draw", 24) / F.lit(2.0**40)) < F.lit(share)) if share < 1 else hashed
+    columns = sampled.select("x").toArrow().column("x").combine_chunks()
+    values = columns.flatten().to_numpy(zero_copy_only=False)
+    bins = Bins.fit(values.reshape(len(columns), -1), settings.bins)
+    start = np.full(settings.outputs, about["mean"] if settings.objective == SQUARED else 0.0)
+    bound = about["w"] * (1.0 if settings.objective == SOFTMAX else max(1e-6, 4 * (about["high"] - about["low"])))
+    if settings.top_share < 1:
+        bound *= max(1.0, (1 - settings.top_share) / settings.other_share) * settings.outputs
+    bits = int(np.ceil(np.log2(bound)))
+    scale = 2.0 ** min(38 - bits, 62 - bits - int(np.ceil(np.log2(about["n"] + 1))))
+
+    def pack(batches):
+        for batch in batches:
+            n = batch.num_rows
+            if n:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+                target, weight = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("target", "weight"))
+                draw = batch.column("draw").to_numpy(zero_copy_only=False).view(np.uint64)
+                for a in range(0, n, BLOCK_ROWS):
+                    b = min(n, a + BLOCK_ROWS)
+                    yield packed(bins.codes(x[a:b]), target[a:b], weight[a:b], draw[a:b], np.repeat(start[:, None], b - a, axis=1))
+
+    parts = int(min(max(1, about["n"] // BLOCK_ROWS), 1 << 16))
+    blocks = stage(hashed.repartition(parts).mapInArrow(pack, _BLOCK), "blocks")
+    fit, trees = Fit(settings, bins, blocks, scale), []
+    try:
+        for round_ in range(settings.rounds):
+            trees += fit.round(round_)
+    finally:
+        fit.drop()
+    return trees, start
 
 
 class _BoosterParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasSeed):
+    objective = Param(Params._dummy(), "objective", "softmax or squared", TypeConverters.toString)
     classes = Param(Params._dummy(), "classes", "number of classes, coded from 0", TypeConverters.toInt)
     rounds = Param(Params._dummy(), "rounds", "boosting rounds", TypeConverters.toInt)
     depth = Param(Params._dummy(), "depth", "largest tree depth", TypeConverters.toInt)
+    leaves = Param(Params._dummy(), "leaves", "most leaves, grown best first; 0 grows by level", TypeConverters.toInt)
     rate = Param(Params._dummy(), "rate", "learning rate", TypeConverters.toFloat)
-    subsample = Param(Params._dummy(), "subsample", "share of rows per tree", TypeConverters.toFloat)
-    columnShare = Param(Params._dummy(), "columnShare", "share of features per split", TypeConverters.toFloat)
-    minRows = Param(Params._dummy(), "minRows", "least rows per child", TypeConverters.toInt)
+    l1 = Param(Params._dummy(), "l1", "absolute penalty of leaf values", TypeConverters.toFloat)
+    l2 = Param(Params._dummy(), "l2", "squared penalty of leaf values", TypeConverters.toFloat)
+    leastGain = Param(Params._dummy(), "leastGain", "gain a split must exceed", TypeConverters.toFloat)
+    leastWeight = Param(Params._dummy(), "leastWeight", "least curvature per child", TypeConverters.toFloat)
+    subsample = Param(Params._dummy(), "subsample", "share of rows per round", TypeConverters.toFloat)
+    columnShare = Param(Params._dummy(), "columnShare", "share of features per tree", TypeConverters.toFloat)
+    topShare = Param(Params._dummy(), "topShare", "share of rows of largest gradient that all count; 1 for all", TypeConverters.toFloat)
+    otherShare = Param(Params._dummy(), "otherShare", "share of rows drawn from the others", TypeConverters.toFloat)
+    bins = Param(Params._dummy(), "bins", "most bins per feature, up to 256", TypeConverters.toInt)
     weightCol = Param(Params._dummy(), "weightCol", "row weight, empty for none", TypeConverters.toString)
 
 
-class ZoneBooster(Estimator, _BoosterParams, DefaultParamsReadable, DefaultParamsWritable):
-    """One boosted model per class against the rest; probabilities are normalised per row."""
+_DEFAULTS = dict(
+    objective=SOFTMAX, classes=4, rounds=500, depth=6, leaves=0, rate=0.1, l1=0.0, l2=1.0, leastGain=0.0, leastWeight=1.0,
+    subsample=1.0, columnShare=1.0, topShare=1.0, otherShare=0.0, bins=256, weightCol="", seed=SEED,
+)
+
+
+class HistogramBooster(Estimator, _BoosterParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Boosted trees over the cross entropy of classes coded from 0, or over squared error."""
 
     @keyword_only
     def __init__(
-        self, *, featuresCol="features", labelCol="label", predictionCol="prediction",
-        probabilityCol="probability", classes=4, rounds=500, depth=6, rate=0.1, subsample=1.0,
-        columnShare=1.0, minRows=1, weightCol="", seed=SEED,
+        self, *, featuresCol="features", labelCol="label", predictionCol="prediction", probabilityCol="probability",
+        objective=SOFTMAX, classes=4, rounds=500, depth=6, leaves=0, rate=0.1, l1=0.0, l2=1.0, leastGain=0.0, leastWeight=1.0,
+        subsample=1.0, columnShare=1.0, topShare=1.0, otherShare=0.0, bins=256, weightCol="", seed=SEED,
     ):
         super().__init__()
-        self._setDefault(classes=4, rounds=500, depth=6, rate=0.1, subsample=1.0, columnShare=1.0,
-                         minRows=1, weightCol="", seed=SEED)
+        self._setDefault(**_DEFAULTS)
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset: DataFrame) -> ZoneBoosterModel:
+    def settings(self) -> Settings:
+        get = self.getOrDefault
+        if not 2 <= get("bins") <= 256:
+            raise ValueError("bins must be 2 to 256")
+        if get("objective") not in (SOFTMAX, SQUARED):
+            raise ValueError(f"no objective {get('objective')}")
+        if get("topShare") < 1 and not 0 < get("otherShare") <= 1 - get("topShare"):
+            raise ValueError("otherShare must be above 0 and at most what topShare leaves")
+        return Settings(
+            get("objective"), get("classes"), get("rounds"), get("depth"), get("leaves"), get("rate"), get("l1"), get("l2"),
+            get("leastGain"), get("leastWeight"), get("subsample"), get("columnShare"), get("topShare"), get("otherShare"),
+            get("bins"), get("seed"))
+
+    def _fit(self, dataset: DataFrame) -> HistogramBoosterModel:
         get = self.getOrDefault
-        weight = [get("weightCol")] if get("weightCol") else []
-        rows = dataset.select(get("featuresCol"), get("labelCol"), *weight).persist()
-        models = []
-        for c in range(get("classes")):
-            learner = GBTClassifier(
-                featuresCol=get("featuresCol"), labelCol="_is_class", maxIter=get("rounds"),
-                maxDepth=get("depth"), stepSize=get("rate"), subsamplingRate=get("subsample"),
-                featureSubsetStrategy=str(float(get("columnShare"))), minInstancesPerNode=get("minRows"),
-                seed=get("seed"), **({"weightCol": weight[0]} if weight else {}),
-            )
-            models.append(learner.fit(rows.withColumn(
-                "_is_class", (F.col(get("labelCol")) == c).cast("double"))))
-        rows.unpersist()
-        model = ZoneBoosterModel(models)
-        return self._copyValues(model)
-
-
-class ZoneBoosterModel(Model, _BoosterParams, MLReadable, MLWritable):
-    def __init__(self, models: list[GBTClassificationModel] | None = None):
+        weight = F.col(get("weightCol")).cast("double") if get("weightCol") else F.lit(1.0)
+        rows = dataset.select(vector_to_array(F.col(get("featuresCol"))).alias("x"),
+                              F.col(get("labelCol")).cast("double").alias("target"), weight.alias("weight")).persist()
+        try:
+            trees, start = fit_trees(rows, self.settings())
+        finally:
+            rows.unpersist()
+        return self._copyValues(HistogramBoosterModel(trees, start))
+
+
+class HistogramBoosterModel(Model, _BoosterParams, MLReadable, MLWritable):
+    def __init__(self, trees: list[Tree] | None = None, start: np.ndarray | None = None):
         super().__init__()
-        self.models = models or []
+        self._setDefault(**_DEFAULTS)
+        self.trees, self.start = trees or [], np.zeros(1) if start is None else start
 
-    def copy(self, extra=None) -> ZoneBoosterModel:
+    def copy(self, extra=None) -> HistogramBoosterModel:
         other = super().copy(extra)
-        other.models = self.models
+        other.trees, other.start = self.trees, self.start
         return other
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        out, scores = dataset, []
-        for c, model in enumerate(self.models):
-            one = model.copy()
-            one.setFeaturesCol(self.getOrDefault("featuresCol"))
-            one.setProbabilityCol(f"_p{c}").setRawPredictionCol("").setPredictionCol("")
-            out = one.transform(out)
-            scores.append(F.get(vector_to_array(F.col(f"_p{c}")), F.lit(1)))
-        total = sum(scores[1:], scores[0])
-        share = F.array(*[F.when(total > 0, s / total).otherwise(F.lit(1.0 / len(scores))) for s in scores])
-        name = self.getOrDefault("probabilityCol")
-        return (
-            out.withColumn(name, share)
-            .withColumns({
-                self.getOrDefault("predictionCol"): argmax(F.col(name)).cast("double"),
-                name: array_to_vector(F.col(name)),
-            }).drop(*[f"_p{c}" for c in range(len(scores))])
-        )
+        sent = dataset.sparkSession.sparkContext.broadcast((self.trees, self.start))
+        softmax = self.getOrDefault("objective") == SOFTMAX
+
+        @F.arrow_udf("array<double>")
+        def outputs(column: pa.Array) -> pa.Array:
+            trees, start = sent.value
+            x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+            out = score(trees, x) + start
+            if softmax:
+                out = np.exp(out - out.max(axis=1, keepdims=True))
+                out /= out.sum(axis=1, keepdims=True)
+            return pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1) * out.shape[1], pa.int32()), pa.array(out.ravel()))
+
+        scored = dataset.withColumn("_outputs", outputs(vector_to_array(F.col(self.getOrDefault("featuresCol")))))
+        prediction = self.getOrDefault("predictionCol")
+        if not softmax:
+            return scored.withColumn(prediction, F.get("_outputs", F.lit(0))).drop("_outputs")
+        return scored.withColumns({
+            prediction: argmax(F.col("_outputs")).cast("double"),
+            self.getOrDefault("probabilityCol"): array_to_vector(F.col("_outputs")),
+        }).drop("_outputs")
 
     def write(self) -> MLWriter:
         return _BoosterWriter(self)
@@ -99,28 +601,40 @@ class ZoneBoosterModel(Model, _BoosterParams, MLReadable, MLWritable):
         return _BoosterReader(cls)
 
 
+def tree_rows(spark: SparkSession, trees: list[Tree]) -> DataFrame:
+    """A row of arrays per tree."""
+    rows = [(i, t.feature.tolist(), t.cut.tolist(), t.left.tolist(), t.right.tolist(), t.value.ravel().tolist(), t.cover.tolist())
+            for i, t in enumerate(trees)]
+    return spark.createDataFrame(
+        rows, "tree int, feature array<int>, cut array<double>, left array<int>, right array<int>, value array<double>, cover array<double>")
+
+
+def trees_from(rows: DataFrame, outputs: int) -> list[Tree]:
+    return [Tree(np.array(r["feature"]), np.array(r["cut"]), np.array(r["left"]), np.array(r["right"]),
+                 np.array(r["value"]).reshape(-1, outputs), np.array(r["cover"])) for r in rows.orderBy("tree").collect()]
+
+
 class _BoosterWriter(MLWriter):
-    def __init__(self, instance: ZoneBoosterModel):
+    def __init__(self, instance: HistogramBoosterModel):
         super().__init__()
         self.instance = instance
 
     def saveImpl(self, path: str) -> None:
-        DefaultParamsWriter.saveMetadata(
-            self.instance, path, self.sparkSession, extraMetadata={"models": len(self.instance.models)})
-        for c, model in enumerate(self.instance.models):
-            model.write().save(f"{path}/class-{c}")
+        spark = SparkSession.getActiveSession()
+        DefaultParamsWriter.saveMetadata(self.instance, path, spark, extraMetadata={"start": self.instance.start.tolist()})
+        tree_rows(spark, self.instance.trees).write.parquet(f"{path}/trees")
 
 
 class _BoosterReader(MLReader):
-    def __init__(self, cls: type[ZoneBoosterModel]):
+    def __init__(self, cls: type[HistogramBoosterModel]):
         super().__init__()
         self.cls = cls
 
-    def load(self, path: str) -> ZoneBoosterModel:
-        metadata = DefaultParamsReader.loadMetadata(path, SparkSession.getActiveSession())
-        model = self.cls([
-            GBTClassificationModel.load(f"{path}/class-{c}") for c in range(metadata["models"])
-        ])
+    def load(self, path: str) -> HistogramBoosterModel:
+        spark = SparkSession.getActiveSession()
+        metadata = DefaultParamsReader.loadMetadata(path, spark)
+        start = np.array(metadata["start"])
+        model = self.cls(trees_from(spark.read.parquet(f"{path}/trees"), len(start)), start)
         model._resetUid(metadata["uid"])
         DefaultParamsReader.getAndSetParams(model, metadata)
         return model

@@ -27,6 +27,7 @@ class Effort:
     forest_depth: int = 20
     rounds: int = 500
     booster_depth: int = 6
+    booster_leaves: int = 63
     clusters: int | None = 15
     network: bool = True
     network_iterations: int = 80
@@ -69,12 +70,14 @@ def run_training(
         "random_forest": T.zone_pipeline(T.zone_forest(effort.trees, effort.forest_depth)),
         "booster": T.zone_pipeline(T.zone_booster(effort.rounds, effort.booster_depth)),
         "weighted_booster": T.zone_pipeline(T.zone_booster(effort.rounds, effort.booster_depth, weight=T.WEIGHT)),
+        "leaf_booster": T.zone_pipeline(T.zone_booster(effort.rounds, leaves=effort.booster_leaves, weight=T.WEIGHT)),
     }
     if effort.network:
         zones["network"] = T.network_pipeline(train, iterations=effort.network_iterations)
     prices = {
         "random_forest": T.price_pipeline(T.price_forest(effort.trees, effort.forest_depth)),
         "booster": T.price_pipeline(T.price_booster(effort.rounds, effort.booster_depth)),
+        "leaf_booster": T.price_pipeline(T.price_booster(effort.rounds, leaves=effort.booster_leaves)),
         "line": T.price_pipeline(T.price_line()),
     }
     chosen: dict[str, dict] = {}
@@ -82,8 +85,8 @@ def run_training(
         plain = train.drop("fold") if "fold" in train.columns else train
         _, chosen["zone_tuned_booster"], _ = T.tune_classifier(plain, key, effort.trials, effort.folds)
         _, chosen["price_tuned_booster"], _ = T.tune_regressor(plain, key, effort.trials, effort.folds)
-        zones["tuned_booster"] = T.zone_pipeline(T.tuned_zone_booster(chosen["zone_tuned_booster"]))
-        prices["tuned_booster"] = T.price_pipeline(T.tuned_price_booster(chosen["price_tuned_booster"]))
+        zones["tuned_booster"] = T.zone_pipeline(T.tuned(T.zone_booster(), chosen["zone_tuned_booster"]))
+        prices["tuned_booster"] = T.price_pipeline(T.tuned(T.price_booster(), chosen["price_tuned_booster"]))
     classified = T.train_classifiers(train, test, zones)
     regressed = T.train_regressors(train, test, prices)
     T.save_model(regressed.best_model, f"{folder}/price_regressor_best")

@@ -86,6 +86,22 @@ def stage(df: DataFrame, label: str, owned: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def last_staged() -> str:
+    """Path of the table the current job staged last."""
+    return _SCOPE.get().staged[-1]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table before the end of its job, once a later one stands in its place."""
+    _SCOPE.get().staged.remove(path)
+    _delete(spark, path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def keep(df: DataFrame) -> DataFrame:
     """Cache a table that several steps read; `release` drops it. Lost blocks are recomputed."""
     kept = _SCOPE.get().kept
@@ -104,5 +120,4 @@ def release(spark: SparkSession | None = None) -> None:
         scope.kept.pop().unpersist()
     if spark is not None:
         while scope.staged:
-            path = spark._jvm.org.apache.hadoop.fs.Path(scope.staged.pop())
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(spark, scope.staged.pop())

@@ -13,6 +13,7 @@ from acreage.functions.geo import hex_cell
 from acreage.ml import training as T
 from acreage.ml.clusters import add_neighborhood_clusters
 from acreage.ml.resample import oversample_and_edit
+from acreage.ml.search import Whole
 from acreage.operators import (
     cleaning as C, dependence, encoding, explain, features as P, firewall as W, guards, metrics as E,
     monitoring as M, ranking as R, scoring as S, thresholds as H,
@@ -509,9 +510,8 @@ def _parts(spark, folder):
     return rows.filter("split = 'train'"), rows.filter("split = 'test'")
 
 
-def _short_space(rng):
-    """The published search ranges with few boosting rounds."""
-    return {**T.booster_search_space(rng), "rounds": 3}
+#: The published search ranges with few boosting rounds.
+SHORT_SPACE = {**T.BOOSTER_SPACE, "rounds": Whole(3, 3)}
 
 
 def _small_models(train):
@@ -563,14 +563,14 @@ def train_network(spark, folder):
 @query
 def tune_classifier(spark, folder):
     train, _ = _parts(spark, folder)
-    _, _, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, space=_short_space)
+    _, _, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, space=SHORT_SPACE)
     return rounded(trials)
 
 
 @query
 def tune_regressor(spark, folder):
     train, _ = _parts(spark, folder)
-    _, _, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, space=_short_space)
+    _, _, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, space=SHORT_SPACE)
     return rounded(trials)
 
 

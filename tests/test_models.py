@@ -9,6 +9,7 @@ from acreage.ml import training as T
 from acreage.ml.clusters import add_neighborhood_clusters, fit_clusters
 from acreage.ml.encoders import FrequentCategories, PopulationScaler, SmoothedTargetEncoder, input_features
 from acreage.ml.resample import edit, neighbours, oversample, oversample_and_edit
+from acreage.ml.search import Whole
 from acreage.operators import metrics as E
 from acreage.plans import training as PT
 from acreage.session import job, release, stage
@@ -25,8 +26,7 @@ def majority(test):
     return max(counts) / sum(counts)
 
 
-def short_space(rng):
-    return {**T.booster_search_space(rng), "rounds": 2}
+SHORT = {**T.BOOSTER_SPACE, "rounds": Whole(2, 2), "depth": Whole(3, 4)}
 
 
 def test_classifiers_beat_the_majority_and_survive_saving(spark, parts, tmp_path):
@@ -72,13 +72,13 @@ def test_network_and_fallback_onehot(parts):
 
 def test_tuning_keeps_the_best_trial(parts):
     train, _ = parts
-    model, chosen, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, space=short_space)
+    model, chosen, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, space=SHORT)
     rows = trials.collect()
     best = max(rows, key=lambda r: r["mean_score"])
-    assert str(chosen) == best["parameters"] and 3 <= chosen["depth"] <= 10
-    assert model.stages[-1].models[0].getMaxIter() == 2
-    model, chosen, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, space=short_space)
-    assert trials.count() == 2 and model.stages[-1].getNumTrees == 2
+    assert str(chosen) == best["parameters"] and 3 <= chosen["depth"] <= 4
+    assert model.stages[-1].getOrDefault("rounds") == 2
+    model, chosen, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, space=SHORT)
+    assert trials.count() == 2 and len(model.stages[-1].trees) == 2
 
 
 def test_stacking(spark, parts, tmp_path):
