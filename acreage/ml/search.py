@@ -81,7 +81,7 @@ class Density:
         total = 0.0
         for c, w in zip(self.centres, self.widths):
             inside = self._below(1, c, w) - self._below(0, c, w)
-            total += math.exp(-((x - c) / w) ** 2 / 2) / (w * inside)
+            total += math.exp(-((x - c) / w) ** 2 / 2) / (w * inside * math.sqrt(2 * math.pi))
         return math.log(max(total / len(self.centres), 1e-300))
 
     def draw(self, rng: random.Random) -> float:

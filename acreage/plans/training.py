@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from acreage.constants import NUMERIC_FEATURES, PRICE_ZONES, ALL_FEATURES
 from acreage.functions.scalar import thresholded_argmax
 from acreage.ml import training as T
+from acreage.ml.attributions import is_tree_model, tree_attributions
 from acreage.operators import explain, metrics as E, monitoring as M, thresholds as H
 from acreage.operators.features import model_features
 from acreage.operators.ranking import stratified_split
@@ -53,6 +55,15 @@ def zone_score(model, label: int):
     return score
 
 
+def explain_zones(test: DataFrame, key: str, features: list[str], model, label: int, effort: Effort) -> DataFrame:
+    """`(row_id, feature, value)` of one zone: exact for models of trees, sampled for others."""
+    if not isinstance(model, PipelineModel) or not is_tree_model(model.stages[-1]):
+        return explain.shapley_values(
+            test, key, features, zone_score(model, label), effort.explained_rows, permutations=effort.permutations)
+    values, _ = tree_attributions(test, key, model, features, effort.explained_rows)
+    return values.filter(F.col("output") == label).drop("output")
+
+
 def run_training(
     cleaned: DataFrame, key: str, folder: str, run: str = "run", effort: Effort = Effort()
 ) -> dict[str, DataFrame]:
@@ -109,9 +120,7 @@ def run_training(
         "TUNED_PRED", thresholded_argmax(T.probabilities(), cuts))
 
     features = [c for c in ALL_FEATURES if c in test.columns]
-    attributions = explain.shapley_values(
-        test, key, features, zone_score(classified.best_model, len(PRICE_ZONES) - 1),
-        effort.explained_rows, permutations=effort.permutations)
+    attributions = explain_zones(test, key, features, classified.best_model, len(PRICE_ZONES) - 1, effort)
     baseline = M.feature_stats(train, NUMERIC_FEATURES)
     save_baseline(baseline, f"{folder}/drift_baseline")
     return {

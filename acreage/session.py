@@ -94,10 +94,11 @@ def last_staged() -> str:
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table before the end of its job, once a later one stands in its place."""
     _SCOPE.get().staged.remove(path)
-    _delete(spark, path)
+    delete(spark, path)
 
 
-def _delete(spark: SparkSession, name: str) -> None:
+def delete(spark: SparkSession, name: str) -> None:
+    """Delete a folder wherever it lies."""
     path = spark._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -120,4 +121,4 @@ def release(spark: SparkSession | None = None) -> None:
         scope.kept.pop().unpersist()
     if spark is not None:
         while scope.staged:
-            _delete(spark, scope.staged.pop())
+            delete(spark, scope.staged.pop())

@@ -11,6 +11,7 @@ from acreage.constants import ALL_FEATURES, HEADER_ROW_CANDIDATES, PRICE_ZONES
 from acreage.functions import scalar as X
 from acreage.functions.geo import hex_cell
 from acreage.ml import training as T
+from acreage.ml.attributions import tree_attributions, tree_outputs
 from acreage.ml.clusters import add_neighborhood_clusters
 from acreage.ml.resample import oversample_and_edit
 from acreage.ml.search import Whole
@@ -20,7 +21,7 @@ from acreage.operators import (
 )
 from acreage.operators.spatial import nearest_station_distance
 from acreage.plans import firewall as PF, listings as L, scoring as PS, training as PT
-from acreage.session import shared_dir
+from acreage.session import shared_dir, stage
 from acreage.sources import adapters as A, files
 from acreage.sources.files import load_baseline, save_baseline, union_by_name
 from acreage.streaming import jobs as S2
@@ -601,6 +602,31 @@ def shapley(spark, folder):
     return rounded(explain.global_importance(values))
 
 
+def _explained(spark, folder, model):
+    """Mean absolute attribution per feature and output, and the largest gap between a row's sum and its outputs."""
+    train, test = _parts(spark, folder)
+    fitted = model.fit(train)
+    values, mean = tree_attributions(test, "LISTING_ID", fitted, ALL_FEATURES)
+    values = stage(values, "attributions")
+    sums = values.groupBy("row_id", "output").agg(F.sum("value").alias("total"))
+    outputs = tree_outputs(test, "LISTING_ID", fitted).select("row_id", F.posexplode("outputs").alias("output", "reached"))
+    base = F.get(F.array(*[F.lit(float(m)) for m in mean]), F.col("output"))
+    gap = sums.join(outputs, ["row_id", "output"]).groupBy("output").agg(
+        F.max(F.abs(F.col("total") + base - F.col("reached"))).alias("gap"))
+    mean_abs = values.groupBy("output", "feature").agg(F.avg(F.abs("value")).alias("mean_abs"))
+    return rounded(mean_abs.join(F.broadcast(gap), "output"))  # one row per output
+
+
+@query
+def tree_shapley_booster(spark, folder):
+    return _explained(spark, folder, T.zone_pipeline(T.zone_booster(10, 4)))
+
+
+@query
+def tree_shapley_forest(spark, folder):
+    return _explained(spark, folder, T.price_pipeline(T.price_forest(20, 6)))
+
+
 @query
 def score_batch(spark, folder):
     train, _ = _parts(spark, folder)
@@ -705,7 +731,7 @@ def mapping_invariants(spark, folder):
 def schema_difference(spark, folder):
     """What the columns of the orders lack of, and have beyond, those of the line items."""
     orders, items = A.table(spark, folder, "orders"), A.table(spark, folder, "lineitem")
-    return guards.schema_difference_table(orders.limit(1), [c.replace("l_", "o_", 1) for c in items.columns])
+    return guards.schema_difference_table(orders, [c.replace("l_", "o_", 1) for c in items.columns])
 
 
 # --- streams ------------------------------------------------------------------------------------
