@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acreage.constants import SEED
 from acreage.functions.scalar import literal_map
+from acreage.ml.neighbours import nearest_rows
 from acreage.operators.ranking import digest_rank
 from acreage.session import stage
 
@@ -123,7 +124,7 @@ def oversample(
     small = stage(rows.filter(F.col(label).isin(minority)), "minority")
     whole = literal_map({c: (largest - n) // n for c, n in sizes.items()})
     rest = literal_map({c: (largest - n) % n for c, n in sizes.items()})
-    near = neighbours(small, key, "_x", k, len(features), label, seed=seed, **search).groupBy(
+    near = nearest_rows(small, key, "_x", k, len(features), label, seed=seed, **search).groupBy(
         F.col("key").alias(key)).agg(F.collect_list("other").alias("_others"))
     # a row lists at most k others
     many = whole[F.col(label)] + F.when(F.col("_rank") <= rest[F.col(label)], 1).otherwise(0)
@@ -152,7 +153,7 @@ def oversample(
 def edit(df: DataFrame, key: str, features: list[str], label: str, k: int = 3, seed: int = SEED, **search) -> DataFrame:
     """Drop rows with a neighbour of another class among their k nearest."""
     rows = stage(df.withColumn("_x", F.array(*[F.col(f).cast("double") for f in features])), "edited")
-    near = neighbours(rows, key, "_x", k, len(features), seed=seed, **search)
+    near = nearest_rows(rows, key, "_x", k, len(features), seed=seed, **search)
     other = rows.select(F.col(key).alias("other"), F.col(label).alias("_theirs"))
     denied = (
         near.withColumnRenamed("key", key).join(rows.select(key, label), key).join(other, "other")

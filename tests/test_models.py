@@ -196,7 +196,7 @@ def test_oversampling_balances_inside_the_class(spark):
 
 def test_editing_removes_rows_their_neighbours_deny(spark):
     lost = spark.createDataFrame([(1000, 0.0, 0.0, 2)], "k long, a double, b double, y int")
-    kept = edit(cloud(spark).unionByName(lost), "k", ["a", "b"], "y", reach=100)
+    kept = edit(cloud(spark).unionByName(lost), "k", ["a", "b"], "y", cell=7)
     assert kept.filter("k = 1000").count() == 0
     assert kept.filter("y = 1").count() > 10
 
