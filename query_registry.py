@@ -524,7 +524,7 @@ def _small_models(train):
 
 @query
 def kmeans_zones(spark, folder):
-    clustered = add_neighborhood_clusters(A.listings(spark, folder), 15, starts=2)
+    clustered = add_neighborhood_clusters(A.listings(spark, folder), 15)
     return clustered.groupBy("NEIGHBORHOOD_CLUSTER").agg(F.count("*").alias("n"))
 
 

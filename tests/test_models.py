@@ -1,6 +1,8 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -132,8 +134,29 @@ def test_clusters(make_listings):
     df = make_listings(100)
     out = add_neighborhood_clusters(df, 5, starts=2)
     assert out.count() == 100 and out.filter("NEIGHBORHOOD_CLUSTER NOT BETWEEN 0 AND 4").count() == 0
-    one = fit_clusters(df, 5, starts=1).summary.trainingCost
-    assert fit_clusters(df, 5, starts=4).summary.trainingCost <= one
+    one = fit_clusters(df, 5, starts=1).cost
+    assert fit_clusters(df, 5, starts=4).cost <= one
+
+
+def test_ten_starts_in_one_pass_a_step(spark, make_listings, monkeypatch):
+    df = make_listings(900)
+    spots = df.unionByName(df.filter("listing_id % 3 = 0")).unionByName(df.limit(2).withColumn("LATITUDE", F.lit(None).cast("double")))
+    got = fit_clusters(spots, 6)
+    x = np.array([[r.LATITUDE, r.LONGITUDE] for r in spots.dropna(subset=["LATITUDE"]).collect()])
+    far = ((x[:, None] - got.centres[None]) ** 2).sum(-1)
+    assert far.min(axis=1).sum() == pytest.approx(got.cost, abs=1e-5)
+    kept = got.transform(spots).collect()
+    assert len(kept) == len(x)
+    assert all(r.NEIGHBORHOOD_CLUSTER == ((got.centres - [r.LATITUDE, r.LONGITUDE]) ** 2).sum(1).argmin() for r in kept)
+    points = VectorAssembler(inputCols=["LATITUDE", "LONGITUDE"], outputCol="p", handleInvalid="skip").transform(spots)
+    separate = min(KMeans(k=6, seed=s, featuresCol="p").fit(points).summary.trainingCost for s in range(10))
+    assert got.cost <= separate * 1.0001
+    assert (fit_clusters(spots.repartition(7), 6).centres == got.centres).all()
+    monkeypatch.setattr("acreage.ml.clusters.SAMPLE", 50)  # starts from a sample move on over all points
+    assert fit_clusters(spots, 6).cost <= separate * 1.01
+    with pytest.raises(ValueError):
+        fit_clusters(df.limit(0), 3)
+    assert fit_clusters(df.limit(2), 5, starts=2).cost == pytest.approx(0)
 
 
 def cloud(spark, sizes=(60, 15, 5), seed=0):
