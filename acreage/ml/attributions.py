@@ -59,18 +59,28 @@ def trees_of(model: Model) -> tuple[list[Tree], np.ndarray]:
     return [_tree(by_tree[t], weights[t], classes) for t in sorted(by_tree)], np.zeros(max(1, classes))
 
 
-def _tree(rows: list, weight: float, classes: int) -> Tree:
-    if any(r["split"]["numCategories"] >= 0 for r in rows):
+def _split(row) -> tuple[int, float, int, int]:
+    """Feature, cut and children of a node; of a place that holds only 0 and 1, such as a one-hot one, either may be left."""
+    if row["leftChild"] < 0:
+        return -1, 0.0, 0, 0
+    split, children = row["split"], (row["leftChild"], row["rightChild"])
+    values = list(split["leftCategoriesOrThreshold"])
+    if split["numCategories"] < 0:
+        return split["featureIndex"], values[0], *children
+    if split["numCategories"] > 2 or values not in ([0.0], [1.0]):
         raise ValueError("splits on unordered categories have no order to follow")
-    feature = np.array([r["split"]["featureIndex"] if r["leftChild"] >= 0 else -1 for r in rows])
-    cut = np.array([r["split"]["leftCategoriesOrThreshold"][0] if r["leftChild"] >= 0 else 0.0 for r in rows])
+    return split["featureIndex"], 0.5, *(children if values == [0.0] else children[::-1])
+
+
+def _tree(rows: list, weight: float, classes: int) -> Tree:
+    feature, cut, left, right = (np.array(x) for x in zip(*map(_split, rows)))
     stats = np.array([r["impurityStats"] for r in rows], float)
     if classes:
         cover = stats.sum(axis=1)
         value = weight * stats / np.maximum(cover, 1e-300)[:, None]
     else:
         cover, value = stats[:, 0], weight * np.array([[r["prediction"]] for r in rows])
-    return Tree(feature, cut, np.array([r["leftChild"] for r in rows]), np.array([r["rightChild"] for r in rows]), value, cover)
+    return Tree(feature, cut, left, right, value, cover)
 
 
 def slot_names(df: DataFrame, column: str) -> list[str]:

@@ -239,6 +239,30 @@ def build_pipeline(model, label: str, prefix: str = "", **columns) -> Pipeline:
     return Pipeline(stages=[*preprocessing_stages(label, prefix, **columns), model])
 
 
+class OrderedPipeline(Estimator):
+    """Preprocessing followed by a model, which learns from target encodings that leave each row's own target out.
+
+    The rows the model is fitted on are encoded by what stands before them in digest order; the fitted pipeline encodes
+    other rows by all of them."""
+
+    def __init__(self, model: Estimator, key: str, label: str, prefix: str = "", strength: float = 1.0, **columns):
+        super().__init__()
+        self.model, self.key, self.label, self.strength = model, key, label, strength
+        self.stages = preprocessing_stages(label, prefix, **columns)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        fitted, rows = [], dataset
+        for step in self.stages:
+            own = step.fit(rows) if isinstance(step, Estimator) else step
+            fitted.append(own)
+            if isinstance(step, SmoothedTargetEncoder):
+                rows = encoding.ordered_target_statistics(rows, self.key, step.getInputCols(), self.label, self.strength, suffix="_ordered")
+                rows = rows.withColumnsRenamed({f"{c}_ordered": out for c, out in step._pairs()})
+            else:
+                rows = own.transform(rows)
+        return PipelineModel([*fitted, self.model.fit(rows)])
+
+
 def input_features(model: PipelineModel) -> list[str]:
     """Raw columns a fitted pipeline reads."""
     made: set[str] = set()

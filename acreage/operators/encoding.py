@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from acreage.constants import SEED
 from acreage.operators.joins import lookup_join
 from acreage.session import keep
 
@@ -70,6 +71,41 @@ def apply_target_encodings(
     return out
 
 
+def ordered_target_statistics(
+    df: DataFrame, key: str, columns: list[str], target: str, strength: float = 1.0, seed: int = SEED, suffix: str = "_OTS",
+) -> DataFrame:
+    """Add to each row, per column, the mean target of the rows of its category that stand before it in digest order,
+    drawn towards the prior (the mean of all targets) by `strength` rows of it; no row sees its own target.
+
+    A null category has the prior, a null target is not counted but its row has a value. `key` must be unique.
+    Sums per category and digest slot give what stands before a slot, so a category that holds most rows is spread
+    over 65,536 slots and only a slot's rows are sorted.
+    """
+    y = F.col(target).cast("double")
+    prior = F.lit(df.agg(F.avg(y)).first()[0]).cast("double")
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    names = df.columns
+    out = df
+    for c in columns:
+        hashed = out.withColumns({"_category": F.col(c).cast("string"), "_digest": digest, "_y": y}).withColumn(
+            "_slot", F.substring("_digest", 1, 4))
+        known = hashed.filter(F.col("_category").isNotNull())
+        upto = Window.partitionBy("_category").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+        before = (
+            known.groupBy("_category", "_slot").agg(F.count("_y").alias("_n"), F.coalesce(F.sum("_y"), F.lit(0.0)).alias("_sum"))
+            .select("_category", "_slot", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_n_before"),
+                    F.coalesce(F.sum("_sum").over(upto), F.lit(0.0)).alias("_sum_before"))
+        )
+        inside = Window.partitionBy("_category", "_slot").orderBy("_digest", key).rowsBetween(Window.unboundedPreceding, -1)
+        n = F.col("_n_before") + F.count("_y").over(inside)
+        total = F.col("_sum_before") + F.coalesce(F.sum("_y").over(inside), F.lit(0.0))
+        found = known.join(before, ["_category", "_slot"]).withColumn(c + suffix, (total + F.lit(strength) * prior) / (n + F.lit(strength)))
+        lost = hashed.filter(F.col("_category").isNull()).withColumn(c + suffix, prior)
+        kept = [*names, c + suffix]
+        out, names = found.select(*kept).unionByName(lost.select(*kept)), kept
+    return out
+
+
 def label_codes(df: DataFrame, label: str) -> DataFrame:
     """Alphabetical code per distinct label; meant for class labels, which are few."""
     labels = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("label")).distinct()

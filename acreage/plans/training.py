@@ -82,6 +82,7 @@ def run_training(
         "booster": T.zone_pipeline(T.zone_booster(effort.rounds, effort.booster_depth)),
         "weighted_booster": T.zone_pipeline(T.zone_booster(effort.rounds, effort.booster_depth, weight=T.WEIGHT)),
         "leaf_booster": T.zone_pipeline(T.zone_booster(effort.rounds, leaves=effort.booster_leaves, weight=T.WEIGHT)),
+        "ordered_booster": T.ordered_zone_pipeline(T.zone_booster(effort.rounds, effort.booster_depth, weight=T.WEIGHT), key),
     }
     if effort.network:
         zones["network"] = T.network_pipeline(train, iterations=effort.network_iterations)

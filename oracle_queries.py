@@ -518,6 +518,17 @@ ORACLES: dict[str, str] = {
         prior AS (SELECT avg(LOG_PRICE) AS prior FROM logged), {encoding_cte('ZIPCODE')}, {encoding_cte('BOROUGH')}
         SELECT listing_id, round(coalesce(z.e, prior), 6) AS ZIPCODE_TE, round(coalesce(b.e, prior), 6) AS BOROUGH_TE
         FROM logged LEFT JOIN enc_ZIPCODE z ON ZIPCODE = z.k LEFT JOIN enc_BOROUGH b ON BOROUGH = b.k, prior""",
+    "ordered_target_encode": f"""WITH {LISTINGS}, logged AS (SELECT *, ln(1 + PRICE) AS LOG_PRICE FROM (SELECT DISTINCT * FROM listings)),
+        prior AS (SELECT avg(LOG_PRICE) AS prior FROM logged), hashed AS (SELECT *, md5(concat('42:', listing_id)) AS d FROM logged)
+        SELECT listing_id, """ + ", ".join(f"""round(CASE WHEN {c} IS NULL THEN prior ELSE (coalesce(sum(LOG_PRICE) OVER {w}, 0) + prior)
+            / (count(LOG_PRICE) OVER {w} + 1) END, 6) AS {c}_OTS""" for c, w in ((c, f"""(PARTITION BY {c} ORDER BY d, listing_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""") for c in ("ZIPCODE", "BOROUGH"))) + " FROM hashed, prior",
+    "nearest_parts": """WITH p AS (SELECT * FROM part WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL AND NOT isnan(p_retailprice)),
+        pairs AS (SELECT a.p_partkey AS "key", b.p_partkey AS other, sqrt((a.p_size - b.p_size) * (a.p_size - b.p_size)::DOUBLE
+            + (a.p_retailprice - b.p_retailprice) * (a.p_retailprice - b.p_retailprice)) AS distance
+            FROM p a JOIN p b ON a.p_brand IS NOT DISTINCT FROM b.p_brand AND a.p_partkey <> b.p_partkey)
+        SELECT "key", other, round(distance, 6) AS distance FROM pairs
+        QUALIFY row_number() OVER (PARTITION BY "key" ORDER BY pairs.distance, other) <= 5""",
     "label_codes": f"""WITH {LISTINGS}, z AS (SELECT DISTINCT {zone('PRICE')} AS label FROM listings)
         SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS code, label FROM z WHERE label IS NOT NULL""",
     "importance": f"""WITH {ATTRIBUTIONS} SELECT feature, round(avg(abs(value)), 6) AS mean_abs FROM attributions

@@ -13,6 +13,7 @@ from acreage.functions.geo import hex_cell
 from acreage.ml import training as T
 from acreage.ml.attributions import tree_attributions, tree_outputs
 from acreage.ml.clusters import add_neighborhood_clusters
+from acreage.ml.neighbours import nearest_rows
 from acreage.ml.resample import oversample_and_edit
 from acreage.ml.search import Whole
 from acreage.operators import (
@@ -405,6 +406,20 @@ def target_encode(spark, folder):
     return rounded(out.select("listing_id", "ZIPCODE_TE", "BOROUGH_TE"))
 
 
+@query
+def ordered_target_encode(spark, folder):
+    df = C.distinct_rows(A.listings(spark, folder)).withColumn("LOG_PRICE", F.log1p("PRICE"))
+    out = encoding.ordered_target_statistics(df, "listing_id", ["ZIPCODE", "BOROUGH"], "LOG_PRICE")
+    return rounded(out.select("listing_id", "ZIPCODE_OTS", "BOROUGH_OTS"))
+
+
+@query
+def nearest_parts(spark, folder):
+    """The five parts of a brand nearest by size and price; a part without a price has none."""
+    parts = A.table(spark, folder, "part").withColumn("place", F.array(F.col("p_size").cast("double"), "p_retailprice"))
+    return rounded(nearest_rows(parts, "p_partkey", "place", 5, 2, "p_brand"))
+
+
 @query
 def label_codes(spark, folder):
     return encoding.label_codes(P.add_target_variables(A.listings(spark, folder)), "PRICE_ZONE")
@@ -537,6 +552,17 @@ def train_classifier(spark, folder):
     }).metrics)
 
 
+@query
+def train_boosters(spark, folder):
+    """The three published kinds of booster at their depth and leaves, with fewer rounds."""
+    train, test = _parts(spark, folder)
+    return rounded(T.train_classifiers(train, test, {
+        "by_level": T.zone_pipeline(T.zone_booster(20)),
+        "best_first": T.zone_pipeline(T.zone_booster(3, leaves=63, weight=T.WEIGHT)),
+        "ordered": T.ordered_zone_pipeline(T.zone_booster(10, weight=T.WEIGHT), "LISTING_ID"),
+    }).metrics)
+
+
 @query
 def train_fallback_onehot(spark, folder):
     train, test = _parts(spark, folder)
@@ -564,14 +590,14 @@ def train_network(spark, folder):
 @query
 def tune_classifier(spark, folder):
     train, _ = _parts(spark, folder)
-    _, _, trials = T.tune_classifier(train, "LISTING_ID", trials=2, folds=2, space=SHORT_SPACE)
+    _, _, trials = T.tune_classifier(train, "LISTING_ID", trials=4, folds=2, space=SHORT_SPACE, startup=2)
     return rounded(trials)
 
 
 @query
 def tune_regressor(spark, folder):
     train, _ = _parts(spark, folder)
-    _, _, trials = T.tune_regressor(train, "LISTING_ID", trials=2, folds=2, space=SHORT_SPACE)
+    _, _, trials = T.tune_regressor(train, "LISTING_ID", trials=4, folds=2, space=SHORT_SPACE, startup=2)
     return rounded(trials)
 
 

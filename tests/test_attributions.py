@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
@@ -73,6 +73,18 @@ def test_only_trees_are_explained(spark, rows):
     assert tree_attributions(rows, "id", tree, NAMES, max_samples=None)[0].count() == 300 * 6 * 2
 
 
+def test_one_hot_places_may_split_either_way(spark, rows):
+    named = rows.withColumn("kind", F.when(F.col("a") > 0.4, "x").when(F.col("b") > 0, "y").otherwise("z"))
+    fitted = Pipeline(stages=[
+        StringIndexer(inputCol="kind", outputCol="kind_ix"), OneHotEncoder(inputCol="kind_ix", outputCol="kind_oh", dropLast=False),
+        VectorAssembler(inputCols=["kind_oh", "c"], outputCol="features"), RandomForestRegressor(labelCol="y", numTrees=5, maxDepth=5, seed=1),
+    ]).fit(named)
+    got = {r.row_id: r.outputs[0] for r in tree_outputs(named, "id", fitted).collect()}
+    assert all(math.isclose(got[r.id], r.prediction, abs_tol=1e-9) for r in fitted.transform(named).select("id", "prediction").collect())
+    values, _ = tree_attributions(named, "id", fitted, ["kind", "c"], max_samples=5)
+    assert {r.feature for r in values.collect()} == {"kind", "c"}
+
+
 def test_raw_names():
     assert raw_names(["zone_BEDS_z", "zone_TYPE_oh_house", "zone_PROPERTY_TYPE_te", "other"], ["BEDS", "TYPE", "PROPERTY_TYPE"]) == [
         "BEDS", "TYPE", "PROPERTY_TYPE", "other"]

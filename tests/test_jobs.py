@@ -112,7 +112,7 @@ def test_training_job(spark, make_listings, tmp_path):
     effort = PT.Effort(trees=6, forest_depth=5, rounds=2, booster_depth=3, booster_leaves=4, clusters=None, network=False,
                        explained_rows=10, permutations=2)
     out = PT.run_training(make_listings(300), "listing_id", str(tmp_path), effort=effort)
-    assert out["classifiers"].count() == 4 and out["regressors"].count() == 4
+    assert out["classifiers"].count() == 5 and out["regressors"].count() == 4
     assert [r["label"] for r in out["thresholds"].orderBy("position").collect()] == PRICE_ZONES
     assert out["importance"].count() == 15 and out["baseline"].count() == 10
     assert files.read_metrics(spark, str(tmp_path / "metrics")).select("model").distinct().count() == 6

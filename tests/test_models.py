@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -13,6 +15,7 @@ from acreage.ml.encoders import FrequentCategories, PopulationScaler, SmoothedTa
 from acreage.ml.resample import edit, neighbours, oversample, oversample_and_edit
 from acreage.ml.search import Whole
 from acreage.operators import metrics as E
+from acreage.operators.encoding import ordered_target_statistics
 from acreage.plans import training as PT
 from acreage.session import job, release, stage
 
@@ -118,6 +121,31 @@ def test_encoder_stages(spark):
     assert {r["c"]: r["e"] for r in model.transform(df).collect()} == {"a": 1.0, "b": 1.0}
 
 
+def test_ordered_statistics_leave_the_own_target_out(spark):
+    rows = [(i, "hot" if i % 3 else f"c{i % 5}", float(i % 7) if i % 11 else None) for i in range(400)] + [(900, None, 3.0), (901, "once", 5.0)]
+    df = spark.createDataFrame(rows, "k long, c string, y double")
+    got = {r.k: r.c_OTS for r in ordered_target_statistics(df, "k", ["c"], "y", strength=2.0).collect()}
+    counted = [y for *_, y in rows if y is not None]
+    prior = sum(counted) / len(counted)
+    order = sorted(rows, key=lambda r: (hashlib.md5(f"42:{r[0]}".encode()).hexdigest(), r[0]))
+    seen = {}
+    for k, c, y in order:
+        n, total = seen.get(c, (0, 0.0)) if c else (0, 0.0)
+        assert got[k] == pytest.approx((total + 2 * prior) / (n + 2))
+        if y is not None:
+            seen[c] = (n + 1, total + y)
+    assert got[900] == pytest.approx(prior) and got[901] == pytest.approx(prior) and len(got) == len(rows)
+    assert ordered_target_statistics(df.limit(0), "k", ["c"], "y").count() == 0
+
+
+def test_ordered_pipeline_learns_from_rows_before(parts):
+    train, test = parts
+    model = T.ordered_zone_pipeline(T.zone_booster(3, 3), "LISTING_ID").fit(train)
+    assert sorted(input_features(model)) == sorted(ALL_FEATURES)
+    scored = model.transform(test)
+    assert E.evaluate_classifier(scored, T.LABEL, "ZONE_PRED").first()["accuracy"] > majority(test) and scored.count() == test.count()
+
+
 def test_a_fitted_encoder_outlives_the_job(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.0), ("b", 0.0), ("a", 1.0)], "c string, y double")
     with job(spark):
