@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from acreage.functions.scalar import coordinate_key
 from acreage.operators.monitoring import DRIFT_THRESHOLD, windowed_drift
 from acreage.plans.scoring import score_requests
-from acreage.operators.scoring import split_requests
+from acreage.operators.scoring import validate_requests
 
 
 def start_append(df: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
@@ -19,17 +21,34 @@ def start_append(df: DataFrame, path: str, checkpoint: str, available_now: bool
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def scoring_sink(
+    classifier: PipelineModel, regressor: PipelineModel, path: str, thresholds: list[float] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Writer of one batch: accepted requests scored and rejected ones with their reasons, both from one read.
+
+    Each batch has a folder of its own per kind, named by its id and overwritten, so a batch that runs again after a
+    failure leaves what it would have left. The checked batch is kept on memory and disk while both are written."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        checked = validate_requests(batch).persist()
+        try:
+            good = F.size("rejected") == 0
+            scored = score_requests(checked.filter(good).drop("rejected"), classifier, regressor, ["request_id", "ts"], thresholds)
+            for kind, rows in (("scored", scored), ("rejected", checked.filter(~good))):
+                rows.write.mode("overwrite").parquet(f"{path}/{kind}/batch={batch_id}")
+        finally:
+            checked.unpersist()
+
+    return write
+
+
 def score_stream(
     requests: DataFrame, classifier: PipelineModel, regressor: PipelineModel, path: str, checkpoint: str,
     thresholds: list[float] | None = None, available_now: bool = False,
-) -> list[StreamingQuery]:
-    """Score accepted requests and set rejected ones aside with their reasons; no state is kept."""
-    accepted, rejected = split_requests(requests)
-    records = score_requests(accepted, classifier, regressor, ["request_id", "ts"], thresholds)
-    return [
-        start_append(records, f"{path}/scored", f"{checkpoint}/scored", available_now),
-        start_append(rejected, f"{path}/rejected", f"{checkpoint}/rejected", available_now),
-    ]
+) -> StreamingQuery:
+    """Score accepted requests under `path`/scored and set rejected ones aside under `path`/rejected; no state is kept."""
+    sink = scoring_sink(classifier, regressor, path, thresholds)
+    writer = requests.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def drift_stream(

@@ -781,8 +781,7 @@ def score_stream(spark, folder):
     train, _ = _parts(spark, folder)
     path = f"{shared_dir(spark)}/score-{uuid.uuid4().hex}"
     requests = A.requests_from_events(_event_stream(spark, folder))
-    for running in S2.score_stream(requests, *_small_models(train), path, f"{path}/checkpoint", available_now=True):
-        running.awaitTermination()
+    S2.score_stream(requests, *_small_models(train), path, f"{path}/checkpoint", available_now=True).awaitTermination()
     return spark.read.parquet(f"{path}/scored").select(
         "request_id", "zone.price_zone", "zone.confidence", "price.predicted_price",
         "price.price_range.low", "price.price_range.high")

@@ -135,13 +135,19 @@ def test_stream_scores_equal_batch_scores(spark, make_listings, tmp_path):
     models = (T.zone_pipeline(T.zone_booster(2, 3)).fit(rows), T.price_pipeline(T.price_line()).fit(rows))
     running = jobs.score_stream(
         A.requests_from_events(event_stream(spark)), *models, str(tmp_path), str(tmp_path / "c"), available_now=True)
-    for query in running:
-        query.awaitTermination()
+    running.awaitTermination()
     batch = A.requests(spark, FOLDER).withColumn("ts", F.col("ts").cast("timestamp"))
     scored, rejected = scoring.score_batch(batch, *models, ["request_id", "ts"])
     flat = ["request_id", "ts", "zone.price_zone", "zone.confidence", "price.predicted_price"]
     assert G.same_rows(spark.read.parquet(str(tmp_path / "scored")).select(*flat), scored.select(*flat))
-    assert G.same_rows(spark.read.parquet(str(tmp_path / "rejected")), rejected)
+    read = {kind: spark.read.parquet(str(tmp_path / kind)).drop("batch") for kind in ("scored", "rejected")}
+    assert G.same_rows(read["rejected"], rejected)
+    # the source was read once for both kinds, and a batch that runs again changes nothing
+    assert sum(p["numInputRows"] for p in running.recentProgress) == batch.count()
+    before = {kind: rows.count() for kind, rows in read.items()}
+    folder = next(p for p in (tmp_path / "scored").iterdir() if p.name.startswith("batch="))
+    jobs.scoring_sink(*models, str(tmp_path))(batch, int(folder.name.removeprefix("batch=")))
+    assert {kind: spark.read.parquet(str(tmp_path / kind)).count() for kind in before} == before
 
 
 def test_stream_dedup_equals_batch_dedup(spark, tmp_path):
