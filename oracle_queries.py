@@ -451,6 +451,8 @@ ORACLES: dict[str, str] = {
         coalesce(lang <> 'de' AND text = trim(text), false) AS locked FROM documents""",
     "read_exports": f"""WITH {SALES} SELECT CAST(BOROUGH AS VARCHAR) AS BOROUGH, CAST(YEAR_BUILT AS VARCHAR) AS year_built,
         trim(SALE_PRICE) AS sale_price, CASE WHEN sale_id % 3 > 0 THEN CAST(ZIP_CODE AS VARCHAR) END AS zip_code FROM sales""",
+    "read_workbooks": f"""WITH {SALES} SELECT CAST(BOROUGH AS VARCHAR) AS BOROUGH, CAST(YEAR_BUILT AS VARCHAR) AS year_built,
+        trim(SALE_PRICE) AS sale_price, CASE WHEN sale_id % 3 > 0 THEN CAST(ZIP_CODE AS VARCHAR) END AS zip_code FROM sales""",
     "header_rows": f"""WITH {SALES} SELECT DISTINCT CAST(sale_id % 3 AS INTEGER) AS kind,
         CASE sale_id % 3 WHEN 0 THEN 4 WHEN 1 THEN 3 ELSE 5 END AS header_row FROM sales""",
     "read_exports_with_line_breaks": f"""WITH {SALES} SELECT CAST(BOROUGH AS VARCHAR) AS BOROUGH, trim(SALE_PRICE) AS sale_price,

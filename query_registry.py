@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from acreage.constants import ALL_FEATURES, HEADER_ROW_CANDIDATES, PRICE_ZONES
@@ -23,7 +24,7 @@ from acreage.operators import (
 from acreage.operators.spatial import nearest_station_distance
 from acreage.plans import firewall as PF, listings as L, scoring as PS, training as PT
 from acreage.session import shared_dir, stage
-from acreage.sources import adapters as A, files
+from acreage.sources import adapters as A, files, workbooks
 from acreage.sources.files import load_baseline, save_baseline, union_by_name
 from acreage.streaming import jobs as S2
 
@@ -696,6 +697,29 @@ def read_exports(spark, folder):
                        F.col("`ZIP CODE`").alias("zip_code"))
 
 
+@query
+def read_workbooks(spark, folder):
+    """Workbooks of at most about 20,000 sales each, of three kinds, made by tasks and read again."""
+    sales = A.rolling_sales(spark, folder)
+    books = max(1, sales.count() // 60_000)
+    spread = sales.select(F.pmod("sale_id", F.lit(3)).cast("int").alias("kind"), F.pmod(F.xxhash64("sale_id"), F.lit(books)).alias("book"),
+                          "BOROUGH", "YEAR_BUILT", F.trim("SALE_PRICE").alias("SALE_PRICE"), "ZIP_CODE")
+
+    def book(rows):
+        kind = rows.column("kind")[0].as_py()
+        preamble = [["Rolling sales"], [3, 0, "0"], [], ["as of today"], ["all boroughs"]][:HEADER_ROW_CANDIDATES[kind]]
+        names = ["BOROUGH", "YEAR_BUILT", "SALE_PRICE"] + (["ZIP_CODE"] if kind else [])
+        header = ["BOROUGH", "YEAR BUILT", " SALE PRICE "] + (["ZIP CODE"] if kind else [])
+        cells = [list(r) for r in zip(*[rows.column(n).to_pylist() for n in names])]
+        content = workbooks.workbook_bytes({"sales": [*preamble, header, *cells]})
+        return pa.table([pa.array([f"{kind}-{rows.column('book')[0]}"]), pa.array([content])], ["file", "content"])
+
+    made = spread.groupBy("kind", "book").applyInArrow(book, "file string, content binary")
+    read = workbooks.concatenated(workbooks.workbook_rows(made))
+    return read.select("BOROUGH", F.col("`YEAR BUILT`").alias("year_built"), F.col("`SALE PRICE`").alias("sale_price"),
+                       F.col("`ZIP CODE`").alias("zip_code"))
+
+
 @query
 def header_rows(spark, folder):
     found = files.locate_header_rows(spark, _exports(spark, folder))
