@@ -41,6 +41,7 @@ SLOTS_A_TASK = 32
 CURVATURE = 2.0
 SOFTMAX, SQUARED = "softmax", "squared"
 _BLOCK = "codes binary, target binary, weight binary, draw binary, margin binary"
+HISTOGRAM = "slot int, g binary, h binary"
 _SPLIT = "slot int, feature int, bin int, gain double, g double, h double, left_g double, left_h double"
 
 
@@ -251,6 +252,25 @@ def sums_by_slot(batches) -> dict[int, list[np.ndarray]]:
     return held
 
 
+def summed(rows: DataFrame, tasks: int, slots: int, schema: str, finish) -> DataFrame:
+    """Rows (slot, g, h) of whole numbers added up by slot, over many tasks in two steps, and finished."""
+    def add(batches):
+        held = sums_by_slot(batches)
+        if held:
+            yield histogram_rows(list(held), list(held.values()))
+
+    if tasks > FAN:
+        group = F.pmod(F.spark_partition_id(), F.lit(-(-tasks // FAN)))
+        rows = rows.withColumn("group", group).repartition("slot", "group").drop("group").mapInArrow(add, HISTOGRAM)
+
+    def run(batches):
+        held = sums_by_slot(batches)
+        if held:
+            yield finish(held)
+
+    return rows.repartition(-(-slots // SLOTS_A_TASK), "slot").mapInArrow(run, schema)
+
+
 def best_split(g: np.ndarray, h: np.ndarray, starts: np.ndarray, usable: np.ndarray, s: Settings) -> tuple:
     """(feature, bin, gain, g, h, left g, left h) of one node; feature -1 if nothing is gained."""
     def quality(a, b):
@@ -309,24 +329,6 @@ class Fit:
         self.blocks.unpersist()
         discard(self.blocks.sparkSession, self.path)
 
-    def summed(self, rows: DataFrame, slots: int, schema: str, finish) -> DataFrame:
-        """Histograms of all tasks added up by slot, over many tasks in two steps, and finished."""
-        def add(batches):
-            held = sums_by_slot(batches)
-            if held:
-                yield histogram_rows(list(held), list(held.values()))
-
-        if self.tasks > FAN:
-            group = F.pmod(F.spark_partition_id(), F.lit(-(-self.tasks // FAN)))
-            rows = rows.withColumn("group", group).repartition("slot", "group").drop("group").mapInArrow(add, "slot int, g binary, h binary")
-
-        def run(batches):
-            held = sums_by_slot(batches)
-            if held:
-                yield finish(held)
-
-        return rows.repartition(-(-slots // SLOTS_A_TASK), "slot").mapInArrow(run, schema)
-
     def gradients_of(self, round_: int, bar: float | None):
         """Scaled whole-number derivatives of a block and which rows count: sampled ones, those over the bar always."""
         s, scale, now, name = self.settings, self.scale, self.margins(), self.name
@@ -417,7 +419,7 @@ class Fit:
                 zip(*rows), (pa.int32(), pa.int32(), pa.int32(), *[pa.float64()] * 5))], [c.split()[0] for c in _SPLIT.split(", ")])
 
         # one row per open node of the round's trees
-        for r in self.summed(self.blocks.mapInArrow(run, "slot int, g binary, h binary"), len(slots), _SPLIT, finish).collect():
+        for r in summed(self.blocks.mapInArrow(run, HISTOGRAM), self.tasks, len(slots), _SPLIT, finish).collect():
             k, at = slots[r["slot"]]
             node = growing[k].nodes[at]
             node.known, node.g, node.h, node.sides = True, r["g"], r["h"], (r["left_g"], r["left_h"])

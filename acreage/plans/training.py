@@ -85,7 +85,7 @@ def run_training(
         "ordered_booster": T.ordered_zone_pipeline(T.zone_booster(effort.rounds, effort.booster_depth, weight=T.WEIGHT), key),
     }
     if effort.network:
-        zones["network"] = T.network_pipeline(train, iterations=effort.network_iterations)
+        zones["network"] = T.joint_pipeline(steps=effort.network_iterations)
     prices = {
         "random_forest": T.price_pipeline(T.price_forest(effort.trees, effort.forest_depth)),
         "booster": T.price_pipeline(T.price_booster(effort.rounds, effort.booster_depth)),

@@ -588,6 +588,21 @@ def train_network(spark, folder):
     return rounded(T.train_classifiers(train, test, {"network": pipeline}).metrics)
 
 
+@query
+def train_joint_network(spark, folder):
+    """Both heads of the network at its published widths, with the combined loss on the test rows."""
+    train, test = _parts(spark, folder)
+    scored = T.joint_pipeline().fit(train).transform(test).withColumn("p", T.probabilities())
+    scored = stage(scored.select(F.col(T.LABEL).cast("int").alias(T.LABEL), T.TARGET, "ZONE_PRED", "PRICE_PRED", "p"), "scored")
+    parts = [E.multitask_loss(scored, T.LABEL, "p", T.TARGET, "PRICE_PRED"),
+             E.evaluate_classifier(scored, T.LABEL, "ZONE_PRED").select("n", "accuracy", "macro_f1"),
+             E.evaluate_regressor(scored, T.TARGET, "PRICE_PRED").select("r2")]
+    first, *others = [p.withColumn("run", F.lit("joint")) for p in parts]  # one row each
+    for other in others:
+        first = first.join(other, "run")
+    return rounded(first)
+
+
 @query
 def tune_classifier(spark, folder):
     train, _ = _parts(spark, folder)
