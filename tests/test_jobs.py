@@ -115,7 +115,7 @@ def test_training_job(spark, make_listings, tmp_path):
     assert out["classifiers"].count() == 5 and out["regressors"].count() == 4
     assert [r["label"] for r in out["thresholds"].orderBy("position").collect()] == PRICE_ZONES
     assert out["importance"].count() == 15 and out["baseline"].count() == 10
-    assert files.read_metrics(spark, str(tmp_path / "metrics")).select("model").distinct().count() == 6
+    assert files.read_metrics(spark, str(tmp_path / "metrics")).select("model").distinct().count() == 9
     requests = A.requests(spark, FOLDER)
     scored, rejected = scoring.score_batch(
         requests, T.load_model(str(tmp_path / "price_zone_best")), T.load_model(str(tmp_path / "price_regressor_best")),
