@@ -4,7 +4,7 @@ Counts come from all training documents. The most frequent words (the head) are
 and frequency; the output is a softmax over classes times a softmax over the words of the class.
 Less frequent listed words and the unlisted tail are classes too, in which a word has its smoothed
 share of the counts. The network is trained in numpy by truncated backpropagation on every training
-document: each task learns from its own documents, weights are averaged after each round. For scoring, the
+document: a hash deals documents to learners, whose weights are averaged after each round. For scoring, the
 state is carried across windows from a document's first word to its end.
 """
 
@@ -31,6 +31,8 @@ LARGEST_CHUNK = 64
 POOL, WINDOW_TOKENS = 24 << 20, 1 << 13
 LARGEST_LOGIT = np.float32(80)
 BLOCK = 4096
+#: Tokens per learner, and steps of 1 of a weight in averages: whole numbers, whose sum has no order.
+LEARNER_TOKENS, FINE = 1 << 20, 1 << 20
 
 
 class Vocabulary(NamedTuple):
@@ -217,39 +219,44 @@ class Model:
             at += size
 
     def window(self, ids: np.ndarray, fresh: np.ndarray, h: np.ndarray, tape: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """States before each token (steps, lanes, hidden) and after the last; `fresh` is 0 where a text starts."""
-        n, rec, emb = self.hidden, self.p["rec"], self.p["emb"]
-        gates, new_rec = np.ascontiguousarray(rec[:, :2 * n]), np.ascontiguousarray(rec[:, 2 * n:])
-        emb_gates, emb_new = np.ascontiguousarray(emb[:, :2 * n]), np.ascontiguousarray(emb[:, 2 * n:])
+        """States before each token (steps, lanes, hidden) and after the last; `fresh` is 0 where a text starts.
+        `tape` receives gates, new values and the recurrent part of the latter, one array each."""
+        n, rec = self.hidden, self.p["rec"].copy()
+        rec[:, :2 * n] *= 0.5  # a logistic gate is half a tanh of half its input
+        given = self.p["emb"].take(ids.ravel(), axis=0).reshape(*ids.shape, 3 * n)
+        gates, news = np.multiply(given[..., :2 * n], np.float32(0.5)), np.ascontiguousarray(given[..., 2 * n:])
         before = np.empty((*ids.shape, n), np.float32)
+        raws = np.empty_like(before) if tape is not None else None
         for t in range(len(ids)):
-            h = h * fresh[t][:, None]
-            before[t] = h
-            zr = h @ gates
-            zr += emb_gates.take(ids[t], axis=0)
-            zr *= 0.5
+            prev, zr, new = before[t], gates[t], news[t]
+            np.multiply(h, fresh[t][:, None], out=prev)
+            both = prev @ rec
+            zr += both[:, :2 * n]
             np.tanh(zr, out=zr)
-            zr += 1
             zr *= 0.5
-            raw = h @ new_rec
-            new = raw * zr[:, n:]
-            new += emb_new.take(ids[t], axis=0)
-            np.tanh(new, out=new)
+            zr += 0.5
+            raw = both[:, 2 * n:]
             if tape is not None:
-                tape.append((zr, new, raw))
-            h = h - new
+                raws[t] = raw
+            raw *= zr[:, n:]
+            new += raw
+            np.tanh(new, out=new)
+            h = prev - new
             h *= zr[:, :n]
             h += new
+        if tape is not None:
+            tape.extend((gates, news, raws))
         return before, h
 
     def output(self, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Log probability of each target's class and, for head words, of the word in it; gradient of minus the
         sum with respect to the states when `grads` is given, which receives those of the weights."""
-        rows = np.arange(len(targets))
-        cls = self.class_of[targets]
+        order = np.argsort(self.class_of[targets].astype(np.int16), kind="stable")
+        states, targets = states[order], targets[order]
+        rows, cls = np.arange(len(targets)), self.class_of[targets]
         prob = states @ self.p["cls"]
         prob += self.p["clsb"]
-        np.minimum(prob, LARGEST_LOGIT, out=prob)  # bounds the exponent without a pass for each row's maximum
+        np.clip(prob, -LARGEST_LOGIT, LARGEST_LOGIT, out=prob)  # bounds the exponent without a pass for each row's maximum
         own = prob[rows, cls]
         np.exp(prob, out=prob)
         norm = prob @ np.ones(prob.shape[1], prob.dtype)
@@ -258,30 +265,34 @@ class Model:
         if grads is not None:
             prob /= norm[:, None]
             prob[rows, cls] -= 1
-            grads["cls"], grads["clsb"] = states.T @ prob, prob.sum(axis=0)
+            grads["cls"], grads["clsb"] = states.T @ prob, np.ones(len(prob), prob.dtype) @ prob
             back = prob @ self.p["cls"].T
             grads["word"], grads["wordb"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["wordb"])
-        order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(len(self.classes) + 1))
-        for k, (a, b) in enumerate(self.classes):
-            if b - a == 1 or bounds[k] == bounds[k + 1]:
+        bounds = np.searchsorted(cls, np.arange(len(self.classes) + 1))
+        for (a, b), i, j in zip(self.classes, bounds[:-1], bounds[1:]):
+            if b - a == 1 or i == j:
                 continue
-            at = order[bounds[k]:bounds[k + 1]]
-            part, weight = states[at], self.p["word"][a:b]
+            part, weight = states[i:j], self.p["word"][a:b]
             prob = part @ weight.T
             prob += self.p["wordb"][a:b]
-            np.minimum(prob, LARGEST_LOGIT, out=prob)
-            place = targets[at] - a
-            mine = prob[np.arange(len(at)), place]
+            np.clip(prob, -LARGEST_LOGIT, LARGEST_LOGIT, out=prob)
+            here, place = rows[:j - i], targets[i:j] - a
+            mine = prob[here, place]
             np.exp(prob, out=prob)
             norm = prob @ np.ones(b - a, prob.dtype)
-            out[at] += mine - np.log(norm)
+            out[i:j] += mine - np.log(norm)
             if grads is not None:
                 prob /= norm[:, None]
-                prob[np.arange(len(at)), place] -= 1
+                prob[here, place] -= 1
                 grads["word"][a:b], grads["wordb"][a:b] = prob.T @ part, prob.sum(axis=0)
-                back[at] += prob @ weight
-        return out, back
+                back[i:j] += prob @ weight
+        logs = np.empty_like(out)
+        logs[order] = out
+        if back is not None:
+            unsorted = np.empty_like(back)
+            unsorted[order] = back
+            back = unsorted
+        return logs, back
 
     def gradients(self, ids: np.ndarray, fresh: np.ndarray, live: np.ndarray, h: np.ndarray) -> tuple[float, dict, np.ndarray]:
         """Mean negative log probability of the live tokens of a window, its truncated gradient, and the next state."""
@@ -292,37 +303,31 @@ class Model:
         back = np.zeros((ids.size, n), np.float32)
         back[mask] = some
         back = back.reshape(before.shape)
-        rec = self.p["rec"]
-        drec, dh = np.zeros_like(rec), np.zeros_like(h)
-        gates_back, new_back = np.ascontiguousarray(rec[:, :2 * n].T), np.ascontiguousarray(rec[:, 2 * n:].T)
-        din = np.empty((*ids.shape, 3 * n), np.float32)
+        gates, news, raws = tape
+        z, r = np.ascontiguousarray(gates[..., :n]), np.ascontiguousarray(gates[..., n:])
+        to_new = (1 - z) * (1 - news * news)
+        to_update, to_reset = z * (1 - z) * (before - news), r * (1 - r) * raws
+        # per step the slopes at update gate, reset gate and recurrent part; the new value's input apart
+        slopes, dnews = np.empty((*ids.shape, 3 * n), np.float32), np.empty_like(before)
+        rec_back, dh = np.ascontiguousarray(self.p["rec"].T), np.zeros_like(h)
         for t in range(len(ids) - 1, -1, -1):
-            (zr, new, raw), prev = tape[t], before[t]
-            z, r, here = zr[:, :n], zr[:, n:], din[t]
-            gate = zr * (1 - zr)  # slope of both gates
-            dnew = 1 - new * new
-            dnew *= 1 - z
-            dnew *= dh
-            here[:, 2 * n:] = dnew
-            gate[:, :n] *= dh
-            gate[:, :n] *= prev - new
-            gate[:, n:] *= dnew
-            gate[:, n:] *= raw
-            here[:, :2 * n] = gate
-            dnew *= r
-            drec[:, :2 * n] += prev.T @ gate
-            drec[:, 2 * n:] += prev.T @ dnew
-            dh *= z
-            dh += gate @ gates_back
-            dh += dnew @ new_back
+            slope, dnew = slopes[t], dnews[t]
+            np.multiply(to_new[t], dh, out=dnew)
+            np.multiply(to_update[t], dh, out=slope[:, :n])
+            np.multiply(to_reset[t], dnew, out=slope[:, n:2 * n])
+            np.multiply(dnew, r[t], out=slope[:, 2 * n:])
+            dh *= z[t]
+            dh += slope @ rec_back
             dh += back[t]
             dh *= fresh[t][:, None]
-        order = np.argsort(ids.ravel(), kind="stable")
+        slopes = slopes.reshape(-1, 3 * n)
+        grads["rec"] = before.reshape(-1, n).T @ slopes
+        slopes[:, 2 * n:] = dnews.reshape(-1, n)
+        order = np.argsort(ids.ravel().astype(np.uint16) if len(self.class_of) < 1 << 16 else ids.ravel(), kind="stable")
         sorted_ids = ids.ravel()[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
         grads["emb"] = np.zeros_like(self.p["emb"])
-        grads["emb"][sorted_ids[first]] = np.add.reduceat(din.reshape(-1, 3 * n)[order], first, axis=0)
-        grads["rec"] = drec
+        grads["emb"][sorted_ids[first]] = np.add.reduceat(slopes[order], first, axis=0)
         count = max(1, int(mask.sum()))
         return -float(logs.sum()) / count, {k: g / count for k, g in grads.items()}, after
 
@@ -409,9 +414,15 @@ def network_ids(vocab: Vocabulary, at: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 3, steps: int = 32, rate: float = 0.01) -> Model:
-    """Every training document once, in `rounds` parts chosen by hash; weights are averaged after each part."""
+    """Every training document (key, body) once, in `rounds` parts; weights are averaged after each part.
+
+    A hash of key and text deals documents to parts and to learners, and orders them there; the number of learners
+    follows that of the tokens, and averages are sums of whole numbers, so the model does not depend on how the
+    table is partitioned. Rows that repeat key and text meet at one learner, which reads its texts in bounded pools."""
     model = Model(vocab)
-    part_of = F.pmod(F.xxhash64("body"), F.lit(rounds))
+    learners = max(1, -(-vocab.total // LEARNER_TOKENS))
+    dealt = docs.select("body", F.xxhash64("key", "body").alias("deal"))
+    part_of = F.pmod(F.shiftright("deal", 32), F.lit(rounds))
 
     def learn(batches):
         local, seen = Model(vocab), 0
@@ -427,27 +438,36 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 3, steps: int = 32,
                 adam.apply(grads)
             seen += len(tokens)
         if seen:
-            done = local.flat()
+            weight = -(-seen // 1024)
+            done = np.rint(local.flat().astype(np.float64) * FINE).astype(np.int64) * weight
             cuts = [done[i:i + BLOCK].tobytes() for i in range(0, len(done), BLOCK)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(cuts)), pa.int32()), pa.array(cuts, pa.binary()),
-                                              pa.array([seen] * len(cuts), pa.int64())], ["block", "data", "n"])
+                                              pa.array([weight] * len(cuts), pa.int64())], ["block", "data", "n"])
 
-    def average(frames):
+    def add_up(frames):
+        """Sums per block of what the task holds."""
         total: dict[int, list] = {}
         for frame in frames:
             for block, data, n in zip(frame["block"], frame["data"], frame["n"]):
-                held = total.setdefault(block, [0.0, 0])
-                held[0] = held[0] + np.frombuffer(data, np.float32).astype(np.float64) * n
+                held = total.setdefault(block, [0, 0])
+                held[0] = held[0] + np.frombuffer(data, np.int64)
                 held[1] += n
         if total:
-            yield pd.DataFrame([(b, (s / n).astype(np.float32).tobytes()) for b, (s, n) in total.items()], columns=["block", "data"])
+            yield pd.DataFrame([(b, s.tobytes(), n) for b, (s, n) in total.items()], columns=["block", "data", "n"])
 
+    row = "block int, data binary, n long"
     for r in range(rounds):
         flat = model.flat()
-        learned = docs.where(part_of == r).select("body").mapInArrow(learn, "block int, data binary, n long")
-        blocks = learned.repartition(partitions(docs), "block").mapInPandas(average, "block int, data binary").collect()
+        part = dealt.where(part_of == r).repartition(learners, "deal").sortWithinPartitions("deal")
+        learned = part.select("body").mapInArrow(learn, row)
+        if learners > 64:  # in two steps, so that no task of the last one reads every learner
+            some = F.pmod(F.spark_partition_id(), F.lit(int(learners ** 0.5)))
+            learned = learned.withColumn("some", some).repartition(partitions(docs), "block", "some").select("block", "data", "n")
+            learned = learned.mapInPandas(add_up, row)
+        blocks = learned.repartition(partitions(docs), "block").mapInPandas(add_up, row).collect()
         if blocks:
-            model.load(np.frombuffer(b"".join(bytes(b.data) for b in sorted(blocks, key=lambda b: b.block)), np.float32))
+            means = [np.frombuffer(b.data, np.int64) / (b.n * FINE) for b in sorted(blocks, key=lambda b: b.block)]
+            model.load(np.concatenate(means).astype(np.float32))
     return model
 
 
@@ -486,7 +506,7 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     table gives an empty result; other columns are not read.
     """
     docs = docs.select(F.col(key).alias("doc_id"), is_held_out(F.col(key)).alias("held_out"), text_of(text).alias("body"))
-    learn = docs.where(~F.col("held_out"))
+    learn = docs.where(~F.col("held_out")).select(F.col("doc_id").alias("key"), "body")
     counts = stage(count_words(learn), "words")
     vocab = vocabulary(counts)
     model = train(learn, vocab)

@@ -147,6 +147,27 @@ def test_scores_of_whole_texts(spark, monkeypatch):
     assert lm.score_texts(df.limit(0)).count() == 0
 
 
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LEARNER_TOKENS", 4000)  # some learners on a small table
+    rng = random.Random(16)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(rng.randrange(0, 200)))) for i in range(300)]
+    rows += [(7, rows[7][1]), (-1, None), (None, "a b")]
+    found = []
+    for parts in (1, 4, 64):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found.append(sorted((r.doc_id is not None, r.doc_id or 0, r.score) for r in lm.score_texts(df).collect()))
+    for other in found[1:]:
+        assert all(a[:2] == b[:2] and math.isclose(a[2], b[2], rel_tol=1e-6) for a, b in zip(found[0], other, strict=True))
+
+
+def test_unlikely_rows_keep_a_finite_score(spark):
+    counts = spark.createDataFrame(some_counts(), "word long, n long, topic long")
+    model = lm.Model(lm.vocabulary(counts, head=5, most=10), hidden=3)
+    model.p["clsb"] -= 500  # all classes underflow alike
+    logs, _ = model.output(np.zeros((3, 3), np.float32), np.zeros(3, np.int32))
+    assert np.isfinite(logs).all()
+
+
 def test_state_is_carried_over_windows(spark):
     counts = spark.createDataFrame(some_counts(), "word long, n long, topic long")
     vocab = lm.vocabulary(counts, head=5, most=10)
