@@ -32,7 +32,7 @@ POOL, WINDOW_TOKENS = 24 << 20, 1 << 13
 LARGEST_LOGIT = np.float32(80)
 BLOCK = 4096
 #: Tokens per learner, and steps of 1 of a weight in averages: whole numbers, whose sum has no order.
-LEARNER_TOKENS, FINE = 1 << 20, 1 << 20
+LEARNER_TOKENS, FINE = 1 << 22, 1 << 20
 
 
 class Vocabulary(NamedTuple):
@@ -438,19 +438,19 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 3, steps: int = 32,
                 adam.apply(grads)
             seen += len(tokens)
         if seen:
-            weight = -(-seen // 1024)
-            done = np.rint(local.flat().astype(np.float64) * FINE).astype(np.int64) * weight
+            weight, done = -(-seen // 1024), local.flat()
             cuts = [done[i:i + BLOCK].tobytes() for i in range(0, len(done), BLOCK)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(cuts)), pa.int32()), pa.array(cuts, pa.binary()),
                                               pa.array([weight] * len(cuts), pa.int64())], ["block", "data", "n"])
 
-    def add_up(frames):
-        """Sums per block of what the task holds."""
+    def add_up(frames, learned: bool):
+        """Sums per block of what the task holds: weights as learned, times their tokens, or sums."""
         total: dict[int, list] = {}
         for frame in frames:
             for block, data, n in zip(frame["block"], frame["data"], frame["n"]):
                 held = total.setdefault(block, [0, 0])
-                held[0] = held[0] + np.frombuffer(data, np.int64)
+                part = np.rint(np.frombuffer(data, np.float32) * np.float64(FINE)).astype(np.int64) * n if learned else np.frombuffer(data, np.int64)
+                held[0] = held[0] + part
                 held[1] += n
         if total:
             yield pd.DataFrame([(b, s.tobytes(), n) for b, (s, n) in total.items()], columns=["block", "data", "n"])
@@ -463,8 +463,9 @@ def train(docs: DataFrame, vocab: Vocabulary, rounds: int = 3, steps: int = 32,
         if learners > 64:  # in two steps, so that no task of the last one reads every learner
             some = F.pmod(F.spark_partition_id(), F.lit(int(learners ** 0.5)))
             learned = learned.withColumn("some", some).repartition(partitions(docs), "block", "some").select("block", "data", "n")
-            learned = learned.mapInPandas(add_up, row)
-        blocks = learned.repartition(partitions(docs), "block").mapInPandas(add_up, row).collect()
+            learned = learned.mapInPandas(lambda f: add_up(f, True), row)
+        sums = learned.repartition(partitions(docs), "block")
+        blocks = sums.mapInPandas(lambda f: add_up(f, learners <= 64), row).collect()
         if blocks:
             means = [np.frombuffer(b.data, np.int64) / (b.n * FINE) for b in sorted(blocks, key=lambda b: b.block)]
             model.load(np.concatenate(means).astype(np.float32))
