@@ -545,6 +545,17 @@ ORACLES: dict[str, str] = {
         AND PROPERTYSQFT IS NOT NULL) """ + " UNION ALL ".join(
         f"SELECT listing_id AS row_id, '{c}' AS feature, round({k} * ({c} - (SELECT avg({c}) FROM d)), 6) AS value FROM d"
         for c, k in (("BEDS", 0.125), ("BATH", 0.25), ("PROPERTYSQFT", 0.001))),
+    "kernel_attributions": f"""WITH {LISTINGS}, d AS (SELECT listing_id, min(BEDS) AS BEDS, min(BATH) AS BATH,
+        min(PROPERTYSQFT) AS PROPERTYSQFT FROM listings
+        WHERE BEDS IS NOT NULL AND BATH IS NOT NULL AND PROPERTYSQFT IS NOT NULL GROUP BY listing_id),
+        x AS (SELECT * FROM d ORDER BY md5('42:' || listing_id), listing_id LIMIT 500),
+        g AS (SELECT * FROM d ORDER BY md5('43:' || listing_id), listing_id LIMIT 100),
+        m AS (SELECT avg(BEDS) AS beds, avg(BATH) AS bath, avg(PROPERTYSQFT) AS sqft, avg(BATH * PROPERTYSQFT) AS both FROM g)
+        SELECT listing_id AS row_id, 'BEDS' AS feature, round(0.125 * (x.BEDS - m.beds), 6) AS value FROM x, m
+        UNION ALL SELECT listing_id, 'BATH',
+        round((x.BATH * m.sqft - m.both + (x.BATH - m.bath) * x.PROPERTYSQFT) / 2000, 6) FROM x, m
+        UNION ALL SELECT listing_id, 'PROPERTYSQFT',
+        round((x.PROPERTYSQFT * m.bath - m.both + (x.PROPERTYSQFT - m.sqft) * x.BATH) / 2000, 6) FROM x, m""",
     "zone_record": f"""WITH {SCORED} SELECT row_id, CASE {argmax_sql(['p0', 'p1', 'p2', 'p3'])}
         WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' WHEN 2 THEN 'High' ELSE 'Very High' END AS price_zone,
         round_even(greatest(p0, p1, p2, p3), 3) AS confidence, round_even(p0, 3) AS p_low, round_even(p1, 3) AS p_medium,

@@ -448,6 +448,15 @@ def linear_attributions(spark, folder):
         df, "listing_id", {"BEDS": 0.125, "BATH": 0.25, "PROPERTYSQFT": 0.001}))
 
 
+@query
+def kernel_attributions(spark, folder):
+    names = ["BEDS", "BATH", "PROPERTYSQFT"]
+    df = A.listings(spark, folder).dropna(subset=names).groupBy("listing_id").agg(*[F.min(c).alias(c) for c in names])
+    return rounded(explain.kernel_attributions(
+        df, "listing_id", names,
+        lambda d: d.withColumn("score", 0.125 * F.col("BEDS") + F.col("BATH") * F.col("PROPERTYSQFT") / 1000)))
+
+
 # --- records ------------------------------------------------------------------------------------
 
 

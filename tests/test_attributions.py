@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from acreage.ml import search as S
 from acreage.ml.attributions import raw_names, tree_attributions, tree_outputs, trees_of
 from acreage.ml.boosting import HistogramBooster
+from acreage.operators.explain import kernel_attributions, kernel_coalitions, linear_attributions
 from tests.test_boosting import all_coalitions
 
 NAMES = ["a", "b", "c", "d", "e", "f"]
@@ -138,3 +139,51 @@ def test_places_go_there_and_back():
     density = S.Density([0.2, 0.2, 0.9])
     total = sum(math.exp(density.log((i + 0.5) / 1000)) for i in range(1000)) / 1000
     assert total == pytest.approx(1, abs=1e-3)
+
+
+def by_feature(found):
+    return {(r["row_id"], r["feature"]): r["value"] for r in found.collect()}
+
+
+def test_kernel_form_equals_all_coalitions(spark, rows):
+    """Mean over the background of the exact values of a score with products and a step, nulls included."""
+    names = NAMES[:4]
+    few = rows.filter("id < 12").select("id", *names).union(spark.sql("SELECT 99L, 1.0D, NULL, 2.0D, -1.0D"))
+
+    def score(d):
+        return d.withColumn("score", F.col("a") * F.coalesce("b", F.lit(0.5)) + F.abs("c") * F.col("a") + (F.col("d") > 0).cast("double"))
+
+    def worth(x):
+        return x[0] * (0.5 if x[1] is None else x[1]) + abs(x[2]) * x[0] + (x[3] > 0)
+
+    got = by_feature(kernel_attributions(few, "id", names, score))
+    table = {r["id"]: [r[n] for n in names] for r in few.collect()}
+    assert len(got) == 4 * len(table)
+    for key, x in table.items():
+        for i, name in enumerate(names):
+            want = 0.0
+            for mask in range(16):
+                if mask >> i & 1:
+                    continue
+                size = mask.bit_count()
+                part = math.factorial(size) * math.factorial(3 - size) / 24
+                with_i, without = mask | 1 << i, mask
+                mean = sum(worth([x[j] if with_i >> j & 1 else o[j] for j in range(4)]) - worth([x[j] if without >> j & 1 else o[j] for j in range(4)])
+                           for o in table.values()) / len(table)
+                want += part * mean
+            assert got[key, name] == pytest.approx(want, abs=1e-9)
+
+
+def test_kernel_form_of_a_linear_score_is_linear(spark, rows):
+    """Also with drawn coalitions, and for one feature; an empty table has no values."""
+    score = lambda d: d.withColumn("score", sum(((k + 1) * F.col(n) for k, n in enumerate(NAMES)), F.lit(3.0)))
+    few = rows.filter("id < 15").select("id", *NAMES)
+    want = by_feature(linear_attributions(few, "id", {n: k + 1.0 for k, n in enumerate(NAMES)}))
+    got = by_feature(kernel_attributions(few, "id", NAMES, score, coalitions=24))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    one = by_feature(kernel_attributions(few, "id", ["c"], lambda d: d.withColumn("score", 3.0 * F.col("c"))))
+    assert all(v == pytest.approx(want[k], abs=1e-9) for k, v in one.items()) and len(one) == 15
+    assert kernel_attributions(few.limit(0), "id", NAMES, score).count() == 0
+    assert kernel_coalitions(12, 60) == kernel_coalitions(12, 60) and len(kernel_coalitions(2, 1)) == 4
+    with pytest.raises(ValueError):
+        kernel_coalitions(63, 10)
