@@ -553,9 +553,9 @@ ORACLES: dict[str, str] = {
         m AS (SELECT avg(BEDS) AS beds, avg(BATH) AS bath, avg(PROPERTYSQFT) AS sqft, avg(BATH * PROPERTYSQFT) AS both FROM g)
         SELECT listing_id AS row_id, 'BEDS' AS feature, round(0.125 * (x.BEDS - m.beds), 6) AS value FROM x, m
         UNION ALL SELECT listing_id, 'BATH',
-        round((x.BATH * m.sqft - m.both + (x.BATH - m.bath) * x.PROPERTYSQFT) / 2000, 6) FROM x, m
+        round((x.BATH * m.sqft - m.both + (x.BATH - m.bath) * x.PROPERTYSQFT) / 1994, 6) FROM x, m
         UNION ALL SELECT listing_id, 'PROPERTYSQFT',
-        round((x.PROPERTYSQFT * m.bath - m.both + (x.PROPERTYSQFT - m.sqft) * x.BATH) / 2000, 6) FROM x, m""",
+        round((x.PROPERTYSQFT * m.bath - m.both + (x.PROPERTYSQFT - m.sqft) * x.BATH) / 1994, 6) FROM x, m""",
     "zone_record": f"""WITH {SCORED} SELECT row_id, CASE {argmax_sql(['p0', 'p1', 'p2', 'p3'])}
         WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' WHEN 2 THEN 'High' ELSE 'Very High' END AS price_zone,
         round_even(greatest(p0, p1, p2, p3), 3) AS confidence, round_even(p0, 3) AS p_low, round_even(p1, 3) AS p_medium,

@@ -454,7 +454,7 @@ def kernel_attributions(spark, folder):
     df = A.listings(spark, folder).dropna(subset=names).groupBy("listing_id").agg(*[F.min(c).alias(c) for c in names])
     return rounded(explain.kernel_attributions(
         df, "listing_id", names,
-        lambda d: d.withColumn("score", 0.125 * F.col("BEDS") + F.col("BATH") * F.col("PROPERTYSQFT") / 1000)))
+        lambda d: d.withColumn("score", 0.125 * F.col("BEDS") + F.col("BATH") * F.col("PROPERTYSQFT") / 997)))
 
 
 # --- records ------------------------------------------------------------------------------------
