@@ -148,7 +148,7 @@ def test_scores_of_whole_texts(spark, monkeypatch):
 
 
 def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
-    monkeypatch.setattr(lm, "LEARNER_TOKENS", 4000)  # some learners on a small table
+    monkeypatch.setattr(lm, "LEARNER_TOKENS", 400)  # more than 64 learners, so weights are added up in two steps
     rng = random.Random(16)
     rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7)) % 300}" for _ in range(rng.randrange(0, 200)))) for i in range(300)]
     rows += [(7, rows[7][1]), (-1, None), (None, "a b")]
