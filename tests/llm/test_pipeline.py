@@ -40,7 +40,7 @@ def test_queries_are_registered():
     import __spark_entry__ as E
 
     names = list(E.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert set(E.oracle_sql()) <= set(names)
 
 

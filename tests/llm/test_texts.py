@@ -48,6 +48,18 @@ def test_line_runs_equal_brute_force(spark):
     assert next(r for r in got if r.doc_id == 100).dedup.text is None
 
 
+@pytest.mark.parametrize("window", [2, 3, 5])
+def test_runs_around_fingerprints_equal_brute_force(spark, window):
+    rng = random.Random(window)
+    pool = ["same", "same", "a footer", "}"] + [f"line {i}" for i in range(6)]
+    runs = [[rng.choice(pool) for _ in range(rng.randrange(1, 9))] for _ in range(5)]
+    rows = [(i, "\n".join([f"own {i}", *rng.choice(runs), *rng.choice(runs), *(["same"] * rng.randrange(4))])) for i in range(30)]
+    rows += [(50, "same\n" * 40), (51, "x"), (-4, rows[3][1])]
+    got = line_dedup(frame(spark, rows), window=window).collect()
+    want = lines_left(rows, window)
+    assert {r.doc_id: r.dedup.text or "" for r in got} == want
+
+
 def test_line_dedup_of_nothing(spark):
     assert line_dedup(frame(spark, [])).count() == 0
 
