@@ -24,7 +24,7 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from acreage.llm.common import stage
+from acreage.llm.common import partitions, stage
 from acreage.session import shared_dir
 
 # Signatures and records of the ZIP format.
@@ -35,6 +35,8 @@ ZIP64_EXTRA, FULL16, FULL32 = 0x0001, 0xFFFF, 0xFFFFFFFF
 RECORDS_PER_PACKAGE = 50_000
 MEMBER_BYTES = 16 << 20
 READ_BYTES = 4 << 20
+#: Bytes of packed records that a task reads, on average, once there are more than the shuffle partitions take.
+TASK_BYTES = 64 << 20
 
 
 class Member(NamedTuple):
@@ -158,7 +160,7 @@ class Package:
         store.create_dir(path.rpartition("/")[0], recursive=True)
         self.out = store.open_output_stream(path)
         self.zip = zipfile.ZipFile(self.out, "w", zipfile.ZIP_STORED, allowZip64=True)
-        self.member, self.members, self.at, self.records, self.lines = None, 0, 0, 0, []
+        self.member, self.members, self.at, self.records, self.bytes, self.lines = None, 0, 0, 0, 0, []
 
     def add(self, record: bytes) -> None:
         if self.member is None:
@@ -169,6 +171,7 @@ class Package:
         self.member.write(packed)
         self.lines.append(json.dumps({"member": self.name, "offset": self.at, "length": len(packed)}))
         self.at += len(packed)
+        self.bytes += len(packed)
         self.records += 1
         if self.at >= MEMBER_BYTES:
             self.end_member()
@@ -178,12 +181,12 @@ class Package:
             self.member.close()
             self.member = None
 
-    def close(self) -> tuple[str, int]:
+    def close(self) -> tuple[str, int, int]:
         self.end_member()
         self.zip.writestr(zipfile.ZipInfo("indexes/index-00000.cdxj"), "\n".join(self.lines))
         self.zip.close()
         self.out.close()
-        return self.uri, self.records
+        return self.uri, self.records, self.bytes
 
 
 def roles(pages: DataFrame, least: int, share: float = 1 / 1024) -> DataFrame:
@@ -212,7 +215,7 @@ def roles(pages: DataFrame, least: int, share: float = 1 / 1024) -> DataFrame:
 
 def write_packages(pages: DataFrame, folder: str, least: int = 1000, page_id: str = "page_id", url: str = "url",
                    html: str = "html") -> DataFrame:
-    """Write a WARC record per row into packages below `folder`; returns the packages (uri, records).
+    """Write a WARC record per row into packages below `folder`; returns the packages (uri, records, bytes of records).
 
     Of payloads of at least `least` bytes that are equal, the largest page_id is a response and the
     rows with another id revisit it (a repeated row of that id is a response too). A null html is an empty payload; a null url or page_id leaves
@@ -231,12 +234,12 @@ def write_packages(pages: DataFrame, folder: str, least: int = 1000, page_id: st
                     package = Package(f"{folder}/part-{task.partitionId():05d}-{done:04d}-{uuid.uuid4().hex}.zip")
                 package.add(warc_record(i, u, (text or "").encode(), digest, to))
                 if package.records >= RECORDS_PER_PACKAGE:
-                    yield pd.DataFrame([package.close()], columns=["uri", "records"])
+                    yield pd.DataFrame([package.close()], columns=["uri", "records", "bytes"])
                     package, done = None, done + 1
         if package is not None:
-            yield pd.DataFrame([package.close()], columns=["uri", "records"])
+            yield pd.DataFrame([package.close()], columns=["uri", "records", "bytes"])
 
-    return stage(roles(pages, least).mapInPandas(write, "uri string, records long"), "packages")
+    return stage(roles(pages, least).mapInPandas(write, "uri string, records long, bytes long"), "packages")
 
 
 def record_places(packages: DataFrame) -> DataFrame:
@@ -294,7 +297,9 @@ def read_packages(packages: DataFrame, payload: bool = True) -> DataFrame:
 
     names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", *(["payload"] if payload else [])]
     kinds = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
-    places = record_places(packages).repartition("uri", F.floor(F.col("start") / MEMBER_BYTES))
+    total = packages.agg(F.sum("bytes")).first()[0] or 0
+    parts = max(partitions(packages), -(-total // TASK_BYTES))  # a stated count, as places are far smaller than their records
+    places = record_places(packages).repartition(parts, "uri", F.floor(F.col("start") / MEMBER_BYTES))
     return places.sortWithinPartitions("uri", "start").mapInPandas(records, kinds + (", payload binary" if payload else ""))
 
 
