@@ -103,6 +103,19 @@ def test_repeated_strings_equal_brute_force(spark, monkeypatch, crowded):
     assert got == want
 
 
+def test_keys_of_any_sign_keep_value_and_order(spark):
+    rows = [(d * 7 - 300, t) for d, t in repetitive(4, 40)] + [(-2**61, "z" * 60), (2**61 - 1, "z" * 70)]
+    got = digests(R.remove_repeats(frame(spark, rows)))
+    assert got == {d: (*x[:3], hashlib.sha256(x[3]).hexdigest()) for d, x in removed_spans(rows).items()}
+
+
+def test_other_keys_are_refused(spark):
+    with pytest.raises(TypeError, match="whole numbers"):
+        R.remove_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+    with pytest.raises(ValueError, match="span"):
+        R.remove_repeats(frame(spark, [(-2**62, "a"), (5, "b")]))
+
+
 def test_one_key_with_two_texts_and_none(spark):
     a, b = "x" * 10 + "".join(map(str, range(60))), "y" * 10 + "".join(map(str, range(60)))
     rows = [(1, a), (1, b), (None, b), (None, a)]
