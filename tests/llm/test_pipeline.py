@@ -10,12 +10,15 @@ FOLDER = "/root/testdata/sf0.001"
 def test_stages_keep_the_columns_and_take_effect(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     odd = spark.createDataFrame([(9001, None, None, None, None), (9002, "", "en", "s", 0), (9003, "123 456", "en", "s", 7)], docs.schema)
-    docs = docs.unionByName(odd).withColumn("doc", F.lit("extra"))
+    extra = ["doc", "dedup", "_predicted_language", "rest", "lang_pred", "a.b"]
+    docs = docs.unionByName(odd).withColumns({c: F.lit(f"extra {c}") for c in extra})
     ids = {r.doc_id for r in docs.select("doc_id").collect()}
     for name, apply in C.STAGES:
         docs = C.stage(apply(spark, docs, FOLDER), name)
         if name != C.STAGES[-1][0]:
-            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "doc"], name
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *extra], name
+            assert [r.asDict() for r in docs.select(*[f"`{c}`" for c in extra]).distinct().collect()] == [
+                {c: f"extra {c}" for c in extra}], name
         left = {r.doc_id for r in docs.select("doc_id").collect()}
         assert left <= ids
         if name == "language_id":
