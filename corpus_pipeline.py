@@ -15,23 +15,24 @@ from acreage.llm.queries import PIECE_MODEL
 #: Mean label probability below which the language of a document counts as not recognised; with
 #: four languages a guess has 0.25.
 LEAST_SCORE = 0.3
-PREDICTED = "_predicted_language"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; `lang` becomes the predicted one."""
     found = identify(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     found = found.select("doc_id", "text_key", "lang_pred").dropDuplicates(["doc_id", "text_key"])
-    whole = join_documents(docs, found, "doc_id", "text").select("doc.*", F.col("lang_pred").alias(PREDICTED))
-    return whole.withColumn("lang", F.col(PREDICTED)).select(*docs.columns)
+    kept = [F.col("lang_pred").alias(c) if c == "lang" else F.col(f"doc.`{c}`") for c in docs.columns]
+    return join_documents(docs, found, "doc_id", "text").select(*kept)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that occur earlier in the corpus; a document of which nothing is left goes."""
-    left = line_dedup(docs, window=1)
-    cleaned = left.withColumns({"text": F.col("dedup.text"), "n_chars": F.length("dedup.text").cast("long")})
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text", "n_chars")])
+    left = line_dedup(docs.select("doc_id", "text", rest.alias("rest")), window=1)
     gone = (F.col("dedup.n_removed") > 0) & (F.trim("dedup.text") == "")
-    return cleaned.where(~F.coalesce(gone, F.lit(False))).select(*docs.columns)
+    new = {"doc_id": F.col("doc_id"), "text": F.col("dedup.text"), "n_chars": F.length("dedup.text").cast("long")}
+    kept = [new[c].alias(c) if c in new else F.col(f"rest.`{c}`") for c in docs.columns]
+    return left.where(~F.coalesce(gone, F.lit(False))).select(*kept)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
