@@ -3,7 +3,7 @@
 Words become a template: numbers, capitalised words inside a sentence and units after a number turn
 into typed placeholders. Windows of template words are hash-joined with those of the benchmark items.
 Each hit is then compared word by word, and within one alignment of an item and a document every
-slot value of the item must always meet the same value of the document.
+slot value of the item must always meet the same value of the document, or only literal windows count.
 """
 
 from __future__ import annotations
@@ -71,12 +71,14 @@ def key_of(words: list[Column]) -> Column:
 def window_keys(df: DataFrame, length: int) -> DataFrame:
     """Explode `words` into the keys of all windows: (doc_id, text_key, length, p, key).
 
-    The words are hashed once and zipped with themselves shifted, so each window is a row of longs."""
+    The words are hashed once and zipped with themselves shifted, so each window is a row of longs. Fewer words
+    than `length` are one window."""
     hashed = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w))).drop("words")
-    count = F.greatest(F.size("hashes") - (length - 1), F.lit(0))
+    size = F.size("hashes")
+    count = F.greatest(size - (length - 1), F.least(size, F.lit(1)))
     rows = F.arrays_zip(*[F.slice("hashes", k + 1, count).alias(f"h{k}") for k in range(length)])
-    rows = hashed.select("doc_id", "text_key", F.posexplode(rows).alias("p", "z"))
-    return rows.select("doc_id", "text_key", F.lit(length).alias("length"), "p", key_of([F.col("z")[f"h{k}"] for k in range(length)]).alias("key"))
+    rows = hashed.select("doc_id", "text_key", F.least(F.lit(length), size).alias("length"), F.posexplode(rows).alias("p", "z"))
+    return rows.select("doc_id", "text_key", "length", "p", key_of([F.col("z")[f"h{k}"] for k in range(length)]).alias("key"))
 
 
 def item_windows(items: DataFrame, item: str, text: str, window: int) -> DataFrame:
@@ -91,30 +93,36 @@ def item_windows(items: DataFrame, item: str, text: str, window: int) -> DataFra
     return out.select("item_id", "item_words", "length", "w.*", key_of(hashes).alias("key"))
 
 
+def longest_run(places: Column) -> Column:
+    """Length of the longest run of consecutive numbers in a sorted array; it is as long as an item at most."""
+    def step(acc, x):
+        n = F.when(x == acc["last"] + 1, acc["n"] + 1).otherwise(F.lit(1))
+        return F.struct(x.alias("last"), n.alias("n"), F.greatest(acc["best"], n).alias("best"))
+
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("n"), F.lit(0).alias("best"))
+    return F.aggregate(places, start, step, lambda acc: acc["best"])
+
+
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-          item_text: str = "text", window: int = 8, coverage: float = 0.5) -> DataFrame:
+          item_text: str = "text", window: int = 8, coverage: float = 0.5, run: int = 13) -> DataFrame:
     """Documents and the items they hold: doc_id, text_key, item_id, n_windows, covered_words,
-    item_words, coverage, literal.
-
-    A row stands for an item of whose template words at least `coverage` lie in matched windows of one
-    document, in alignments whose slots are consistent; `literal` tells that all slot values are the
-    item's own. An item shorter than the window counts as one window. Documents and items
-    without words (null, empty or only punctuation) match nothing; repeated rows of a document give one row
-    per item, null keys are kept, and empty tables give an empty result. Other columns are not read.
+    item_words, longest_run, coverage, literal.
+
+    A row stands for an item of whose template words at least `coverage`, or at least `run` in a row (`longest_run`),
+    lie in matched windows of one document. Of an alignment whose slots are inconsistent only the windows count whose
+    slot values are the item's own; `literal` tells that they are in all counted windows. A text
+    with fewer words than the window is one window, so a shorter item is found only in a document of
+    its very words. Documents and items without words (null, empty or only punctuation) match
+    nothing; repeated rows of a document give one row per item, null keys are kept, and empty tables give an empty
+    result. Other columns are not read.
     """
     windows = stage(item_windows(items, item, item_text, window), "items")
-    sizes = [r.length for r in windows.select("length").distinct().collect()]
     keys = windows.select("key").distinct()
     if windows.count() <= BROADCAST_WINDOWS:
         keys = F.broadcast(keys)
     docs = docs.select(F.col(key).alias("doc_id"), F.xxhash64(text_of(text).cast("binary")).alias("text_key"), text_of(text).alias("body"))
     hashed = with_words(docs, "body").select("doc_id", "text_key", "words")
-    found = None
-    for n in sizes:
-        hits = window_keys(hashed, n).join(keys, "key", "left_semi")
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        found = docs.select("doc_id", "text_key", F.lit(0).alias("length"), F.lit(0).alias("p"), F.lit(0).cast("long").alias("key")).limit(0)
+    found = window_keys(hashed, window).join(keys, "key", "left_semi")
     found = stage(found.distinct(), "hits")
     per_doc = found.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("p", "length", "key")).alias("hits"))
     per_doc = per_doc.select(F.col("doc_id").alias("id2"), F.col("text_key").alias("key2"), "hits")
@@ -127,30 +135,27 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     spans = holders.select("doc_id", "text_key", F.explode(spans).alias("x")).select("doc_id", "text_key", "x.*").distinct()
     matched = spans.join(windows, ["key", "length"]).where(F.col("dc") == F.col("bc"))
     slots = F.filter(F.arrays_zip("bc", "bv", "dv"), lambda z: z["bc"].isin(NUMBER, NAME, UNIT))
-    matched = stage(matched.select("doc_id", "text_key", "item_id", "item_words", "length", "q", (F.col("p") - F.col("q")).alias("shift"),
-                                   slots.alias("slots")), "matches")
+    matched = matched.select("doc_id", "text_key", "item_id", "item_words", "length", "q", (F.col("p") - F.col("q")).alias("shift"),
+                             slots.alias("slots"))
+    matched = stage(matched.withColumn("own", F.forall("slots", lambda z: z["bv"] == z["dv"])), "matches")
     line = ["doc_id", "text_key", "item_id", "shift"]
     values = matched.select(*line, F.explode("slots").alias("z"))
-    broken = (
-        values.groupBy(*line, "z.bc", "z.bv").agg(F.min("z.dv").alias("a"), F.max("z.dv").alias("b"))
-        .groupBy(*line).agg(F.max((F.col("a") != F.col("b")).cast("int")).alias("broken"),
-                            F.min(((F.col("a") == F.col("bv")) & (F.col("b") == F.col("bv"))).cast("int")).alias("own"))
-    )
-    broken = broken.select(*[F.col(c).alias(f"_{c}") for c in line], "broken", "own")
+    broken = values.groupBy(*line, "z.bc", "z.bv").agg(F.min("z.dv").alias("a"), F.max("z.dv").alias("b")).where("a <> b")
+    broken = broken.select(*[F.col(c).alias(f"_{c}") for c in line], F.lit(True).alias("broken")).distinct()
     same = F.lit(True)
     for c in line:
         same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
-    sound = matched.join(broken, same, "left").where(F.coalesce("broken", F.lit(0)) == 0)
+    sound = matched.join(broken, same, "left").where(F.col("own") | (F.col("broken").isNull() & (F.col("length") == window)))
     group = ["doc_id", "text_key", "item_id"]
-    covered = sound.select(*group, "item_words", "q", F.coalesce("own", F.lit(1)).alias("own"),
+    covered = sound.select(*group, "item_words", "q", "own",
                            F.explode(F.sequence(F.col("q"), F.col("q") + F.col("length") - 1)).alias("word"))
     out = covered.groupBy(*group, "item_words").agg(
-        F.countDistinct("q").alias("n_windows"), F.countDistinct("word").alias("covered_words"),
-        (F.min("own") == 1).alias("literal"))
+        F.countDistinct("q").alias("n_windows"), F.array_sort(F.collect_set("word")).alias("places"), F.min("own").alias("literal"))
+    out = out.withColumns({"covered_words": F.size("places").cast("long"), "longest_run": longest_run(F.col("places")).cast("long")})
     share = F.col("covered_words") / F.col("item_words")
-    return out.withColumn("coverage", share).where(share >= coverage).select(
+    return out.withColumn("coverage", share).where((share >= coverage) | (F.col("longest_run") >= run)).select(
         "doc_id", "text_key", "item_id", "n_windows", "covered_words", F.col("item_words").cast("long").alias("item_words"),
-        "coverage", "literal")
+        "longest_run", "coverage", "literal")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:

@@ -81,7 +81,7 @@ def op6_decontamination(spark, folder):
 
 
 def _decontamination_sql() -> str:
-    """Template windows of 8 words, for items of at least that many words."""
+    """Template windows of 8 words; a text of fewer words is one window."""
     edges = "'" + EDGES.replace("'", "''") + "'"
     units = ", ".join(f"'{u}'" for u in UNITS)
     before = "OVER (PARTITION BY kind, id ORDER BY i)"
@@ -101,20 +101,28 @@ t AS (SELECT kind, id, i, lower(bare) AS v, CASE
     ELSE lower(bare) END AS t FROM w),
 u AS (SELECT kind, id, t, v, row_number() OVER (PARTITION BY kind, id ORDER BY i) - 1 AS p, count(*) OVER (PARTITION BY kind, id) AS n
     FROM t WHERE t <> ''),
-win AS (SELECT kind, id, p, n, {follows} AS content FROM u),
-hit AS (SELECT DISTINCT d.id AS doc_id, b.id AS item_id, b.n AS item_words, b.p AS q, d.p - b.p AS shift
-    FROM win d JOIN win b ON d.content = b.content WHERE d.kind = 'd' AND b.kind = 'b'),
-slot AS (SELECT doc_id, item_id, shift, x.t, x.v AS bv, y.v AS dv FROM hit
-    JOIN u x ON x.kind = 'b' AND x.id = item_id AND x.p BETWEEN q AND q + 7
+win AS (SELECT kind, id, p, n, 8 AS length, {follows} AS content FROM u
+    UNION ALL SELECT kind, id, 0, n, n, string_agg(t, chr(1) ORDER BY p) FROM u WHERE n < 8 GROUP BY kind, id, n),
+hit AS (SELECT DISTINCT d.id AS doc_id, b.id AS item_id, b.n AS item_words, b.p AS q, d.p - b.p AS shift, length
+    FROM win d JOIN win b USING (length, content) WHERE d.kind = 'd' AND b.kind = 'b'),
+slot AS (SELECT doc_id, item_id, shift, q, x.t, x.v AS bv, y.v AS dv FROM hit
+    JOIN u x ON x.kind = 'b' AND x.id = item_id AND x.p BETWEEN q AND q + length - 1
     JOIN u y ON y.kind = 'd' AND y.id = doc_id AND y.p = x.p + shift
     WHERE x.t IN ('{NUMBER}', '{NAME}', '{UNIT}')),
-each AS (SELECT doc_id, item_id, shift, t, bv, count(DISTINCT dv) AS k, bool_and(dv = bv) AS same FROM slot GROUP BY ALL),
-broken AS (SELECT doc_id, item_id, shift, max(k) > 1 AS broken, bool_and(same) AS own FROM each GROUP BY ALL),
-sound AS (SELECT hit.*, coalesce(own, true) AS own FROM hit LEFT JOIN broken USING (doc_id, item_id, shift) WHERE NOT coalesce(broken, false)),
+each AS (SELECT doc_id, item_id, shift, t, bv, count(DISTINCT dv) AS k FROM slot GROUP BY ALL),
+broken AS (SELECT doc_id, item_id, shift, max(k) > 1 AS broken FROM each GROUP BY ALL),
+owned AS (SELECT doc_id, item_id, shift, q, bool_and(dv = bv) AS own FROM slot GROUP BY ALL),
+sound AS (SELECT hit.*, coalesce(own, true) AS own FROM hit LEFT JOIN broken USING (doc_id, item_id, shift)
+    LEFT JOIN owned USING (doc_id, item_id, shift, q)
+    WHERE coalesce(own, true) OR (NOT coalesce(broken, false) AND length = 8)),
 words AS (SELECT doc_id, item_id, item_words, count(DISTINCT q) AS n_windows, count(DISTINCT q + j) AS covered_words, bool_and(own) AS literal
-    FROM sound, range(8) AS r(j) GROUP BY ALL)
-SELECT doc_id, item_id, n_windows, covered_words, item_words, covered_words / item_words AS coverage, literal
-FROM words WHERE covered_words / item_words >= 0.5
+    FROM sound, range(8) AS r(j) WHERE j < length GROUP BY ALL),
+place AS (SELECT DISTINCT doc_id, item_id, q + j AS i FROM sound, range(8) AS r(j) WHERE j < length),
+island AS (SELECT doc_id, item_id, i - row_number() OVER (PARTITION BY doc_id, item_id ORDER BY i) AS g FROM place),
+runs AS (SELECT doc_id, item_id, max(k) AS longest_run FROM (
+    SELECT doc_id, item_id, g, count(*) AS k FROM island GROUP BY ALL) GROUP BY ALL)
+SELECT doc_id, item_id, n_windows, covered_words, item_words, longest_run, covered_words / item_words AS coverage, literal
+FROM words JOIN runs USING (doc_id, item_id) WHERE covered_words / item_words >= 0.5 OR longest_run >= 13
 """
 
 

@@ -71,17 +71,29 @@ def test_leaks_follow_consistent_slots(spark):
     docs = [(1, f"Intro. {ITEM} end"), (1, f"Intro. {ITEM} end"), (None, ITEM),
             (2, "so then Carol buys 15 apples and 4 kg of rice at the market while Carol sells 15 pears to Dan on day 9. ok"),
             (3, "so then Carol buys 15 apples and 4 kg of rice at the market while Eve sells 99 pears to Dan on day 9. ok"),
-            (4, None), (5, ""), (6, "clean text about nothing at all which is long enough to have windows"), (7, "a TINY, item (here)!"), (8, "?? ...")]
+            (4, None), (5, ""), (6, "clean text about nothing at all which is long enough to have windows"), (7, "TINY, item (here)!"), (8, "?? ..."),
+            (9, "a tiny item here and more")]
     items = spark.createDataFrame([(10, ITEM), (11, None), (12, "..."), (13, "Tiny item here")], "item_id long, text string")
     items = items.withColumns({c: F.lit(0) for c in ("p", "key", "length")})
     df = frame(spark, docs, "words", "hits", "item_id", "raw")
     got = {(r.doc_id, r.item_id): r.literal for r in leaks(df, items).collect()}
     assert got == {(1, 10): True, (None, 10): True, (2, 10): False, (7, 13): True}
     left = decontaminate(df, items)
-    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 6, 8]
+    assert left.columns == df.columns and sorted(r.doc_id for r in left.collect()) == [3, 4, 5, 6, 8, 9]
     assert leaks(df.limit(0), items).count() == 0 and leaks(df, items.limit(0)).count() == 0
 
 
+def test_quotations_and_near_copies_of_items_are_found(spark):
+    long = " ".join(f"w{i}x" for i in range(59))
+    words = long.split()
+    near = ITEM.replace("buys 12", "buys 15")
+    docs = [(1, "so " + " ".join(words[10:39]) + " end"), (2, " ".join(words[:12]) + " end"), (3, f"Intro. {near} end"),
+            (4, "she went to the market today"), (5, "market"), (6, "Market?"), (7, " ".join(words[:13]))]
+    items = spark.createDataFrame([(10, ITEM), (11, long), (12, "market")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.longest_run, r.literal) for r in leaks(frame(spark, docs), items).collect()}
+    assert got == {(1, 11): (29, True), (3, 10): (19, True), (5, 12): (1, True), (6, 12): (1, True), (7, 11): (13, True)}
+
+
 def repetitive(seed, n=80):
     rng = random.Random(seed)
     text = lambda k: "".join(rng.choice("abé \n") for _ in range(k))
