@@ -418,11 +418,13 @@ def encode(docs: DataFrame, model: str, text: str = "text", output: str = "piece
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != output])
 
     def run(batches):
-        for batch, _, _, ids, ends in encoded(batches, pieces, name, text):
+        for batch, _, _, ids, ends in encoded(batches, pieces, name, column):
             made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, output])
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names)
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(output, T.ArrayType(T.IntegerType()))]))
+    names, column = [*docs.columns, output], f"c{docs.columns.index(text)}"
+    # names with dots cannot be passed to mapInArrow
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(output, T.ArrayType(T.IntegerType()))]))
 
 
 def decoded(rows: DataFrame, model: str, column: str = "pieces", output: str = "text") -> DataFrame:
