@@ -225,3 +225,29 @@ def test_path_values_equal_all_coalitions():
     for row, values in zip(x, got):
         assert np.allclose(values, all_coalitions(trees, row), atol=1e-10)
     assert np.allclose(got.sum(axis=1), score(trees, x) - expectation(trees), atol=1e-10)
+
+
+def test_a_task_holds_many_blocks(spark, monkeypatch):
+    x, y, _ = data(400)
+    seen, summed = [], B.summed
+    monkeypatch.setattr(B, "BLOCK_ROWS", 10)
+
+    def noted(rows, tasks, *others):
+        seen.append(tasks)
+        return summed(rows, tasks, *others)
+
+    monkeypatch.setattr(B, "summed", noted)
+    HistogramBooster(rounds=1, depth=2).fit(table(spark, x, y))
+    assert seen and max(seen) <= spark.sparkContext.defaultParallelism
+
+
+def test_sums_per_node_equal_plain_loops():
+    rng = np.random.default_rng(2)
+    starts = np.array([0, 1, 3, 12])
+    codes = np.array([np.zeros(50), rng.integers(0, 2, 50), rng.integers(0, 9, 50)], np.uint8)
+    slot, values = rng.integers(0, 4, 50), rng.integers(-99, 99, (2, 50)).astype(float)
+    want = np.zeros((2, 4, 12))
+    for i in range(50):
+        for f in range(3):
+            want[:, slot[i], starts[f] + codes[f, i]] += values[:, i]
+    assert (np.array(B.node_sums(codes, slot, tuple(values), 4, starts)) == want).all()
