@@ -3,8 +3,8 @@
 Of every `window` consecutive lines the one of least hash is selected as fingerprint, once for all windows that
 select it. Positions whose fingerprint is held by another position too are extended both ways over the
 windows that selected them; equal windows select the same line, so none is missed. The union of
-repeated windows is the maximal repeated run. The first occurrence by document and position stays. With a
-window of one line every line is its own fingerprint.
+repeated windows is the maximal repeated run. The first occurrence by document and position stays. Long lines
+count by themselves too, each its own fingerprint; with a window of one line every line does.
 """
 
 from __future__ import annotations
@@ -46,29 +46,35 @@ def runs_of(picks: Column) -> Column:
     return F.transform(heads, lambda x: F.struct(x["at"].alias("at"), x["s"].alias("first")))
 
 
+def once(rows: DataFrame, name: str) -> DataFrame:
+    """`rows` with the array `name` computed once a row: a later expression over its elements would else hold, and
+    compute, the whole array again for each of them."""
+    return rows.select(*[c for c in rows.columns if c != name], F.explode(F.array(name)).alias(name))
+
+
 def positions(rows: DataFrame, window: int, min_words: int) -> DataFrame:
     """One row per selected fingerprint position: doc_id, text_key, length (of its windows), finger, first (the first
     window that selects it), and the hashes `h` and `g` of all lines that these windows reach."""
-    def around(length: int, first: Column, last: Column) -> list[Column]:
-        n = last - first + length
-        return [F.lit(length).alias("length"), F.get("units", F.col("x.at"))["h"].alias("finger"), first.alias("first"),
-                F.slice(F.col("units")["h"], first + 1, n).alias("h"), F.slice(F.col("units")["g"], first + 1, n).alias("g")]
-
     keys = ["doc_id", "text_key"]
     lone = rows.select(*keys, F.explode("units").alias("u"), F.lit(1).alias("length"))
     lone = lone.select(*keys, "length", F.col("u.h").alias("finger"), F.col("u.unit").alias("first"),
                        F.array("u.h").alias("h"), F.array("u.g").alias("g"), F.col("u.words").alias("words"))
     if window == 1:
         return lone.drop("words")
-    picked = rows.withColumn("picks", positions_of(F.col("units"), window)).withColumn("heads", runs_of(F.col("picks")))
-    picked = picked.select(*keys, "units", "heads", F.size("picks").alias("windows"), F.posexplode("heads").alias("i", "x"))
-    after = F.coalesce(F.get("heads", F.col("i") + 1)["first"], F.col("windows"))
-    picked = picked.select(*keys, *around(window, F.col("x.first"), after - 1))
+    picked = once(once(rows, "units").withColumn("picks", positions_of(F.col("units"), window)), "picks")
+    picked = once(picked.withColumn("heads", runs_of(F.col("picks"))), "heads")
+    end = lambda i: F.coalesce(F.get("heads", i + 1)["first"], F.size("picks"))
+    reached = F.transform("heads", lambda x, i: F.struct(
+        F.get("units", x["at"])["h"].alias("finger"), x["first"].alias("first"),
+        F.slice("units", x["first"] + 1, end(i) - 1 - x["first"] + window).alias("lines")))
+    picked = picked.select(*keys, F.explode(reached).alias("x")).select(
+        *keys, F.lit(window).alias("length"), "x.finger", "x.first", "x.lines.h", "x.lines.g")
     return picked.unionByName(lone.where(F.col("words") >= min_words).drop("words"))
 
 
 def repeated_units(rows: DataFrame, window: int, min_words: int) -> DataFrame:
-    """Per document (doc_id, text_key) the numbers of the lines to delete, from `rows` with their units."""
+    """Per document (doc_id, text_key) the numbers of the lines to delete (`gone`), and how many of them lie in repeated
+    windows (`n_in_runs`), from `rows` with their units."""
     selected = stage(positions(rows, window, min_words), "positions")
     bar = max(2, selected.count() * SHARE)
     fingers = selected.groupBy("length", "finger").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -85,12 +91,14 @@ def repeated_units(rows: DataFrame, window: int, min_words: int) -> DataFrame:
     is_first = (F.col("text_key") == F.col("first.text_key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
     later = later.where(~(is_first & (F.col("start") == F.col("first.start"))))
     units = F.explode(F.sequence("start", F.col("start") + F.col("length") - 1))
-    return later.select("doc_id", "text_key", units.alias("unit")).groupBy("doc_id", "text_key").agg(
-        F.collect_set("unit").alias("gone"))
+    run = F.when(F.col("length") == window, F.col("unit"))
+    return later.select("doc_id", "text_key", "length", units.alias("unit")).groupBy("doc_id", "text_key").agg(
+        F.collect_set("unit").alias("gone"), F.size(F.collect_set(run)).alias("n_in_runs"))
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 2, min_words: int = 50) -> DataFrame:
-    """`docs` with a struct column `dedup`: the text left (`text`), `n_lines` and `n_removed`.
+    """`docs` with a struct column `dedup`: the text left (`text`), `n_lines`, `n_removed` and `n_in_runs` (of the removed
+    lines, those in repeated runs of at least `window` lines).
 
     Deleted is every line inside a run of `window` lines, or a line of `min_words` words, that occurs
     earlier in the order of key, text hash and line; runs are judged on the input. Lines are compared
@@ -111,5 +119,6 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window:
     kept = F.array_join(F.transform(left, lambda i: F.element_at(F.col("cut"), i + 1)), "\n")
     result = F.struct(
         F.when(F.col("gone").isNull(), before).otherwise(kept).alias("text"), F.size("cut").cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"))
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_in_runs", F.lit(0)).cast("long").alias("n_in_runs"))
     return joined.withColumn("result", result).select("doc.*", F.col("result").alias("dedup"))

@@ -161,6 +161,26 @@ def test_lines_of_their_own_equal_brute_force(spark):
     assert all((r.dedup.text or "") == want[r.doc_id] for r in got)
 
 
+def test_query_removes_repeated_runs_and_lone_lines(spark, tmp_path):
+    from acreage.llm.queries import op9_line_dedup
+
+    rows = [(1, "a\nb\nc\nown"), (2, "x\na\nb\nc"), (3, "c\nother\nb"), (4, None)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.n_in_runs) for r in op9_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (4, 0, 0), 2: (4, 3, 3), 3: (3, 2, 0), 4: (1, 0, 0)}
+
+
+def test_time_of_a_long_document_grows_with_its_lines(spark):
+    import time
+
+    rng = random.Random(8)
+    text = "\n".join(f"line {rng.randrange(10_000)}" for _ in range(20_000))
+    started = time.time()
+    got = line_dedup(frame(spark, [(1, text)]), window=2, min_words=0).collect()
+    assert got[0].dedup.text == lines_left([(1, text)], window=1)[1]
+    assert time.time() - started < 60
+
+
 def by_text(data, offsets):
     """Contexts of each text, with places counted from its start."""
     picks = R.Picks(data, offsets)
