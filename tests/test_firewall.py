@@ -102,6 +102,20 @@ def test_mapping_is_stateless(sales):
     assert not broken["subset"] and not broken["target_shuffle"]
 
 
+def test_statelessness_reads_its_input_once(spark, sales):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    once = sales.mapInArrow(counted, sales.schema)
+    noise = sales.select("sale_id", (F.lit(700000) + F.col("sale_id")).alias("SALE PRICE"))
+    got = G.check_statelessness(lambda df: W.apply_schema_map(df, ["sale_id"])[0].drop("TARGET"), once, "sale_id", "SALE PRICE", noise)
+    assert got.filter("holds").count() == 4 and read.value == sales.count()
+
+
 def test_filters_ignore_price_values_in_range(sales):
     in_range = F.col("SALE PRICE").between(10000, 100000000)
     moved = sales.withColumn("SALE PRICE", F.when(in_range, F.lit(777777)).otherwise(F.col("SALE PRICE")))
