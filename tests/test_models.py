@@ -98,6 +98,23 @@ def test_stacking(spark, parts, tmp_path):
     assert a == b and T.load_thresholds(str(tmp_path / "stacked")) == [0.4, 0.5, 0.6, 0.5]
 
 
+def test_forests_with_equal_preprocessing_share_its_fit(spark, parts, monkeypatch):
+    train = stage(parts[0].coalesce(1), "train")
+    fits, plain = [], SmoothedTargetEncoder._fit
+    monkeypatch.setattr(SmoothedTargetEncoder, "_fit", lambda self, df: fits.append(self.getLabelCol()) or plain(self, df))
+    pipelines = {"few": T.zone_pipeline(T.zone_forest(3, 2)), "line": T.price_pipeline(T.price_line()),
+                 "more": T.zone_pipeline(T.zone_forest(4, 3, weight=None))}
+    models = T.fit_all(pipelines, train)
+    assert list(models) == list(pipelines) and sorted(fits) == [T.TARGET, T.LABEL]
+    for name, output in (("few", "ZONE_PROB"), ("more", "ZONE_PROB"), ("line", "PRICE_PRED")):
+        want = pipelines[name].fit(train).transform(parts[1]).select("LISTING_ID", output).toPandas().sort_values("LISTING_ID")
+        got = models[name].transform(parts[1]).select("LISTING_ID", output).toPandas().sort_values("LISTING_ID")
+        assert np.allclose([np.ravel(x) for x in got[output]], [np.ravel(x) for x in want[output]], rtol=0, atol=1e-9)
+    fits.clear()
+    T.fit_stacking(train, "LISTING_ID", {n: pipelines[n] for n in ("few", "more")}, folds=2)
+    assert len(fits) == 3  # once per fold and once on all rows
+
+
 def test_attempt_inference(spark, parts, tmp_path):
     train, test = parts
     path = str(tmp_path / "model")
