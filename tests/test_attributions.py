@@ -187,3 +187,18 @@ def test_kernel_form_of_a_linear_score_is_linear(spark, rows):
     assert kernel_coalitions(12, 60) == kernel_coalitions(12, 60) and len(kernel_coalitions(2, 1)) == 4
     with pytest.raises(ValueError):
         kernel_coalitions(63, 10)
+
+
+def test_explained_queries_average_over_every_test_row(spark, rows, monkeypatch):
+    import query_registry as Q
+
+    test = rows.crossJoin(spark.range(3).withColumnRenamed("id", "copy")).select(
+        (F.col("id") * 3 + F.col("copy")).alias("LISTING_ID"), *[(F.col(n) + 0.3 * F.col("copy")).alias(n) for n in NAMES])
+    monkeypatch.setattr(Q, "_parts", lambda spark, folder: (rows, test))
+    monkeypatch.setattr(Q, "ALL_FEATURES", NAMES)
+    model = Pipeline(stages=[VectorAssembler(inputCols=NAMES, outputCol="features"), HistogramBooster(classes=2, rounds=3, depth=3)])
+    got = {(r.output, r.feature): r.mean_abs for r in Q._explained(spark, "", model).collect()}
+    values, _ = tree_attributions(test, "LISTING_ID", model.fit(rows), NAMES, max_samples=None)
+    assert values.select("row_id").distinct().count() == 900
+    want = values.groupBy("output", "feature").agg(F.avg(F.abs("value")).alias("mean_abs")).collect()
+    assert len(got) == len(want) == 12 and all(got[r.output, r.feature] == pytest.approx(r.mean_abs, abs=1e-6) for r in want)
