@@ -251,3 +251,54 @@ def test_sums_per_node_equal_plain_loops():
         for f in range(3):
             want[:, slot[i], starts[f] + codes[f, i]] += values[:, i]
     assert (np.array(B.node_sums(codes, slot, tuple(values), 4, starts)) == want).all()
+
+
+@pytest.mark.parametrize("options", [{"depth": 4}, {"leaves": 12}, {"depth": 3, "topShare": 0.3, "otherShare": 0.2}])
+def test_trees_grown_in_a_task_equal_those_grown_by_jobs(spark, monkeypatch, options):
+    x, y, _ = data(400)
+    df, jobs, splits = table(spark, x, y), [], B.Fit.splits
+    monkeypatch.setattr(B.Fit, "splits", lambda self, *a: jobs.append(1) or splits(self, *a))
+
+    def fitted():
+        jobs.clear()
+        model = HistogramBooster(rounds=2, **options).fit(df)
+        return [tuple(v.tolist() for v in (t.feature, t.cut, t.value, t.cover)) for t in model.trees], len(jobs)
+
+    whole, none = fitted()
+    monkeypatch.setattr(B, "WHOLE_BLOCKS", 0)
+    spread, some = fitted()
+    assert whole == spread and none == 0 < some
+
+
+def test_rows_of_blocks_come_in_small_batches(spark, monkeypatch):
+    x, y, _ = data(400)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(B, "BATCH_ROWS", 3)
+    monkeypatch.setattr(B, "MERGED", 1)
+    sizes, before = spark.sparkContext.accumulator(0), spark.conf.get(B.BATCH_CONF)
+    plain = B.sums_by_slot
+
+    def noted(batches):
+        def counted():
+            for batch in batches:
+                sizes.add(max(0, batch.num_rows - 3))
+                yield batch
+
+        return plain(counted())
+
+    monkeypatch.setattr(B, "sums_by_slot", noted)
+    monkeypatch.setattr(B, "SLOTS_A_TASK", 64)
+    model = HistogramBooster(rounds=1, depth=3).fit(table(spark, x, y).repartition(1))
+    assert len(model.trees) == 4 and sizes.value == 0 and spark.conf.get(B.BATCH_CONF) == before
+
+
+def test_train_boosters_runs_the_published_rounds(spark, monkeypatch):
+    import query_registry as Q
+
+    asked = {}
+    monkeypatch.setattr(Q, "_parts", lambda spark, folder: (None, None))
+    monkeypatch.setattr(Q.T, "train_classifiers", lambda train, test, pipelines: asked.update(pipelines) or type("T", (), {"metrics": spark.range(1)}))
+    Q.train_boosters(spark, "")
+    boosters = {n: p.model if n == "ordered" else p.getStages()[-1] for n, p in asked.items()}
+    assert {n: b.getOrDefault("rounds") for n, b in boosters.items()} == dict.fromkeys(("by_level", "best_first", "ordered"), 500)
+    assert boosters["best_first"].getOrDefault("leaves") == 63 and boosters["by_level"].getOrDefault("depth") == 6
